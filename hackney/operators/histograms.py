@@ -31,9 +31,11 @@ def _bin_of(value: Column, low: float, high: float, bins: int) -> Column:
         F.floor((value - F.lit(low)) / F.lit(high - low) * F.lit(float(bins))).cast("int"),
         F.lit(bins - 1),
     )
-    # The division may round across an edge, so the edges decide.
+    # The division may round across an edge, so the edges decide. `least` skips nulls, hence the
+    # first branch.
     return (
-        F.when(value < edge(guess), guess - 1)
+        F.when(value.isNull(), F.lit(None))
+        .when(value < edge(guess), guess - 1)
         .when((guess < bins - 1) & (value >= edge(guess + 1)), guess + 1)
         .otherwise(guess)
     )

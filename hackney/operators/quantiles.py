@@ -213,19 +213,19 @@ def _literal_results(values: DataFrame, settled: Sequence[_Bracket]) -> DataFram
     return rows_of(values.sparkSession.range(1), rows)
 
 
-def _in_memory(values: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    percentiles = values.agg(
-        *[F.percentile(name, list(probabilities)).alias(name) for name in values.columns]
-    )
+def _one_per_row(
+    lists: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
+) -> DataFrame:
+    """Rows `column_name, probability, value` from one row with a list of values per column."""
     return rows_of(
-        percentiles,
+        lists,
         [
             F.struct(
                 F.lit(name).alias("column_name"),
                 F.lit(probability).alias("probability"),
                 F.get(name, F.lit(i)).alias("value"),
             )
-            for name in values.columns
+            for name in columns
             for i, probability in enumerate(probabilities)
         ],
     )
@@ -244,7 +244,10 @@ def exact_quantiles(
     values = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
     rows = values.count()
     if rows <= in_memory_rows:
-        return _in_memory(values, probabilities)
+        lists = values.agg(
+            *[F.percentile(name, list(probabilities)).alias(name) for name in columns]
+        )
+        return _one_per_row(lists, columns, probabilities)
 
     brackets, proposals, settled = _first_sketch(values, probabilities, rows)
     if brackets:
@@ -266,7 +269,7 @@ def approximate_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int
 ) -> DataFrame:
     """Like `exact_quantiles` from one pass, with a rank error of at most 1 / `accuracy`."""
-    sketches = df.agg(
+    lists = df.agg(
         *[
             F.percentile_approx(F.col(name).cast("double"), list(probabilities), accuracy).alias(
                 name
@@ -274,18 +277,7 @@ def approximate_quantiles(
             for name in columns
         ]
     )
-    return rows_of(
-        sketches,
-        [
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.lit(probability).alias("probability"),
-                F.get(name, F.lit(i)).alias("value"),
-            )
-            for name in columns
-            for i, probability in enumerate(probabilities)
-        ],
-    )
+    return _one_per_row(lists, columns, probabilities)
 
 
 def metric_percentiles(prepared: DataFrame, accuracy: int | None = None) -> DataFrame:

@@ -265,7 +265,7 @@ def oracle_sql() -> dict[str, str]:
         "run_month": _with(_BY_DATE),
         "landed_zones": _with("SELECT * FROM zones"),
         "row_count": _with(
-            "SELECT count(*) AS row_count, 25::INTEGER AS column_count FROM prepared"
+            "SELECT count(*) AS row_count, 9::INTEGER AS column_count FROM normalised"
         ),
         "column_inventory": _with(
             _union([_inventory(i, name) for i, name in enumerate(_ALL, 1)])

@@ -112,7 +112,7 @@ def landed_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.row_count(prepared(spark, sf_dir))
+    return quality.row_count(cleaned(spark, sf_dir))
 
 
 def column_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:

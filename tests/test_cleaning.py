@@ -1,0 +1,124 @@
+from __future__ import annotations
+
+import math
+
+import pytest
+
+from hackney.operators.cleaning import clean_trips, derive_features, keep_valid, normalise_codes
+from hackney.operators.zones import add_zone_attributes
+from hackney.plans.jobs import prepare
+from hackney.schema import ZONES
+from tests.conftest import at
+
+
+def test_invalid_trips_are_dropped(make_trips):
+    trips = make_trips(
+        {},
+        {"tpep_pickup_datetime": None},
+        {"tpep_dropoff_datetime": None},
+        {"trip_distance": -0.1},
+        {"trip_distance": None},
+        {"total_amount": -0.1},
+        {"tpep_dropoff_datetime": at("2024-01-05 08:00:00")},
+        {"tpep_dropoff_datetime": at("2024-01-05 07:59:59")},
+    )
+    assert keep_valid(trips).count() == 1
+
+
+def test_zero_and_nan_distance_are_kept(make_trips):
+    kept = keep_valid(make_trips({"trip_distance": 0.0}, {"trip_distance": math.nan})).collect()
+    assert len(kept) == 2
+
+
+def test_features(make_trips):
+    trip = make_trips(
+        {
+            "tpep_pickup_datetime": at("2024-01-31 23:50:00"),
+            "tpep_dropoff_datetime": at("2024-02-01 00:20:00"),
+        }
+    )
+    row = derive_features(trip).first()
+    assert str(row["pickup_date"]) == "2024-01-31"
+    assert str(row["dropoff_date"]) == "2024-02-01"
+    assert row["pickup_hour"] == 23
+    assert row["trip_duration_min"] == 30.0
+    assert row["avg_mph"] == 12.0
+
+
+@pytest.mark.parametrize(
+    ("start", "end", "minutes"),
+    [
+        ("2024-01-01 00:00:00.200", "2024-01-01 00:01:00.900", 1.0),
+        ("2024-01-01 00:00:00.900", "2024-01-01 00:01:00.200", 1.0),
+        ("2024-03-10 01:30:00", "2024-03-10 03:30:00", 120.0),
+        ("2024-03-10 02:30:00", "2024-03-10 03:30:00", 60.0),
+        ("2024-12-31 23:59:59", "2025-01-01 00:00:29", 0.5),
+    ],
+)
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_duration_in_whole_seconds_in_any_zone(spark, make_trips, start, end, minutes, zone):
+    trips = make_trips({"tpep_pickup_datetime": at(start), "tpep_dropoff_datetime": at(end)})
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert derive_features(trips).first()["trip_duration_min"] == minutes
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_speed_is_null_without_duration(make_trips):
+    row = derive_features(make_trips({"tpep_dropoff_datetime": at("2024-01-05 08:00:00")})).first()
+    assert row["avg_mph"] is None
+
+
+def test_codes_become_integers_and_misfits_null(make_trips):
+    codes = normalise_codes(
+        make_trips({"passenger_count": 1.9, "RatecodeID": math.nan}, {"RatecodeID": 1e12})
+    )
+    assert dict(codes.dtypes)["passenger_count"] == "int"
+    assert [(r["passenger_count"], r["RatecodeID"]) for r in codes.collect()] == [
+        (1, None),
+        (1, None),
+    ]
+
+
+def test_missing_optional_columns(make_trips, zones):
+    trips = make_trips({}, without=("Airport_fee", "RatecodeID", "passenger_count"))
+    assert prepare(trips, zones).count() == 1
+
+
+def test_column_order(make_trips, zones):
+    columns = prepare(make_trips({}), zones).columns
+    assert columns[:3] == ["DOLocationID", "PULocationID", "VendorID"]
+    assert columns[-6:] == [
+        "PU_Borough",
+        "PU_Zone",
+        "PU_service_zone",
+        "DO_Borough",
+        "DO_Zone",
+        "DO_service_zone",
+    ]
+
+
+def test_trips_without_a_zone_are_kept(make_trips, zones):
+    trips = make_trips({}, {"PULocationID": 99}, {"DOLocationID": None})
+    found = {
+        (r["PU_Zone"], r["DO_Zone"]) for r in add_zone_attributes(trips, zones).collect()
+    }
+    assert found == {("Soho", "Astoria"), (None, "Astoria"), ("Soho", None)}
+
+
+def test_repeated_zone_ids_are_rejected(spark, make_trips):
+    zones = spark.createDataFrame([(1, "a", "b", "c"), (1, "d", "e", "f")], ZONES)
+    with pytest.raises(ValueError, match="repeated LocationID"):
+        add_zone_attributes(make_trips({}), zones)
+
+
+def test_zones_without_an_id_match_nothing(spark, make_trips):
+    zones = spark.createDataFrame([(None, "a", "b", "c"), (None, "d", "e", "f")], ZONES)
+    joined = add_zone_attributes(make_trips({"PULocationID": None}), zones).collect()
+    assert [(r["PU_Zone"], r["DO_Zone"]) for r in joined] == [(None, None)]
+
+
+def test_cleaning_never_adds_rows(make_trips, zones):
+    trips = make_trips({}, {"PULocationID": 7}, {"trip_distance": -1.0})
+    assert prepare(trips, zones).count() == clean_trips(trips).count() == 2
