@@ -1,6 +1,7 @@
-"""Time expressions that give the same result in every session time zone.
+"""Time expressions.
 
-They read the wall-clock fields of zone-less timestamps, so no value passes through a zoned type.
+Trip times are zone-less: their seconds are counted without a zone, so results are the same in every
+session time zone and on days when clocks change.
 """
 
 from __future__ import annotations
@@ -8,22 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH_DAY = "1970-01-01"
-
-
-def _minutes_of_day(ts: Column) -> Column:
-    return F.hour(ts) * 60 + F.minute(ts)
-
-
-def _micros_of_minute(ts: Column) -> Column:
-    return (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("long")
-
-
 def whole_seconds_between(start: Column, end: Column) -> Column:
     """Seconds from `start` to `end`, each cut to its whole second."""
-    days = F.date_diff(F.to_date(end), F.to_date(start)).cast("long")
-    minutes = _minutes_of_day(end) - _minutes_of_day(start)
-    return days * 86_400 + minutes * 60 + (F.second(end) - F.second(start))
+    return F.unix_timestamp(end) - F.unix_timestamp(start)
 
 
 def whole_minutes_between(start: Column, end: Column) -> Column:
@@ -32,15 +20,18 @@ def whole_minutes_between(start: Column, end: Column) -> Column:
 
 
 def epoch_micros(ts: Column) -> Column:
-    """Microseconds of a zone-less timestamp since the epoch."""
-    days = F.date_diff(F.to_date(ts), F.lit(_EPOCH_DAY).cast("date")).cast("long")
-    return (days * 1_440 + _minutes_of_day(ts)) * 60_000_000 + _micros_of_minute(ts)
+    """Microseconds of a timestamp since the epoch."""
+    of_minute = (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("long")
+    # Seconds are cut towards zero, which before 1970 is one second after the last whole one.
+    cut = F.unix_timestamp(ts)
+    whole = cut - F.pmod(cut - F.floor(of_minute / 1_000_000), F.lit(60))
+    return whole * 1_000_000 + of_minute % 1_000_000
 
 
 def from_epoch_micros(micros: Column) -> Column:
     """The zone-less timestamp of an `epoch_micros` value."""
     seconds = (micros.cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
-    start = F.lit(_EPOCH_DAY).cast("timestamp_ntz")
+    start = F.lit("1970-01-01").cast("timestamp_ntz")
     return start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 

@@ -2,8 +2,10 @@
 
 Up to `IN_MEMORY_ROWS` rows Spark's own `percentile` is used; its state, which holds the values, is
 bounded by that number. A larger table is read a few more times, without a shuffle of its rows:
-sketches propose a narrow bracket of values around each wanted rank, a counting pass proves that the
-rank lies in it, and only the values within the brackets are then grouped and ranked.
+sketches propose a narrow bracket of values around each wanted rank, and a counting pass proves that
+the rank lies in it. A rank that falls on an end of its bracket is then known. For the others the
+brackets are narrowed until at most `RANKED_ROWS` rows lie between their ends, and only the values
+within them are grouped and ranked.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ import math
 from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,11 +23,14 @@ from pyspark.sql import functions as F
 from hackney.functions.columns import present, rows_of
 from hackney.schema import METRIC_COLUMNS
 
-IN_MEMORY_ROWS = 1_000_000
+IN_MEMORY_ROWS = 100_000
+RANKED_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
 MAX_ROUNDS = 8
 PROBABILITIES = (0.50, 0.90, 0.95, 0.99)
 
+Bounds = tuple[float | None, float | None]
+
 
 @dataclass(frozen=True)
 class _Bracket:
@@ -47,6 +54,15 @@ class _Bracket:
     def between(self) -> int:
         return self.before_high - self.through_low
 
+    @property
+    def known(self) -> float | None:
+        """The value at both ranks if they fall on the same end of the bracket."""
+        if self.low is not None and self.last_rank < self.through_low:
+            return self.low
+        if self.high is not None and self.rank >= self.before_high:
+            return self.high
+        return None
+
     def strictly_inside(self) -> Column:
         return self._inside(F.col(self.column) > self.low, F.col(self.column) < self.high)
 
@@ -64,10 +80,10 @@ class _Bracket:
 
 def _first_sketch(
     values: DataFrame, probabilities: Sequence[float], rows: int
-) -> tuple[list[_Bracket], list[tuple[float | None, float | None]], list[_Bracket]]:
+) -> tuple[list[_Bracket], list[Bounds], list[tuple[_Bracket, float | None]]]:
     """Count every column and sketch it around the wanted probabilities, in one pass.
 
-    Returns the brackets to search, a proposal for each, and those that end in NaN or null.
+    Returns the brackets to search, a proposal for each, and the results that are NaN or null.
     """
     margin = 2 / SKETCH_ACCURACY + 2 / rows
     shares = [
@@ -84,7 +100,7 @@ def _first_sketch(
         ]
     seen = values.agg(*aggregates).first()
 
-    search, proposals, settled = [], [], []
+    search, proposals, results = [], [], []
     for name in values.columns:
         for i, probability in enumerate(probabilities):
             count, numbers = seen[f"{name} all"], seen[f"{name} numbers"]
@@ -93,16 +109,16 @@ def _first_sketch(
             bracket = _Bracket(name, probability, rank, position - rank, 0, 0, numbers)
             if bracket.last_rank >= numbers:
                 # NaN sorts last; without any value the rank is beyond the end as well.
-                settled.append(replace(bracket, low=math.nan if count else None))
+                results.append((bracket, math.nan if count else None))
             else:
                 search.append(bracket)
                 proposals.append(tuple(seen[f"{name} sketch"][2 * i : 2 * i + 2]))
-    return search, proposals, settled
+    return search, proposals, results
 
 
 def _sketch_again(
     values: DataFrame, brackets: Sequence[_Bracket]
-) -> list[tuple[float | None, float | None]]:
+) -> list[Bounds]:
     """Propose a narrower bracket for each, from sketches of what lies strictly inside."""
     margin = 2 / SKETCH_ACCURACY
     wanted = defaultdict(list)
@@ -119,7 +135,7 @@ def _sketch_again(
         for (column, _, _), members in wanted.items()
     ]
     seen = values.agg(*[s.alias(str(i)) for i, s in enumerate(sketches)]).first()
-    proposals: list[tuple[float | None, float | None]] = [(None, None)] * len(brackets)
+    proposals: list[Bounds] = [(None, None)] * len(brackets)
     for found, members in zip(seen, wanted.values()):
         for k, (i, start, end) in enumerate(members):
             proposals[i] = (
@@ -132,7 +148,7 @@ def _sketch_again(
 def _confirm(
     values: DataFrame,
     brackets: Sequence[_Bracket],
-    proposals: Sequence[tuple[float | None, float | None]],
+    proposals: Sequence[Bounds],
 ) -> list[_Bracket]:
     """Count exactly around every proposal; keep the old bracket where the rank lies outside."""
 
@@ -181,8 +197,10 @@ def _rank_inside(values: DataFrame, brackets: Sequence[_Bracket]) -> DataFrame:
         )
         for b in brackets
     ]
+    anywhere = reduce(or_, [b.inside() for b in brackets])
     counted = (
-        values.select(F.inline(F.array_compact(F.array(*entries))))
+        values.where(anywhere)
+        .select(F.inline(F.array_compact(F.array(*entries))))
         .groupBy("column_name", "probability", "skip", "weight", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -201,14 +219,16 @@ def _rank_inside(values: DataFrame, brackets: Sequence[_Bracket]) -> DataFrame:
     return neighbours.select("column_name", "probability", interpolated.alias("value"))
 
 
-def _literal_results(values: DataFrame, settled: Sequence[_Bracket]) -> DataFrame:
+def _literal_results(
+    values: DataFrame, results: Sequence[tuple[_Bracket, float | None]]
+) -> DataFrame:
     rows = [
         F.struct(
             F.lit(b.column).alias("column_name"),
             F.lit(b.probability).alias("probability"),
-            F.lit(b.low).cast("double").alias("value"),
+            F.lit(value).cast("double").alias("value"),
         )
-        for b in settled
+        for b, value in results
     ]
     return rows_of(values.sparkSession.range(1), rows)
 
@@ -236,6 +256,7 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float] = PROBABILITIES,
     in_memory_rows: int = IN_MEMORY_ROWS,
+    ranked_rows: int = RANKED_ROWS,
 ) -> DataFrame:
     """`column_name, probability, value`: linear interpolation between neighbours, nulls ignored.
 
@@ -249,20 +270,25 @@ def exact_quantiles(
         )
         return _one_per_row(lists, columns, probabilities)
 
-    brackets, proposals, settled = _first_sketch(values, probabilities, rows)
-    if brackets:
-        brackets = _confirm(values, brackets, proposals)
+    wide, proposals, results = _first_sketch(values, probabilities, rows)
+    narrow: list[_Bracket] = []
     for _ in range(MAX_ROUNDS):
-        wide = [b for b in brackets if b.between > max(in_memory_rows, 1)]
         if not wide:
             break
-        narrow = [b for b in brackets if b not in wide]
-        brackets = narrow + _confirm(values, wide, _sketch_again(values, wide))
-
-    if not brackets:
-        return _literal_results(values, settled)
-    ranked = _rank_inside(values, brackets)
-    return ranked.unionByName(_literal_results(values, settled)) if settled else ranked
+        confirmed = _confirm(values, wide, proposals)
+        results += [(b, b.known) for b in confirmed if b.known is not None]
+        unknown = [b for b in confirmed if b.known is None]
+        narrow += [b for b in unknown if b.between <= max(ranked_rows, 1)]
+        wide = [b for b in unknown if b.between > max(ranked_rows, 1)]
+        if wide:
+            proposals = _sketch_again(values, wide)
+
+    parts = []
+    if narrow or wide:
+        parts.append(_rank_inside(values, narrow + wide))
+    if results:
+        parts.append(_literal_results(values, results))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def approximate_quantiles(

@@ -13,15 +13,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_PICKUP = "o_orderdate + make_dt_interval(0, 0, CAST(l_partkey * 7 % 1440 AS INT), 0)"
-_MINUTES = "make_dt_interval(0, 0, CAST(l_orderkey % 360 - 10 AS INT), 0)"
+_START = "l_partkey * 7 % 1440"
+_PICKUP = f"o_orderdate + make_dt_interval(0, 0, CAST({_START} AS INT), 0)"
+_END = f"{_START} + l_orderkey % 360 - 10"
+_DROPOFF = f"o_orderdate + make_dt_interval(0, 0, CAST({_END} AS INT), 0)"
 
 # Column -> (expression, tables it needs beside lineitem)
 _COLUMNS: dict[str, tuple[str, set[str]]] = {
     "VendorID": ("CAST(l_suppkey % 2 + 1 AS INT)", set()),
     "tpep_pickup_datetime": (_PICKUP, {"orders"}),
     "tpep_dropoff_datetime": (
-        f"CASE WHEN l_orderkey % 97 <> 0 THEN {_PICKUP} + {_MINUTES} END",
+        f"CASE WHEN l_orderkey % 97 <> 0 THEN {_DROPOFF} END",
         {"orders"},
     ),
     "passenger_count": ("CASE WHEN l_linenumber <> 7 THEN CAST(l_linenumber AS DOUBLE) END", set()),
