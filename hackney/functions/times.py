@@ -21,7 +21,7 @@ def whole_minutes_between(start: Column, end: Column) -> Column:
 
 def epoch_micros(ts: Column) -> Column:
     """Microseconds of a timestamp since the epoch."""
-    of_minute = (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("long")
+    of_minute = F.rint(F.date_part(F.lit("SECOND"), ts).cast("double") * 1e6).cast("long")
     # Seconds are cut towards zero, which before 1970 is one second after the last whole one.
     cut = F.unix_timestamp(ts)
     whole = cut - F.pmod(cut - F.floor(of_minute / 1_000_000), F.lit(60))

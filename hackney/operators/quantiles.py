@@ -63,14 +63,14 @@ class _Bracket:
             return self.high
         return None
 
-    def strictly_inside(self) -> Column:
-        return self._inside(F.col(self.column) > self.low, F.col(self.column) < self.high)
+    def strictly_inside(self, value: Column) -> Column:
+        return self._inside(value, value > self.low, value < self.high)
 
-    def inside(self) -> Column:
-        return self._inside(F.col(self.column) >= self.low, F.col(self.column) <= self.high)
+    def inside(self, value: Column) -> Column:
+        return self._inside(value, value >= self.low, value <= self.high)
 
-    def _inside(self, above_low: Column, under_high: Column) -> Column:
-        condition = ~F.isnan(self.column)
+    def _inside(self, value: Column, above_low: Column, under_high: Column) -> Column:
+        condition = ~F.isnan(value)
         if self.low is not None:
             condition = condition & above_low
         if self.high is not None:
@@ -128,7 +128,7 @@ def _sketch_again(
         wanted[(bracket.column, bracket.low, bracket.high)].append((i, start, end))
     sketches = [
         F.percentile_approx(
-            F.when(brackets[members[0][0]].strictly_inside(), F.col(column)),
+            F.when(brackets[members[0][0]].strictly_inside(F.col(column)), F.col(column)),
             [min(max(share, 0.0), 1.0) for _, start, end in members for share in (start, end)],
             SKETCH_ACCURACY,
         )
@@ -184,28 +184,34 @@ def _confirm(
 
 def _rank_inside(values: DataFrame, brackets: Sequence[_Bracket]) -> DataFrame:
     """Group the values within each bracket and read off the wanted ranks."""
+    # One value per row, so that the filter tests a stored value however dear its expression is.
+    column_name, value = F.col("column_name"), F.col("value")
+    single = values.unpivot([], values.columns, "column_name", "value")
+
+    def inside(b: _Bracket) -> Column:
+        return b.inside(value) & (column_name == b.column)
+
     entries = [
         F.when(
-            b.inside(),
+            inside(b),
             F.struct(
-                F.lit(b.column).alias("column_name"),
+                column_name,
                 F.lit(b.probability).alias("probability"),
                 F.lit(b.rank - b.below).cast("long").alias("skip"),
                 F.lit(b.weight).alias("weight"),
-                F.col(b.column).alias("value"),
+                value,
             ),
         )
         for b in brackets
     ]
-    anywhere = reduce(or_, [b.inside() for b in brackets])
     counted = (
-        values.where(anywhere)
+        single.where(reduce(or_, [inside(b) for b in brackets]))
         .select(F.inline(F.array_compact(F.array(*entries))))
         .groupBy("column_name", "probability", "skip", "weight", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     ascending = Window.partitionBy("column_name", "probability").orderBy("value")
-    through, value = F.col("through"), F.col("value")
+    through = F.col("through")
     neighbours = (
         counted.withColumn("through", F.sum("n").over(ascending))
         .groupBy("column_name", "probability", "weight")

@@ -358,8 +358,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "hourly_by_date": _with(
             """SELECT pickup_date, pickup_hour, count(*) AS trips,
-                      round(avg(trip_distance), 6) AS avg_distance_miles,
-                      round(avg(total_amount), 6) AS avg_total_amount
+                      round(avg(trip_distance), 9) AS avg_distance_miles,
+                      round(avg(total_amount), 9) AS avg_total_amount
                FROM prepared GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 100"""
         ),
         "trips_by_hour": _with(

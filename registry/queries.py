@@ -293,7 +293,8 @@ def temporal_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(demand.hourly_by_date(cleaned(spark, sf_dir)))
+    # Means of a few amounts often end in a 5 at the seventh place, so six places would be ties.
+    return rounded(demand.hourly_by_date(cleaned(spark, sf_dir)), 9)
 
 
 def trips_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:

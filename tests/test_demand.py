@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import math
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from hackney.functions.columns import ensure_timestamps, first_present, present
 from hackney.functions.labels import labelled_zones
+from hackney.functions.times import epoch_micros, from_epoch_micros
 from hackney.operators import demand, distributions
 from hackney.operators.zones import top_zones_labelled
 from hackney.plans.jobs import prepare
@@ -141,3 +143,26 @@ def test_text_that_is_no_timestamp_is_an_error(spark):
     df = spark.createDataFrame([("nonsense",)], "t string")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT|CANNOT_PARSE"):
         ensure_timestamps(df, ["t"]).collect()
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "2024-03-10 02:30:00.123456",
+        "1969-12-31 23:59:59.500001",
+        "1960-02-29 00:00:00.000001",
+        "1960-02-29 00:00:00",
+        "1970-01-01 00:00:00",
+    ],
+)
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_epoch_micros_are_exact_in_any_zone(spark, text, zone):
+    df = spark.sql(f"SELECT TIMESTAMP_NTZ '{text}' AS t")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        micros = epoch_micros(F.col("t"))
+        row = df.select(micros.alias("n"), from_epoch_micros(micros).alias("t")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert row["t"] == at(text)
+    assert row["n"] == (at(text) - at("1970-01-01")) / dt.timedelta(microseconds=1)
