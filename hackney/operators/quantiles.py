@@ -186,7 +186,8 @@ def _rank_inside(values: DataFrame, brackets: Sequence[_Bracket]) -> DataFrame:
     """Group the values within each bracket and read off the wanted ranks."""
     # One value per row, so that the filter tests a stored value however dear its expression is.
     column_name, value = F.col("column_name"), F.col("value")
-    single = values.unpivot([], values.columns, "column_name", "value")
+    searched = sorted({b.column for b in brackets})
+    single = values.select(*searched).unpivot([], searched, "column_name", "value")
 
     def inside(b: _Bracket) -> Column:
         return b.inside(value) & (column_name == b.column)

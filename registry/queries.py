@@ -277,7 +277,8 @@ def describe_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.preview(prepared(spark, sf_dir))
+    # The limit moves below the left joins, so only the rows shown are looked up.
+    return sampling.preview(fixture.trips(spark, sf_dir))
 
 
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

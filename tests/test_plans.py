@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from hackney.operators import demand, distributions, quality, zones as zone_operators
-from hackney.operators.sampling import sample_rows
+from hackney.operators.sampling import preview, sample_rows
 from hackney.plans.jobs import prepare
 from registry import fixture
 from tests.conftest import SMALL, plan_of
@@ -87,3 +87,9 @@ def test_only_the_tables_of_the_wanted_columns_are_joined(spark):
     assert "Join" not in plan_of(fixture.trips(spark, SMALL, ["total_amount", "tip_amount"]))
     assert plan_of(fixture.trips(spark, SMALL, ["DOLocationID"])).count("Join") == 1
     assert plan_of(fixture.trips(spark, SMALL)).count("Join") == 3
+
+
+def test_a_preview_joins_only_the_rows_it_shows(spark):
+    lines = plan_of(preview(fixture.trips(spark, SMALL))).splitlines()
+    scan = next(i for i, line in enumerate(lines) if "l_orderkey" in line and "FileScan" in line)
+    assert "LocalLimit 100" in lines[scan - 1]
