@@ -83,6 +83,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 100) -> DataFra
     # At most one row per bin exists, so the broadcast side is bounded whatever the input.
     return (
         every_bin.join(F.broadcast(counted), ["column_name", "bin"], "left")
-        .select("column_name", "bin", "center", F.coalesce("n", F.lit(0).cast("long")).alias("count"))
+        .withColumn("count", F.coalesce("n", F.lit(0).cast("long")))
+        .select("column_name", "bin", "center", "count")
         .orderBy("column_name", "bin")
     )

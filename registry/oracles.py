@@ -141,7 +141,8 @@ def _describe_timestamps(name: str, source: str) -> str:
 def _describe_text(name: str) -> str:
     return f"""SELECT '{name}' AS column_name, CAST(sum(n) AS BIGINT) AS "count",
         count(*) AS "unique", first(value ORDER BY n DESC, value) AS top, max(n) AS freq
-        FROM (SELECT {name} AS value, count(*) AS n FROM prepared WHERE {name} IS NOT NULL GROUP BY 1)
+        FROM (SELECT {name} AS value, count(*) AS n FROM prepared
+              WHERE {name} IS NOT NULL GROUP BY 1)
     """
 
 
