@@ -7,12 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import packing, quality, token_counts, topk, toxicity
+from hackney.llm import decontaminate, packing, quality, token_counts, topk, toxicity, url_rules
 from hackney.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+LISTED = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of equal id: a page of low quality or with toxic text is to be blocked."""
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"),
+        ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked"),
+    )
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), labels, LISTED)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -38,6 +56,50 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontaminate.judge(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return judged.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+OP9_SQL = r"""
+with item_words as (
+  select cast(item_id as varchar) as item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark where item_id is not null and text is not null
+), windows as (
+  select distinct item_id, least(len(w), 13) as n,
+         array_to_string(w[s : s + least(len(w), 13) - 1], ' ') as win
+  from item_words, unnest(range(1, greatest(len(w) - 12, 1) + 1)) as t(s) where len(w) > 0
+), doc_words as (
+  select row_number() over () as r, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w
+  from documents
+), hits as (
+  select r, s, n, item_id from (
+    select r, s, l.n, array_to_string(w[s : s + l.n - 1], ' ') as win
+    from doc_words, (select distinct n from windows) l, unnest(range(1, len(w) - l.n + 2)) as t(s)
+  ) join windows using (n, win)
+), words_hit as (
+  select r, count(distinct p) as n_hit
+  from (select distinct r, s, n from hits), unnest(range(s, s + n)) as t(p) group by r
+), items_hit as (
+  select r, count(distinct item_id) as n_items, string_agg(distinct item_id, ',' order by item_id) as ids
+  from hits group by r
+)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(ids, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from doc_words left join words_hit using (r) left join items_hit using (r)
+"""
+
+
 OP6_SQL = """
 with vectors as (
   select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as vec
@@ -60,13 +122,15 @@ select query_id, rank, vec_id, score from ranked where rank <= 20
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_url_rules": op1_url_rules,
         "op3_quality": op3_quality,
         "op4_packing": op4_packing,
         "op5_toxicity": op5_toxicity,
         "op6_topk": op6_topk,
         "op7_token_counts": op7_token_counts,
+        "op9_decontaminate": op9_decontaminate,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_topk": OP6_SQL}
+    return {"op6_topk": OP6_SQL, "op9_decontaminate": OP9_SQL}
