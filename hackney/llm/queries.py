@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hackney.llm import decontaminate, packing, quality, token_counts, topk, toxicity, url_rules
+from hackney.llm import (
+    decontaminate,
+    near_dup,
+    packing,
+    quality,
+    token_counts,
+    topk,
+    toxicity,
+    url_rules,
+)
 from hackney.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +75,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 OP9_SQL = r"""
 with item_words as (
   select cast(item_id as varchar) as item_id, regexp_extract_all(
@@ -129,6 +142,7 @@ def queries() -> dict[str, Query]:
         "op6_topk": op6_topk,
         "op7_token_counts": op7_token_counts,
         "op9_decontaminate": op9_decontaminate,
+        "op10_near_dup": op10_near_dup,
     }
 
 
