@@ -12,6 +12,7 @@ from hackney.llm import (
     near_dup,
     packing,
     quality,
+    suffix_tree,
     token_counts,
     topk,
     toxicity,
@@ -65,6 +66,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontaminate.judge(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -141,6 +146,7 @@ def queries() -> dict[str, Query]:
         "op5_toxicity": op5_toxicity,
         "op6_topk": op6_topk,
         "op7_token_counts": op7_token_counts,
+        "op8_suffix_tree": op8_suffix_tree,
         "op9_decontaminate": op9_decontaminate,
         "op10_near_dup": op10_near_dup,
     }
