@@ -13,12 +13,14 @@ Kullback-Leibler divergence against half a logarithm of N for each next symbol.
 contexts are states as well. Distributions are smoothed with the shorter context's, by the number of
 different next symbols (Witten and Bell), down to single symbols and a uniform floor.
 
-Scoring. Each position descends from the root by the preceding symbols to its longest state.
+Scoring. Each position descends from the root by the preceding symbols to its longest state. A token's
+chance by the tree, the product over its symbols, is smoothed once more by an even mixture with its
+chance by the token counts, so that words too rare for states of their own keep what the counts know.
 
 The tree is all that is broadcast. It has at most `depth / least_share` states by the candidates' shares,
 whatever the size of the corpus, with at most 256 numbers each. Counts of words, which grow with the
 corpus, stay in tables: words that make up at least `common_share` of all tokens (at most 1 / common_share
-of them) are sent along, all others are joined by their hash.
+of them) are sent along, all others are joined by their hash, token by token.
 
 The base score is that of an add-one unigram model of tokens. Words are told apart by 64-bit hashes.
 
@@ -84,7 +86,9 @@ class SuffixTree:
 def symbol_streams(
     column: pa.Array, depth: int
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Blocks of (symbols, row of each, whether it counts, word hashes, rows of the words).
+    """Blocks of (symbols, row of each, whether it counts, token hashes, rows of the tokens).
+
+    Tokens are in the order of their last symbols, which are the separators and ends that count.
 
     Each row's symbols follow an end symbol that does not count, as their context. A row that comes in
     several blocks carries its last symbols over.
@@ -123,9 +127,10 @@ def symbol_streams(
             row = np.concatenate([np.full(len(carry), first), row])
             counted = np.concatenate([np.zeros(len(carry), bool), counted])
         carry = None if complete else stream[-(depth + 1) :]
-        word_rows = np.concatenate([rows, last]) + first
-        words = np.concatenate([hashes, np.full(len(last), END_TOKEN)])
-        yield stream, row, counted, words, word_rows
+        word_rows = np.concatenate([rows, last])
+        order = np.argsort(word_rows, kind="stable")
+        words = np.concatenate([hashes, np.full(len(last), END_TOKEN)])[order]
+        yield stream, row, counted, words, word_rows[order] + first
 
 
 def gram_keys(stream: np.ndarray, counted: np.ndarray, depth: int) -> np.ndarray:
@@ -302,13 +307,21 @@ def build_tree(counts: DataFrame, depth: int = DEPTH) -> SuffixTree:
 
 
 SCORED = (
-    "doc_id long, held_out boolean, n_tokens long, n_common long, common double, score double, "
-    "rare array<long>, times array<int>"
+    "doc_id long, held_out boolean, n_tokens long, n_common long, common_base double, "
+    "common_score double, rare array<long>, chances array<double>"
 )
+MIXED = 0.5
+
 
+def token_logs(model: SuffixTree, stream: np.ndarray, counted: np.ndarray) -> np.ndarray:
+    """log10 of each token's chance by the tree, in the order of the tokens' last symbols."""
+    each = np.where(counted, model.score(stream), 0.0)
+    last = np.flatnonzero(counted & ((stream == SEPARATOR) | (stream == END)))
+    return np.add.reduceat(each, np.append(0, last[:-1] + 1)) if len(last) else np.zeros(0)
 
-def _score_rows(rows: DataFrame, tree, common) -> DataFrame:
-    """The tree's scores, sums over common words, and the other words with how often they occur."""
+
+def _score_rows(rows: DataFrame, tree, common, floor: float) -> DataFrame:
+    """Sums over common words, and the tree's chances of all other tokens with their hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,40 +331,35 @@ def _score_rows(rows: DataFrame, tree, common) -> DataFrame:
     def scored(batch: pa.RecordBatch) -> pa.RecordBatch:
         n = len(batch)
         hashes, logs = common.value
-        score, sums = np.zeros(n), np.zeros(n)
-        tokens, known = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        rare_words, rare_rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         model = tree.value
-        for stream, row, counted, words, word_rows in symbol_streams(batch.column("text"), model.depth):
-            each = model.score(stream)
-            score += np.bincount(row[counted], each[counted], n)
-            tokens += np.bincount(word_rows, minlength=n)
+        base, score = np.zeros(n), np.zeros(n)
+        tokens, known = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        rare = [(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.int64))]
+        for stream, _, counted, words, rows in symbol_streams(batch.column("text"), model.depth):
+            chances = 10.0 ** token_logs(model, stream, counted)
+            tokens += np.bincount(rows, minlength=n)
             if len(hashes):
                 at = np.minimum(np.searchsorted(hashes, words), len(hashes) - 1)
                 hit = hashes[at] == words
-                sums += np.bincount(word_rows[hit], logs[at[hit]], n)
-                known += np.bincount(word_rows[hit], minlength=n)
-                words, word_rows = words[~hit], word_rows[~hit]
-            rare_words.append(words)
-            rare_rows.append(word_rows)
-        words, owner = np.concatenate(rare_words), np.concatenate(rare_rows)
-        order = np.lexsort((words, owner))
-        words, owner = words[order], owner[order]
-        new = np.ones(len(words), bool)
-        new[1:] = (words[1:] != words[:-1]) | (owner[1:] != owner[:-1])
-        begins = np.flatnonzero(new)
-        times = np.diff(np.append(begins, len(words)))
-        offsets = pa.array(np.searchsorted(owner[begins], np.arange(n + 1)), pa.int32())
+                own, unigram = rows[hit], logs[at[hit]] - floor
+                known += np.bincount(own, minlength=n)
+                base += np.bincount(own, unigram, n)
+                mixed = MIXED * chances[hit] + (1 - MIXED) * 10.0**unigram
+                score += np.bincount(own, np.log10(mixed), n)
+                words, chances, rows = words[~hit], chances[~hit], rows[~hit]
+            rare.append((words, chances, rows))
+        words, chances, rows = map(np.concatenate, zip(*rare, strict=True))
+        offsets = pa.array(np.searchsorted(rows, np.arange(n + 1)), pa.int32())
         return pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
                 batch.column("held_out"),
                 pa.array(tokens),
                 pa.array(known),
-                pa.array(sums),
+                pa.array(base),
                 pa.array(score),
-                pa.ListArray.from_arrays(offsets, pa.array(words[begins].view(np.int64))),
-                pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32))),
+                pa.ListArray.from_arrays(offsets, pa.array(words.view(np.int64))),
+                pa.ListArray.from_arrays(offsets, pa.array(chances)),
             ],
             names=[field.split()[0] for field in SCORED.split(", ")],
         )
@@ -366,7 +374,7 @@ def score_documents(
     modulus: int = 7,
     held_out: int = 2,
     depth: int = DEPTH,
-    least_share: float = 2e-5,
+    least_share: float = 1e-5,
     common_share: float = 1e-6,
 ) -> DataFrame:
     """`doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score` of every document."""
@@ -394,27 +402,36 @@ def score_documents(
         tree_counts(counts.where(F.col("kind") == GRAMS).select("key", "n"), least_share), depth
     )
     context = spark.sparkContext
-    scored = _score_rows(rows, context.broadcast(tree), context.broadcast((hashes[order], logs)))
+    floor = float(np.log10(tokens + different + 1))
+    scored = _score_rows(
+        rows, context.broadcast(tree), context.broadcast((hashes[order], logs)), floor
+    )
     scored = stage(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    count = F.coalesce("n", F.lit(0)) + 1.0
+    unigram = count / float(tokens + different + 1)
     rare = (
-        scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("word"))
-        .select("row", F.col("word.rare").alias("key"), "word.times")
-        .join(words, "key")
+        scored.select("row", F.explode(F.arrays_zip("rare", "chances")).alias("word"))
+        .select("row", F.col("word.rare").alias("key"), "word.chances")
+        .join(words, "key", "left")
         .groupBy("row")
         .agg(
-            F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rare_sum"),
-            F.sum("times").alias("n_rare"),
+            F.sum(F.log10(count)).alias("rare_base"),
+            F.sum(F.log10(MIXED * F.col("chances") + (1 - MIXED) * unigram)).alias("rare_score"),
+            F.count("n").alias("rare_known"),
+            F.count("key").alias("rare_tokens"),
         )
     )
-    floor = float(np.log10(tokens + different + 1))
+    none = F.lit(0.0)
     return scored.join(rare, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("n_common") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
+        (F.col("n_common") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (
-            F.col("common") + F.coalesce("rare_sum", F.lit(0.0)) - F.col("n_tokens") * F.lit(floor)
+            F.col("common_base")
+            + F.coalesce("rare_base", none)
+            - F.coalesce("rare_tokens", F.lit(0)) * F.lit(floor)
         ).alias("base_score"),
-        "score",
+        (F.col("common_score") + F.coalesce("rare_score", none)).alias("score"),
     )
