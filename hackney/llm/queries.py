@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hackney.llm import (
     decontaminate,
+    html_templates,
     near_dup,
     packing,
     quality,
@@ -41,18 +42,27 @@ def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), labels, LISTED)
 
 
+def op2_html_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_templates.extract(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"))
-    return pieces.select(
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    """Pieces with a checksum in place of their ids."""
+    return packing.pack(docs).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
         "doc_tokens", "sequence_id", "offset", "sequence_tokens",
     )
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_pieces(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -141,6 +151,7 @@ select query_id, rank, vec_id, score from ranked where rank <= 20
 def queries() -> dict[str, Query]:
     return {
         "op1_url_rules": op1_url_rules,
+        "op2_html_templates": op2_html_templates,
         "op3_quality": op3_quality,
         "op4_packing": op4_packing,
         "op5_toxicity": op5_toxicity,
