@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hackney.llm.common import SPACE, blocks, mix, pick, span_hashes, utf8_rows, word_spans
 from hackney.llm.labelled import labelled_sample, remainder
@@ -42,6 +43,11 @@ class QualityModel:
     weights: np.ndarray
     bias: float
 
+    @property
+    def unfitted(self) -> bool:
+        """No example told the classes apart."""
+        return not self.weights.any()
+
 
 def features(
     data: np.ndarray, bounds: np.ndarray, buckets: int
@@ -196,6 +202,20 @@ def score(
     return rows.mapInArrow(run, "doc_id long, score double")
 
 
+def add_score(docs: DataFrame, model, as_name: str, text_col: str = "text") -> DataFrame:
+    """All columns of `docs` and the score of each text."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = docs.columns
+    at = names.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = pa.array(score_column(batch.column(at), shared.value), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*names, as_name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(as_name, T.DoubleType())]))
+
+
 def classify(
     docs: DataFrame, labels: DataFrame, threshold: float = 0.7, modulus: int = 4, held_out: int = 2
 ) -> DataFrame:
