@@ -1,0 +1,26 @@
+from __future__ import annotations
+
+import pytest
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture
+def make_docs(spark):
+    """Documents from (doc_id, text) pairs."""
+
+    def make(*pairs):
+        rows = [(i, t, "en", "s", None if t is None else len(t)) for i, t in pairs]
+        return spark.createDataFrame(rows, DOCS)
+
+    return make
+
+
+def rows(df, *columns):
+    """The rows as a sorted list of tuples; nulls first."""
+    found = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
+    return sorted(found, key=lambda r: [(v is not None, v) for v in r])
+
+
+#: Columns that operators use themselves, to be carried along or ignored without a clash.
+CLASHING = ["row", "score", "key", "n", "words", "hits", "word", "class_id", "text_key", "rank", "label"]
