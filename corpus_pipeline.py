@@ -36,18 +36,16 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     if model.unfitted:
         return docs
-    return quality.add_score(docs, model, "_score").where(
-        F.col("_score") >= QUALITY_THRESHOLD
-    ).drop("_score")
+    scored = quality.rows_with_score(docs, model)
+    return scored.where(F.col("score") >= QUALITY_THRESHOLD).select("row.*")
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     if model.unfitted:
         return docs
-    return toxicity.add_score(docs, model, "_score").where(
-        F.col("_score") < TOXICITY_THRESHOLD
-    ).drop("_score")
+    scored = toxicity.rows_with_score(docs, model)
+    return scored.where(F.col("score") < TOXICITY_THRESHOLD).select("row.*")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

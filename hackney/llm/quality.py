@@ -202,18 +202,20 @@ def score(
     return rows.mapInArrow(run, "doc_id long, score double")
 
 
-def add_score(docs: DataFrame, model, as_name: str, text_col: str = "text") -> DataFrame:
-    """All columns of `docs` and the score of each text."""
+def rows_with_score(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
+    """`row`, a struct of all columns of `docs`, and the `score` of its text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
-    at = names.index(text_col)
+    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{text_col}`").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = pa.array(score_column(batch.column(at), shared.value), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*names, as_name])
+            scores = score_column(batch.column("text"), shared.value)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array(scores, pa.float64())], names=["row", "score"]
+            )
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField(as_name, T.DoubleType())]))
+    kind = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(run, kind)
 
 
 def classify(
