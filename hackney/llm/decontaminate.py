@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from hackney.llm.common import pick
 from hackney.session import stage
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
 
 
@@ -43,9 +43,9 @@ def words_of(text: Column) -> Column:
     low = F.when(ascii_only, F.lower(text)).otherwise(
         F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
     )
-    return F.coalesce(
-        F.regexp_extract_all(low, F.lit(WORD), F.lit(0)), F.array().cast("array<string>")
-    )
+    # Splitting is several times quicker than extracting all matches; empty parts stand at the ends.
+    parts = F.array_remove(F.split(low, BETWEEN_WORDS), "")
+    return F.coalesce(parts, F.array().cast("array<string>"))
 
 
 def item_windows(
@@ -96,43 +96,57 @@ def find_windows(
     item_text_col: str = "text",
     window: int = WINDOW,
 ) -> DataFrame:
-    """All columns of `docs`, then `_found_words`, its words, and `_found_hits`, the occurrences.
+    """`row`, a struct of all columns of `docs`, then `n_words` and the verified `hits`.
 
     A hit has `start`, `len` and `items`; hits are null where no prefix word is found.
     """
-    text = F.col(f"`{text_col}`")
-    texts = docs.select(F.xxhash64(text).alias("key"), words_of(text).alias("doc_words"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{text_col}`").alias("text"))
+    words = words_of(F.col("text"))
+    texts = rows.select(F.xxhash64("text").alias("key"), words.alias("doc_words"))
     windows = stage(item_windows(benchmark, item_id_col, item_text_col, window), "windows")
     prefixes = stage(prefix_words(windows, texts), "prefixes")
     placed = texts.select(
         "key", F.size("doc_words").alias("size"), F.posexplode("doc_words").alias("position", "word")
     ).join(prefixes, "word")
-    start = F.col("position") - F.col("at")
     candidates = (
-        placed.withColumn("start", start)
+        placed.withColumn("start", F.col("position") - F.col("at"))
         .where((F.col("start") >= 0) & (F.col("start") + F.col("len") <= F.col("size")))
         .groupBy("key", "start", "len", "words", "items")
         .agg(F.lit(1).alias("one"))
         .groupBy("key")
         .agg(F.collect_list(F.struct("start", "len", "words", "items")).alias("candidates"))
     )
-    found = stage(candidates, "candidates").withColumnRenamed("key", "_key")
-    found = found.withColumnRenamed("candidates", "_candidates")
-    known = docs.withColumns(
-        {"_text_key": F.xxhash64(text), "_n_words": F.size(words_of(text)).cast("long")}
-    )
-    joined = known.join(found, F.col("_text_key") == F.col("_key"), "left")
-    words = F.when(F.col("_candidates").isNotNull(), words_of(text))
-    hits = F.filter(
-        "_candidates", lambda c: F.slice("_words", c["start"] + 1, c["len"]) == c["words"]
-    )
-    return joined.withColumn("_words", words).select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.col("_n_words").alias("_found_words"),
-        hits.alias("_found_hits"),
+    found = stage(candidates, "candidates")
+    joined = rows.select(
+        "row", "text", F.xxhash64("text").alias("key"), F.size(words).cast("long").alias("n_words")
+    ).join(found, "key", "left")
+
+    def side_by_side(text_words: Column) -> Column:
+        return F.filter(
+            "candidates", lambda c: F.slice(text_words, c["start"] + 1, c["len"]) == c["words"]
+        )
+
+    # The array of one element holds the words, which else would be split again for each candidate.
+    hits = F.get(F.transform(F.array(words), side_by_side), F.lit(0))
+    return joined.select(
+        "row", "n_words", F.when(F.col("candidates").isNotNull(), hits).alias("hits")
     )
 
 
+def _verdict(share: int) -> list[Column]:
+    inside = F.transform("hits", lambda h: F.sequence(h["start"], h["start"] + h["len"] - 1))
+    hit_words = F.coalesce(F.flatten(inside), F.array().cast("array<int>"))
+    n_hit = F.size(F.array_distinct(hit_words)).cast("long")
+    names = F.flatten(F.transform("hits", lambda h: h["items"]))
+    items = F.array_sort(F.array_distinct(F.coalesce(names, F.array().cast("array<string>"))))
+    return [
+        F.col("n_words"),
+        n_hit.alias("n_hit"),
+        items.alias("items"),
+        ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"),
+    ]
+
+
 def judge(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -150,27 +164,7 @@ def judge(
     """
     rows = pick(docs, doc_id=id_col, text=text_col)
     found = find_windows(rows, benchmark, "text", item_id_col, item_text_col, window)
-    return found.select("doc_id", *_verdict(share))
-
-
-def _verdict(share: int) -> list[Column]:
-    none = F.array().cast("array<int>")
-    inside = F.transform("_found_hits", lambda h: F.sequence(h["start"], h["start"] + h["len"] - 1))
-    n_hit = F.size(F.array_distinct(F.coalesce(F.flatten(inside), none))).cast("long")
-    items = F.array_sort(
-        F.array_distinct(
-            F.coalesce(
-                F.flatten(F.transform("_found_hits", lambda h: h["items"])),
-                F.array().cast("array<string>"),
-            )
-        )
-    )
-    return [
-        F.col("_found_words").alias("n_words"),
-        n_hit.alias("n_hit"),
-        items.alias("items"),
-        ((n_hit > 0) & (n_hit * share >= F.col("_found_words"))).alias("contaminated"),
-    ]
+    return found.select("row.doc_id", *_verdict(share))
 
 
 def clean(
@@ -184,5 +178,4 @@ def clean(
 ) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     found = find_windows(docs, benchmark, text_col, item_id_col, item_text_col, window)
-    contaminated = _verdict(share)[-1]
-    return found.where(~contaminated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return found.where(~_verdict(share)[-1]).select("row.*")
