@@ -14,15 +14,21 @@ k ln k + 2k darts whatever the document's size; the rank is doubled while a coor
 Search. Signatures are cut into bands. Documents that agree in a band form a bucket:
 
 1. Equal word sequences collapse to one text first, whose classes carry over to all copies.
-2. In each bucket all texts are paired with one centre, and each text keeps its most promising centre by
-   the number of equal coordinates. These pairs are verified on the shingles, and join components.
-3. Where a bucket still holds several components, a second centre from another component is tried;
-   then all remaining pairs between different components are verified. Pairs within a component can't
-   change the classes, so they are never made, and a large group of copies costs a star, not its square.
-
-Pairs are verified unless their signatures agree in less than `HOPELESS` of the coordinates, which lies
-more than seven deviations below the limit.
-
+2. In each bucket all texts are paired with one centre, the text with the largest buckets: among copies
+   of one original that is the original or what comes closest to it. Each text keeps its most promising
+   centre by the number of equal coordinates. These pairs are verified on the shingles, and join
+   components.
+3. Where a bucket still holds several components, pairs between them can still be links. Buckets are cut
+   into blocks of bounded size, and each two blocks of a bucket meet in one row. A first pass compares
+   their signatures in NumPy and keeps, of each block, the texts with a promising partner in another
+   component, in the first bucket that the two share. A second pass gets the shingles of just these and
+   puts out the links alone, skipping pairs that links found before have connected.
+
+Pairs within a component can't change the classes, so they are never made. A large group of copies costs
+a star, and no table of pairs grows with the square of a group: what is written is texts and links.
+
+A pair is promising unless its signatures agree in less than `HOPELESS` of the coordinates, four
+deviations below the limit, so one link at the very limit in thirty thousand is missed by it.
 With 32 bands of 5 of 160 coordinates a pair at 0.8 escapes all bands with a chance of 3 in a million.
 
 Everything between steps is a table in the shared folder; the driver sees counts only. Shingles are sent
@@ -51,7 +57,10 @@ from hackney.session import stage
 WORDS = 5
 BANDS = 32
 BAND_ROWS = 5
-HOPELESS = 0.55
+HOPELESS = 0.67
+BLOCK_TEXTS = 1024  # texts of a bucket that are compared in one row
+BLOCK_BYTES_OF_SETS = 1 << 24
+ROWS = 512  # documents whose signatures are made together
 MASK = (1 << 64) - 1
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
@@ -192,8 +201,8 @@ def signatures(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, len(batch), 2048):
-                yield sign(batch.slice(lo, 2048))
+            for lo in range(0, len(batch), ROWS):
+                yield sign(batch.slice(lo, ROWS))
 
     def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes, begins = row_words(batch.column("text"))
@@ -255,8 +264,8 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, len(batch), 2048):
-                part = batch.slice(lo, 2048)
+            for lo in range(0, len(batch), ROWS):
+                part = batch.slice(lo, ROWS)
                 hashes, begins = row_words(part.column("text"))
                 values, cuts = shingles(hashes, begins, words)
                 sets = [
@@ -283,17 +292,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = np.zeros(len(batch), bool)
-            for i in range(len(batch)):
-                x, y = (
-                    np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in ("xa", "xb")
+            keep = [
+                _similar(
+                    *(np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in ("xa", "xb")),
+                    similarity,
                 )
-                small, large = sorted((len(x), len(y)))
-                if small < similarity * large:
-                    continue
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep[i] = shared >= similarity * (len(x) + len(y) - shared)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+                for i in range(len(batch))
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.select("a", "b", "xa", "xb").mapInArrow(run, "a binary, b binary")
 
@@ -307,7 +313,8 @@ def classes(
     bands: int = BANDS,
     band_rows: int = BAND_ROWS,
 ) -> DataFrame:
-    """`doc_id, class_id` and `text_key`, which is equal for equal word sequences."""
+    """`doc_id, class_id`, `text_key`, equal for equal word sequences, and `class_key`, the text key of
+    the document that names the class."""
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     whole = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     signed = stage(signatures(whole, words, bands, band_rows), "signatures")
@@ -319,112 +326,248 @@ def classes(
         ),
         "texts",
     )
-    member = texts.select("text_key", F.posexplode("bands").alias("band", "bucket"))
-    shared = (
-        member.groupBy("band", "bucket")
-        .agg(F.min("text_key").alias("centre"), F.max("text_key").alias("other"))
-        .where("centre <> other")
-        .drop("other")
-    )
-    buckets = stage(
-        member.join(shared, ["band", "bucket"]).select(
-            F.xxhash64("band", "bucket").alias("bucket"), "text_key", "centre"
-        ),
-        "buckets",
-    )
     k = bands * band_rows
 
     def promising(pairs: DataFrame) -> DataFrame:
-        return _agreement(pairs, texts, k).where(F.col("agree") >= HOPELESS)
+        return _agreement(pairs.distinct(), texts, k).where(F.col("agree") >= HOPELESS)
 
-    candidates = (
-        buckets.where("centre <> text_key")
-        .select(F.col("centre").alias("a"), F.col("text_key").alias("b"))
-        .distinct()
+    buckets = _shared_buckets(texts)
+    centres = (
+        buckets.groupBy("bucket")
+        .agg(F.max(F.struct("central", "text_key")).alias("centre"))
+        .select("bucket", F.col("centre.text_key").alias("centre"))
     )
-    first = promising(candidates).groupBy("b").agg(F.max(F.struct("agree", "a")).alias("best"))
+    pairs = buckets.join(stage(centres, "centres"), "bucket").where("centre <> text_key")
+    candidates = promising(pairs.select(F.col("centre").alias("a"), F.col("text_key").alias("b")))
+    first = candidates.groupBy("b").agg(F.max(F.struct("agree", "a")).alias("best"))
     stars = stage(first.select(F.col("best.a").alias("a"), "b"), "stars")
-    # Texts of any pair that signatures do not rule out; later pairs come from the same buckets.
     wanted = buckets.select("text_key").distinct().join(texts, "text_key").select("text_key", "doc_id")
     sets = stage(_shingle_sets(whole, wanted, words), "shingles")
     links = stage(_verified(stars, sets, similarity), "links")
     found = components(links)
-    for step in ("second centre", "rest"):
-        open_buckets = stage(_divided(buckets, found), "divided")
-        if open_buckets.isEmpty():
-            break
-        if step == "second centre":
-            pairs = open_buckets.where("component <> top").select(
-                F.least("text_key", "top_text").alias("a"),
-                F.greatest("text_key", "top_text").alias("b"),
-            )
-        else:
-            x = open_buckets.select("bucket", F.col("text_key").alias("a"), F.col("component").alias("ca"))
-            y = open_buckets.select("bucket", F.col("text_key").alias("b"), F.col("component").alias("cb"))
-            pairs = x.join(y, "bucket").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
-        more = promising(pairs.select("a", "b").distinct())
-        new = stage(_verified(more.select("a", "b"), sets, similarity), "links")
-        links = links.union(new)
-        found = components(links)
+    parted = _divided(buckets, found)
+    if not parted.isEmpty():
+        signs = texts.select("text_key", "signature", "bands")
+        fields = ["text_key", "component", "signature", "bands"]
+        near = _blocks(parted.join(signs, "text_key"), fields, F.lit(1.0 / BLOCK_TEXTS))
+        near = stage(near.mapInArrow(_promising_texts(k), "bucket long, text_key binary"), "near")
+        kept = parted.join(near.distinct(), ["bucket", "text_key"]).join(signs, "text_key")
+        share = 1.0 / BLOCK_TEXTS + F.octet_length("shingles") / float(BLOCK_BYTES_OF_SETS)
+        met = _blocks(kept.join(sets, "text_key"), [*fields, "shingles"], share)
+        more = stage(met.mapInArrow(_links_of_blocks(k, similarity), "a binary, b binary"), "links")
+        found = components(links.union(more))
     named = (
         texts.select("text_key", "doc_id")
         .join(found.withColumnRenamed("node", "text_key"), "text_key", "left")
         .withColumn("component", F.coalesce("component", "text_key"))
     )
-    least = stage(named.groupBy("component").agg(F.min("doc_id").alias("class_id")), "least")
+    least = named.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("least"))
     by_text = stage(
         stage(named.select("text_key", "component"), "named")
-        .join(least, "component")
-        .select("text_key", "class_id"),
+        .join(stage(least, "least"), "component")
+        .select("text_key", F.col("least.doc_id").alias("class_id"), F.col("least.text_key").alias("class_key")),
         "classes",
     )
     apart = rows.where(F.col("doc_id").isNull() | F.col("text").isNull())
+    no_key = F.lit(None).cast("binary")
     return (
         signed.select("doc_id", "text_key")
         .join(by_text, "text_key")
-        .select("doc_id", "class_id", "text_key")
-        .union(
-            apart.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(None).cast("binary"))
-        )
+        .select("doc_id", "class_id", "text_key", "class_key")
+        .union(apart.select("doc_id", F.col("doc_id").alias("class_id"), no_key, no_key))
+    )
+
+
+def _shared_buckets(texts: DataFrame) -> DataFrame:
+    """`bucket, band, text_key` of buckets with several texts, and how `central` the text is: the sum of
+    its buckets' sizes."""
+    member = texts.select("text_key", F.posexplode("bands").alias("band", "hash")).select(
+        "text_key", "band", F.xxhash64("band", "hash").alias("bucket")
+    )
+    sizes = member.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    sized = stage(member.join(stage(sizes, "sizes"), "bucket"), "sized")
+    central = sized.groupBy("text_key").agg(F.sum("size").alias("central"))
+    return stage(
+        sized.drop("size").join(stage(central, "central"), "text_key"), "buckets"
     )
 
 
 def _divided(buckets: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of buckets that hold several components, with the bucket's greatest component and one
-    of its texts."""
+    """`bucket, band, text_key, central, component` of buckets that hold several components."""
     known = found.withColumnRenamed("node", "text_key")
-    member = buckets.select("bucket", "text_key").join(known, "text_key", "left")
+    member = buckets.join(known, "text_key", "left")
     member = stage(
         member.withColumn("component", F.coalesce("component", "text_key")), "members"
     )
     several = (
         member.groupBy("bucket")
-        .agg(
-            F.min("component").alias("least"),
-            F.max(F.struct("component", "text_key")).alias("top"),
-        )
-        .where("least <> top.component")
-        .select(
-            "bucket", F.col("top.component").alias("top"), F.col("top.text_key").alias("top_text")
-        )
+        .agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        .where("least <> most")
+        .select("bucket")
+    )
+    return stage(member.join(stage(several, "several"), "bucket"), "divided")
+
+
+def _blocks(rows: DataFrame, fields: list[str], share) -> DataFrame:
+    """`bucket, band, left, right, same`: any two blocks of a bucket as lists of `fields`.
+
+    `share` is how much of a block a row fills; a bucket has as many blocks as its rows fill.
+    """
+    filled = rows.withColumn("share", share)
+    sizes = stage(
+        filled.groupBy("bucket").agg(F.ceil(F.sum("share")).cast("int").alias("blocks")), "sizes"
+    )
+    dealt = filled.join(sizes, "bucket").withColumn(
+        "block", F.pmod(F.xxhash64("text_key", "bucket"), F.col("blocks")).cast("int")
     )
-    return member.join(stage(several, "several"), "bucket")
+    # A block meets itself and each block of a higher number.
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    sides = dealt.withColumn("other", other).select(
+        "bucket",
+        "band",
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        F.when(F.col("block") <= F.col("other"), F.struct(*fields)).alias("left"),
+        F.when(F.col("block") >= F.col("other"), F.struct(*fields)).alias("right"),
+    )
+    return sides.groupBy("bucket", "band", "low", "high").agg(
+        F.collect_list("left").alias("left"),
+        F.collect_list("right").alias("right"),
+        (F.first("low") == F.first("high")).alias("same"),
+    )
+
+
+def _sides(batch: pa.RecordBatch, row: int, k: int) -> Iterator[dict]:
+    """The two lists of a row: keys, components, signatures and band hashes."""
+    for name in ("left", "right"):
+        items = batch.column(name)[row].values
+        signature = b"".join(items.field("signature").to_pylist())
+        bands = items.field("bands").flatten().to_numpy()
+        yield {
+            "items": items,
+            "keys": items.field("text_key").to_pylist(),
+            "components": items.field("component").to_pylist(),
+            "signature": np.frombuffer(signature, "<u2").reshape(len(items), k),
+            "bands": bands.reshape(len(items), -1),
+        }
+
+
+def _promising_pairs(batch: pa.RecordBatch, row: int, k: int) -> tuple[dict, dict, np.ndarray]:
+    """Both sides, and the pairs of their rows that may be links and share no earlier bucket."""
+    left, right = _sides(batch, row, k)
+    number = {c: n for n, c in enumerate({*left["components"], *right["components"]})}
+    parts = [np.array([number[c] for c in side["components"]]) for side in (left, right)]
+    band = batch.column("band")[row].as_py()
+    pairs = [np.zeros((0, 2), np.int64)]
+    for i in range(len(parts[0])):
+        lo = i + 1 if batch.column("same")[row].as_py() else 0
+        agree = (right["signature"][lo:] == left["signature"][i]).mean(1)
+        j = np.flatnonzero((agree >= HOPELESS) & (parts[1][lo:] != parts[0][i])) + lo
+        earlier = (right["bands"][j, :band] == left["bands"][i, :band]).any(1)
+        j = j[~earlier]
+        pairs.append(np.column_stack([np.full(len(j), i), j]))
+    return left, right, np.concatenate(pairs)
+
+
+def _promising_texts(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(len(batch)):
+                left, right, pairs = _promising_pairs(batch, row, k)
+                if len(pairs):
+                    keys = [left["keys"][i] for i in np.unique(pairs[:, 0])]
+                    keys += [right["keys"][j] for j in np.unique(pairs[:, 1])]
+                    bucket = batch.column("bucket")[row].as_py()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([bucket] * len(keys), pa.int64()), pa.array(keys, pa.binary())],
+                        names=["bucket", "text_key"],
+                    )
+
+    return run
+
+
+def _links_of_blocks(k: int, similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(len(batch)):
+                links = links_of(batch, row)
+                if links:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(side, pa.binary()) for side in zip(*links, strict=True)],
+                        names=["a", "b"],
+                    )
+
+    def links_of(batch: pa.RecordBatch, row: int) -> list[tuple[bytes, bytes]]:
+        left, right, pairs = _promising_pairs(batch, row, k)
+        up: dict[bytes, bytes] = {}
+
+        def root(x: bytes) -> bytes:
+            while (above := up.get(x, x)) != x:
+                x = above
+            return x
+
+        links = []
+        for i, j in pairs:
+            a, b = root(left["components"][i]), root(right["components"][j])
+            if a != b and _similar(_set_of(left, i), _set_of(right, j), similarity):
+                up[a] = b
+                links.append((left["keys"][i], right["keys"][j]))
+        return links
+
+    return run
+
+
+def _set_of(side: dict, i: int) -> np.ndarray:
+    return np.frombuffer(side["items"].field("shingles")[i].as_buffer(), np.uint64)
+
+
+def _similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)):
+        return False
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return shared >= similarity * (len(x) + len(y) - shared)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each class, the one that names it, with all columns.
 
-    Rows with a null id or text are kept. Of several rows with the class's id one is kept, as equal
-    rows are copies.
+    Rows with a null id or text are kept. Of several rows with the id and the text of the document
+    that names the class, any one is kept: they are copies.
     """
-    found = classes(docs, id_col, text_col).where("doc_id = class_id and text_key is not null")
-    chosen = stage(found.select(F.col("doc_id").alias("_kept_id"), "text_key").distinct(), "kept")
-    name, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    apart = docs.where(name.isNull() | text.isNull())
-    kept = (
-        docs.where(name.isNotNull() & text.isNotNull())
-        .join(chosen.select("_kept_id").distinct(), name.cast("long") == F.col("_kept_id"), "left_semi")
-        .select(*columns)
+    found = stage(classes(docs, id_col, text_col).where("text_key is not null"), "classes")
+    chosen = found.where("doc_id = class_id and text_key = class_key")
+    chosen = stage(chosen.select("doc_id", "text_key").distinct(), "chosen")
+    # Ids that several rows have: their rows are told apart by text, and copies dropped.
+    repeated = stage(
+        found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated"
+    )
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+        F.col(f"`{text_col}`").alias("text"),
+    )
+    apart = rows.where(F.col("doc_id").isNull() | F.col("text").isNull())
+    whole = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    plain = whole.join(
+        chosen.join(repeated, "doc_id", "left_anti").select("doc_id"), "doc_id", "left_semi"
+    )
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = pa.array(fingerprints(*row_words(batch.column("text"))), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("doc_id"), keys], names=["row", "doc_id", "text_key"]
+            )
+
+    schema = T.StructType(
+        [whole.schema["row"], T.StructField("doc_id", T.LongType()), T.StructField("text_key", T.BinaryType())]
+    )
+    several = (
+        whole.join(repeated, "doc_id", "left_semi")
+        .select("row", "doc_id", "text")
+        .mapInArrow(key, schema)
+        .join(chosen, ["doc_id", "text_key"], "left_semi")
+        .dropDuplicates(["doc_id", "text_key"])
     )
-    return kept.unionByName(apart.select(*columns))
+    kept = plain.select("row").union(several.select("row")).union(apart.select("row"))
+    return kept.select("row.*")
