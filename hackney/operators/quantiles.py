@@ -1,16 +1,22 @@
-"""Exact interpolated quantiles of tables of any size.
-
-Up to `IN_MEMORY_ROWS` rows Spark's own `percentile` is used; its state, which holds the values, is
-bounded by that number. A larger table is read a few more times, without a shuffle of its rows:
-sketches propose a narrow bracket of values around each wanted rank, and a counting pass proves that
-the rank lies in it. A rank that falls on an end of its bracket is then known. For the others the
-brackets are narrowed until at most `RANKED_ROWS` rows lie between their ends, and only the values
-within them are grouped and ranked.
+"""Exact interpolated quantiles of tables of any size, without shuffling their rows.
+
+One way serves every size. A pass of sketches proposes a bracket of values around each wanted rank, and
+a counting pass proves that the rank lies in it, or keeps the bracket that was known before. A rank that
+falls on an end of its bracket is then known. The other brackets are narrowed until at most
+`RANKED_ROWS` rows lie between their ends: by sketches of what lies between or, where those made no
+progress, by halving the doubles between the ends, which ends after 64 halvings at the latest. The few
+values within the brackets are grouped and ranked.
+
+A quantile is `lower + (upper - lower) * weight` of the values at the two neighbouring ranks. Equal
+neighbours, and a weight of 0, give the lower value itself. An infinite neighbour wins over a finite one;
+between -inf and inf the result is NaN. NaN sorts after all numbers, and a rank that falls on NaN, or
+between a number and NaN, gives NaN.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
@@ -23,18 +29,18 @@ from pyspark.sql import functions as F
 from hackney.functions.columns import present, rows_of
 from hackney.schema import METRIC_COLUMNS
 
-IN_MEMORY_ROWS = 100_000
 RANKED_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
-MAX_ROUNDS = 8
 PROBABILITIES = (0.50, 0.90, 0.95, 0.99)
+#: How far from the wanted share the sketch is asked; the first that covers its error is taken.
+MARGINS = (4, 40, 400, 4_000)  # in units of 1 / SKETCH_ACCURACY
 
-Bounds = tuple[float | None, float | None]
+Bounds = tuple[float, float]
 
 
 @dataclass(frozen=True)
 class _Bracket:
-    """Known bounds of one wanted rank among the sorted values of a column; None is unbounded."""
+    """Known bounds of one wanted rank among the sorted numbers of a column."""
 
     column: str
     probability: float
@@ -43,8 +49,10 @@ class _Bracket:
     below: int  # values < low
     through_low: int  # values <= low
     before_high: int  # values < high
-    low: float | None = None
-    high: float | None = None
+    low: float
+    high: float
+    stuck: bool = False  # the last proposal did not narrow the bracket
+    apart: Bounds | None = None  # the neighbours, where a proposed end fell between them
 
     @property
     def last_rank(self) -> int:
@@ -55,77 +63,97 @@ class _Bracket:
         return self.before_high - self.through_low
 
     @property
-    def known(self) -> float | None:
-        """The value at both ranks if they fall on the same end of the bracket."""
-        if self.low is not None and self.last_rank < self.through_low:
-            return self.low
-        if self.high is not None and self.rank >= self.before_high:
-            return self.high
-        return None
+    def known(self) -> Bounds | None:
+        """The neighbours, if both ranks fall on the same end of the bracket or were found apart."""
+        if self.last_rank < self.through_low:
+            return self.low, self.low
+        if self.rank >= self.before_high:
+            return self.high, self.high
+        return self.apart
 
     def strictly_inside(self, value: Column) -> Column:
-        return self._inside(value, value > self.low, value < self.high)
+        return (value > self.low) & (value < self.high)
 
     def inside(self, value: Column) -> Column:
-        return self._inside(value, value >= self.low, value <= self.high)
+        return (value >= self.low) & (value <= self.high)
 
-    def _inside(self, value: Column, above_low: Column, under_high: Column) -> Column:
-        condition = ~F.isnan(value)
-        if self.low is not None:
-            condition = condition & above_low
-        if self.high is not None:
-            condition = condition & under_high
-        return condition
+
+def _position(value: float) -> int:
+    """The double's place among all doubles in their order."""
+    bits = struct.unpack("<q", struct.pack("<d", value))[0]
+    return bits if bits >= 0 else -(bits & 0x7FFF_FFFF_FFFF_FFFF)
+
+
+def _at(position: int) -> float:
+    bits = abs(position)
+    value = struct.unpack("<d", struct.pack("<q", bits))[0]
+    return -value if position < 0 else value
+
+
+def _middle(low: float, high: float) -> float:
+    return _at((_position(low) + _position(high)) // 2)
 
 
 def _first_sketch(
-    values: DataFrame, probabilities: Sequence[float], rows: int
-) -> tuple[list[_Bracket], list[Bounds], list[tuple[_Bracket, float | None]]]:
+    values: DataFrame, probabilities: Sequence[float]
+) -> tuple[list[_Bracket], list[Bounds], list[tuple[_Bracket, float | None, float | None]]]:
     """Count every column and sketch it around the wanted probabilities, in one pass.
 
-    Returns the brackets to search, a proposal for each, and the results that are NaN or null.
+    Returns the brackets to search, a proposal for each, and the neighbours that are NaN or null.
     """
-    margin = 2 / SKETCH_ACCURACY + 2 / rows
     shares = [
-        min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-margin, margin)
+        min(max(p + side * m / SKETCH_ACCURACY, 0.0), 1.0)
+        for p in probabilities
+        for m in MARGINS
+        for side in (-1, 1)
     ]
     aggregates = []
-    for name in values.columns:
-        column = F.col(name)
-        number = F.when(~F.isnan(column), column)
+    for i, name in enumerate(values.columns):
+        number = F.when(~F.isnan(name), F.col(name))
         aggregates += [
-            F.count(column).alias(f"{name} all"),
-            F.count(number).alias(f"{name} numbers"),
-            F.percentile_approx(number, shares, SKETCH_ACCURACY).alias(f"{name} sketch"),
+            F.count(name).alias(f"{i} all"),
+            F.count(number).alias(f"{i} numbers"),
+            F.min(number).alias(f"{i} least"),
+            F.max(number).alias(f"{i} most"),
+            F.percentile_approx(number, shares, SKETCH_ACCURACY).alias(f"{i} sketch"),
         ]
     seen = values.agg(*aggregates).first()
 
     search, proposals, results = [], [], []
-    for name in values.columns:
-        for i, probability in enumerate(probabilities):
-            count, numbers = seen[f"{name} all"], seen[f"{name} numbers"]
+    for i, name in enumerate(values.columns):
+        count, numbers = seen[f"{i} all"], seen[f"{i} numbers"]
+        for k, probability in enumerate(probabilities):
             position = max(count - 1, 0) * probability
             rank = math.floor(position)
-            bracket = _Bracket(name, probability, rank, position - rank, 0, 0, numbers)
+            ends = (seen[f"{i} least"], seen[f"{i} most"])
+            bracket = _Bracket(name, probability, rank, position - rank, 0, 0, numbers, *ends)
             if bracket.last_rank >= numbers:
                 # NaN sorts last; without any value the rank is beyond the end as well.
-                results.append((bracket, math.nan if count else None))
-            else:
-                search.append(bracket)
-                proposals.append(tuple(seen[f"{name} sketch"][2 * i : 2 * i + 2]))
+                beyond = math.nan if count else None
+                results.append((bracket, beyond, beyond))
+                continue
+            error = 2 / SKETCH_ACCURACY + 2 / numbers
+            m = next((j for j, m in enumerate(MARGINS) if m / SKETCH_ACCURACY >= error), None)
+            at = 2 * (len(MARGINS) * k + (m or 0))
+            search.append(bracket)
+            proposals.append(ends if m is None else tuple(seen[f"{i} sketch"][at : at + 2]))
     return search, proposals, results
 
 
-def _sketch_again(
-    values: DataFrame, brackets: Sequence[_Bracket]
-) -> list[Bounds]:
-    """Propose a narrower bracket for each, from sketches of what lies strictly inside."""
+def _next_proposals(values: DataFrame, brackets: Sequence[_Bracket]) -> list[Bounds]:
+    """Narrower bounds for each bracket: sketches of what lies between, or one half of the doubles."""
     margin = 2 / SKETCH_ACCURACY
     wanted = defaultdict(list)
+    proposals: list[Bounds] = [(b.low, b.high) for b in brackets]
     for i, bracket in enumerate(brackets):
+        if bracket.stuck:
+            proposals[i] = (bracket.low, _middle(bracket.low, bracket.high))
+            continue
         start = (bracket.rank - bracket.through_low) / bracket.between - margin
         end = (bracket.last_rank + 1 - bracket.through_low) / bracket.between + margin
         wanted[(bracket.column, bracket.low, bracket.high)].append((i, start, end))
+    if not wanted:
+        return proposals
     sketches = [
         F.percentile_approx(
             F.when(brackets[members[0][0]].strictly_inside(F.col(column)), F.col(column)),
@@ -135,8 +163,7 @@ def _sketch_again(
         for (column, _, _), members in wanted.items()
     ]
     seen = values.agg(*[s.alias(str(i)) for i, s in enumerate(sketches)]).first()
-    proposals: list[Bounds] = [(None, None)] * len(brackets)
-    for found, members in zip(seen, wanted.values()):
+    for found, members in zip(seen, wanted.values(), strict=True):
         for k, (i, start, end) in enumerate(members):
             proposals[i] = (
                 found[2 * k] if start > 0 else brackets[i].low,
@@ -146,48 +173,50 @@ def _sketch_again(
 
 
 def _confirm(
-    values: DataFrame,
-    brackets: Sequence[_Bracket],
-    proposals: Sequence[Bounds],
+    values: DataFrame, brackets: Sequence[_Bracket], proposals: Sequence[Bounds]
 ) -> list[_Bracket]:
-    """Count exactly around every proposal; keep the old bracket where the rank lies outside."""
+    """Count exactly around every proposal and keep that part of the bracket in which the rank lies."""
 
     def total(condition: Column) -> Column:
         return F.sum(F.when(condition, 1).otherwise(0))
 
+    # Zero has one sign here: Spark may take the literals 0.0 and -0.0 of one aggregate for the same.
+    proposals = [(low + 0.0, high + 0.0) for low, high in proposals]
     aggregates = []
-    for bracket, (low, high) in zip(brackets, proposals):
-        column = F.col(bracket.column)
-        never, always = F.lit(False), column.isNotNull() & ~F.isnan(column)
+    for bracket, (low, high) in zip(brackets, proposals, strict=True):
+        number = F.when(~F.isnan(bracket.column), F.col(bracket.column))
         aggregates += [
-            total(never if low is None else column < low),
-            total(never if low is None else column <= low),
-            total(always if high is None else column < high),
-            total(always if high is None else column <= high),
+            total(number < low),
+            total(number <= low),
+            total(number < high),
+            total(number <= high),
+            F.max(F.when(number < high, number)),
+            F.min(F.when(number > high, number)),
         ]
     counts = values.agg(*[a.alias(str(i)) for i, a in enumerate(aggregates)]).first()
     confirmed = []
-    for i, (bracket, (low, high)) in enumerate(zip(brackets, proposals)):
-        below, through_low, before_high, through_high = counts[4 * i : 4 * i + 4]
-        if below <= bracket.rank and bracket.last_rank < through_high:
-            bracket = replace(
-                bracket,
-                low=low,
-                high=high,
-                below=below,
-                through_low=through_low,
-                before_high=max(before_high, through_low),
-            )
-        confirmed.append(bracket)
+    for i, (old, (low, high)) in enumerate(zip(brackets, proposals, strict=True)):
+        below, through_low, before_high, through_high, before, after = counts[6 * i : 6 * i + 6]
+        new = old
+        if below <= old.rank and old.last_rank < through_high:
+            new = replace(old, low=low, high=high, below=below, through_low=through_low,
+                          before_high=max(before_high, through_low))
+        elif before_high <= old.rank:  # the values lie at the proposed end and above
+            new = replace(old, low=high, below=before_high, through_low=through_high,
+                          before_high=max(old.before_high, through_high))
+        elif old.rank < through_high <= old.last_rank:  # the proposed end lies between the two
+            new = replace(old, apart=(before, after))
+        confirmed.append(replace(new, stuck=2 * new.between > old.between))
     return confirmed
 
 
 def _rank_inside(values: DataFrame, brackets: Sequence[_Bracket]) -> DataFrame:
-    """Group the values within each bracket and read off the wanted ranks."""
-    # One value per row, so that the filter tests a stored value however dear its expression is.
-    column_name, value = F.col("column_name"), F.col("value")
+    """Group the values within each bracket and read off the neighbours of the wanted ranks."""
     searched = sorted({b.column for b in brackets})
-    single = values.select(*searched).unpivot([], searched, "column_name", "value")
+    # Only rows with a value in some bracket are turned into one row per column.
+    some = reduce(or_, [b.inside(F.col(b.column)) for b in brackets])
+    column_name, value = F.col("column_name"), F.col("value")
+    single = values.select(*searched).where(some).unpivot([], searched, "column_name", "value")
 
     def inside(b: _Bracket) -> Column:
         return b.inside(value) & (column_name == b.column)
@@ -213,113 +242,94 @@ def _rank_inside(values: DataFrame, brackets: Sequence[_Bracket]) -> DataFrame:
     )
     ascending = Window.partitionBy("column_name", "probability").orderBy("value")
     through = F.col("through")
-    neighbours = (
+    return (
         counted.withColumn("through", F.sum("n").over(ascending))
         .groupBy("column_name", "probability", "weight")
         .agg(
             F.min(F.when(through > F.col("skip"), value)).alias("lower"),
             F.min(F.when(through > F.col("skip") + 1, value)).alias("upper"),
         )
+        .select("column_name", "probability", "lower", "upper", "weight")
     )
-    lower, upper, weight = F.col("lower"), F.col("upper"), F.col("weight")
-    interpolated = F.when(weight > 0, lower + (upper - lower) * weight).otherwise(lower)
-    return neighbours.select("column_name", "probability", interpolated.alias("value"))
 
 
 def _literal_results(
-    values: DataFrame, results: Sequence[tuple[_Bracket, float | None]]
+    values: DataFrame, results: Sequence[tuple[_Bracket, float | None, float | None]]
 ) -> DataFrame:
     rows = [
         F.struct(
             F.lit(b.column).alias("column_name"),
             F.lit(b.probability).alias("probability"),
-            F.lit(value).cast("double").alias("value"),
+            F.lit(lower).cast("double").alias("lower"),
+            F.lit(upper).cast("double").alias("upper"),
+            F.lit(b.weight).alias("weight"),
         )
-        for b, value in results
+        for b, lower, upper in results
     ]
     return rows_of(values.sparkSession.range(1), rows)
 
 
-def _one_per_row(
-    lists: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
-) -> DataFrame:
-    """Rows `column_name, probability, value` from one row with a list of values per column."""
-    return rows_of(
-        lists,
-        [
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.lit(probability).alias("probability"),
-                F.get(name, F.lit(i)).alias("value"),
-            )
-            for name in columns
-            for i, probability in enumerate(probabilities)
-        ],
-    )
-
-
-def exact_quantiles(
+def exact_neighbours(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float] = PROBABILITIES,
-    in_memory_rows: int = IN_MEMORY_ROWS,
     ranked_rows: int = RANKED_ROWS,
 ) -> DataFrame:
-    """`column_name, probability, value`: linear interpolation between neighbours, nulls ignored.
+    """`column_name, probability, lower, upper, weight`: the values that a quantile lies between.
 
     `df` is read several times: pass a stored table, or a staged one if it is dear to compute.
     """
     values = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
-    rows = values.count()
-    if rows <= in_memory_rows:
-        lists = values.agg(
-            *[F.percentile(name, list(probabilities)).alias(name) for name in columns]
+    if not columns:
+        return values.sparkSession.createDataFrame(
+            [], "column_name string, probability double, lower double, upper double, weight double"
         )
-        return _one_per_row(lists, columns, probabilities)
-
-    wide, proposals, results = _first_sketch(values, probabilities, rows)
+    wide, proposals, results = _first_sketch(values, probabilities)
     narrow: list[_Bracket] = []
-    for _ in range(MAX_ROUNDS):
-        if not wide:
-            break
+    while wide:
         confirmed = _confirm(values, wide, proposals)
-        results += [(b, b.known) for b in confirmed if b.known is not None]
+        results += [(b, *b.known) for b in confirmed if b.known is not None]
         unknown = [b for b in confirmed if b.known is None]
         narrow += [b for b in unknown if b.between <= max(ranked_rows, 1)]
         wide = [b for b in unknown if b.between > max(ranked_rows, 1)]
         if wide:
-            proposals = _sketch_again(values, wide)
+            proposals = _next_proposals(values, wide)
 
     parts = []
-    if narrow or wide:
-        parts.append(_rank_inside(values, narrow + wide))
+    if narrow:
+        parts.append(_rank_inside(values, narrow))
     if results:
         parts.append(_literal_results(values, results))
     return reduce(DataFrame.unionByName, parts)
 
 
-def approximate_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int
-) -> DataFrame:
-    """Like `exact_quantiles` from one pass, with a rank error of at most 1 / `accuracy`."""
-    lists = df.agg(
-        *[
-            F.percentile_approx(F.col(name).cast("double"), list(probabilities), accuracy).alias(
-                name
-            )
-            for name in columns
-        ]
+def interpolated(lower: Column, upper: Column, weight: Column) -> Column:
+    infinite = (F.abs(lower) == math.inf) | (F.abs(upper) == math.inf)
+    opposite = (F.abs(lower) == math.inf) & (F.abs(upper) == math.inf)
+    return (
+        F.when((weight == 0) | (lower == upper), lower)
+        .when(opposite, F.lit(math.nan))
+        .when(infinite, F.when(F.abs(lower) == math.inf, lower).otherwise(upper))
+        .otherwise(lower + (upper - lower) * weight)
     )
-    return _one_per_row(lists, columns, probabilities)
 
 
-def metric_percentiles(prepared: DataFrame, accuracy: int | None = None) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float] = PROBABILITIES,
+    ranked_rows: int = RANKED_ROWS,
+) -> DataFrame:
+    """`column_name, probability, value`: linear interpolation between neighbours, nulls ignored."""
+    found = exact_neighbours(df, columns, probabilities, ranked_rows)
+    value = interpolated(F.col("lower"), F.col("upper"), F.col("weight"))
+    return found.select("column_name", "probability", value.alias("value"))
+
+
+def metric_percentiles(prepared: DataFrame) -> DataFrame:
     """The median and upper percentiles of each metric: one row with a list per metric."""
     names = present(prepared, METRIC_COLUMNS, at_least=1)
-    if accuracy is None:
-        quantiles = exact_quantiles(prepared, names)
-    else:
-        quantiles = approximate_quantiles(prepared, names, PROBABILITIES, accuracy)
+    quantiles = exact_quantiles(prepared, names)
     lists = []
     for name in names:
         entry = F.when(F.col("column_name") == name, F.struct("probability", "value"))

@@ -48,7 +48,7 @@ def test_bracketed_quantiles_are_exact(spark, monkeypatch, accuracy, limit):
     )
     df = stage(df, "values")
     stored = df.toPandas()
-    found = found_quantiles(df, df.columns, in_memory_rows=0, ranked_rows=limit)
+    found = found_quantiles(df, df.columns, ranked_rows=limit)
     for name in df.columns:
         values = stored[name].dropna().to_numpy()
         for p in PROBABILITIES:
@@ -57,9 +57,12 @@ def test_bracketed_quantiles_are_exact(spark, monkeypatch, accuracy, limit):
 
 @pytest.mark.parametrize("limit", [0, 1_000_000])
 def test_quantiles_of_nan_null_and_nothing(spark, limit):
+    empty = spark.createDataFrame([], "v double")
+    assert set(found_quantiles(empty, ["v"], ranked_rows=limit).values()) == {None}
+    assert exact_quantiles(empty, []).count() == 0
     rows = [(float(i), None, math.nan if i > 6 else float(i)) for i in range(10)]
     df = spark.createDataFrame(rows, "full double, absent double, some_nan double")
-    found = found_quantiles(df, df.columns, in_memory_rows=limit)
+    found = found_quantiles(df, df.columns, ranked_rows=limit)
     assert found[("full", 0.5)] == 4.5
     assert found[("absent", 0.5)] is None
     assert found[("some_nan", 0.5)] == 4.5
@@ -75,10 +78,10 @@ def test_quantiles_of_nan_null_and_nothing(spark, limit):
         st.floats(allow_nan=False, allow_infinity=False, width=32), min_size=1, max_size=40
     )
 )
-def test_both_ways_agree_with_numpy(spark, values):
+def test_any_limit_agrees_with_numpy(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
     for limit in [0, 1_000]:
-        found = found_quantiles(df, ["v"], in_memory_rows=limit)
+        found = found_quantiles(df, ["v"], ranked_rows=limit)
         for p in PROBABILITIES:
             expected = np.quantile(values, p)
             assert found[("v", p)] == pytest.approx(expected, rel=1e-9, abs=1e-30)
@@ -94,10 +97,47 @@ def test_metric_percentiles_have_one_list_per_metric(spark):
         assert rows[0][f"{name}_q"] == pytest.approx(expected)
 
 
-def test_approximate_percentiles_stay_within_their_rank_error(spark):
-    ids = spark.range(10_001).select(F.col("id").cast("double").alias("trip_distance"))
-    row = metric_percentiles(ids, accuracy=1_000).first()
-    assert row["trip_distance_q"] == pytest.approx([5_000, 9_000, 9_500, 9_900], abs=11)
+@pytest.mark.parametrize("limit", [0, 1_000_000])
+def test_quantiles_beside_infinity(spark, limit):
+    inf = math.inf
+    df = spark.createDataFrame([(v, abs(v)) for v in (-inf, inf, 1.0, 2.0)], "both double, one double")
+    found = exact_quantiles(df, ["both", "one"], [0.0, 0.25, 0.5, 0.75, 1.0], ranked_rows=limit)
+    by_column = {}
+    for r in sorted(found.collect()):
+        by_column.setdefault(r["column_name"], []).append(r["value"])
+    assert by_column["both"] == [-inf, -inf, 1.5, inf, inf]
+    assert by_column["one"] == [1.0, 1.75, inf, inf, inf]
+    two = exact_quantiles(spark.createDataFrame([(-inf,), (inf,)], "v double"), ["v"], [0.5])
+    assert math.isnan(two.first()["value"])
+
+
+@pytest.mark.parametrize("limit", [0, 3, 1_000_000])
+def test_quantiles_of_large_integers(spark, limit):
+    values = [1_700_000_000_000_000 + 7 * k for k in range(50)]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    found = found_quantiles(df, ["v"], ranked_rows=limit)
+    for p in PROBABILITIES:
+        assert found[("v", p)] == np.quantile(np.array(values, float), p)
+
+
+def test_brackets_narrow_without_help_of_sketches(spark, monkeypatch):
+    """Halving the doubles alone reaches every rank, also across zero and magnitudes."""
+    first = q._first_sketch
+
+    def blind(values, probabilities):
+        brackets, _, results = first(values, probabilities)
+        return brackets, [(b.low, q._middle(b.low, b.high)) for b in brackets], results
+
+    def halves(values, brackets):
+        return [(b.low, q._middle(b.low, b.high)) for b in brackets]
+
+    monkeypatch.setattr(q, "_first_sketch", blind)
+    monkeypatch.setattr(q, "_next_proposals", halves)
+    values = [(-1.0) ** k * 10.0 ** (k % 37 - 18) * (k + 1) for k in range(400)] + [3.5] * 50
+    df = stage(spark.createDataFrame([(v,) for v in values], "v double"), "values")
+    found = found_quantiles(df, ["v"], ranked_rows=5)
+    for p in PROBABILITIES:
+        assert found[("v", p)] == pytest.approx(np.quantile(np.array(values), p), rel=1e-12)
 
 
 @pytest.mark.parametrize("bins", [1, 7, 80, 100])
@@ -151,6 +191,23 @@ def test_describe_timestamps_matches_pandas(spark):
         assert abs(pd.Timestamp(row["mean"]) - column["mean"]) < pd.Timedelta("1us")
 
 
+def test_zoned_timestamps_are_described_in_wall_time(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT TIMESTAMP '2024-01-05 08:00:00' AS t")
+        assert describe_timestamps(df).first()["p50"] == at("2024-01-05 08:00:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_timestamp_quartiles_do_not_round_up(spark):
+    """A double of this size holds halves of a microsecond only."""
+    rows = [("2200-01-01 00:00:00.000001",), ("2200-01-01 00:00:00.000002",)]
+    df = spark.createDataFrame(rows, "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+    assert describe_timestamps(df).first()["p75"] == at("2200-01-01 00:00:00.000001")
+
+
 def test_describe_categorical(spark):
     rows = [("a", None), ("b", None), ("b", None), ("a", None), (None, None)]
     df = spark.createDataFrame(rows, "flag string, empty string")
