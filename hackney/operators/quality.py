@@ -19,20 +19,25 @@ from hackney.schema import PREPARED_KEY, RAW_KEY
 from hackney.session import stage
 
 
-def row_count(df: DataFrame) -> DataFrame:
-    """Rows and columns."""
-    rows = F.count(F.lit(1)).alias("row_count")
-    return df.agg(rows).withColumn("column_count", F.lit(len(df.columns)))
-
+def column_facts(df: DataFrame) -> DataFrame:
+    """One row: the rows (`0`) and, per column position from 1, the values that are present, and the
+    least value of each timestamp.
 
-def _non_missing(df: DataFrame) -> DataFrame:
-    """One row: the rows (`0`) and, per column position from 1, the values that are present."""
+    The functions below take it as `facts`, so that a report computes it once for all of them.
+    """
     counts = [F.count(F.lit(1)).alias("0")]
     counts += [F.count(nan_as_null(df, name)).alias(str(i)) for i, name in enumerate(df.columns, 1)]
-    return df.agg(*counts)
+    least = [F.min(name).alias(f"min_{name}") for name in of_type(df, TIMESTAMP_TYPES)]
+    return df.agg(*counts, *least)
+
+
+def row_count(df: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+    """Rows and columns."""
+    rows = df.agg(F.count(F.lit(1)).alias("0")) if facts is None else facts
+    return rows.select(F.col("0").alias("row_count"), F.lit(len(df.columns)).alias("column_count"))
 
 
-def column_inventory(df: DataFrame) -> DataFrame:
+def column_inventory(df: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Position, name, type and number of present values of every column."""
     described = [
         F.struct(
@@ -43,10 +48,10 @@ def column_inventory(df: DataFrame) -> DataFrame:
         )
         for i, field in enumerate(df.schema, 1)
     ]
-    return rows_of(_non_missing(df), described)
+    return rows_of(column_facts(df) if facts is None else facts, described)
 
 
-def missing_summary(df: DataFrame) -> DataFrame:
+def missing_summary(df: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """Missing values (null or NaN) per column, as count and percent, most first."""
     rows = F.col("0")
     per_column = [
@@ -57,7 +62,8 @@ def missing_summary(df: DataFrame) -> DataFrame:
         )
         for i, name in enumerate(df.columns, 1)
     ]
-    return rows_of(_non_missing(df), per_column).orderBy(F.desc("null_count"), "column_name")
+    seen = column_facts(df) if facts is None else facts
+    return rows_of(seen, per_column).orderBy(F.desc("null_count"), "column_name")
 
 
 def nonpositive_distance(trips: DataFrame) -> DataFrame:
@@ -85,10 +91,18 @@ def problem_fares(
     return trips.select(F.inline(failing))
 
 
-def min_dates(df: DataFrame, suffix: str = "_datetime") -> DataFrame:
-    """The first date of every timestamp column whose name ends with `suffix`."""
+def min_dates(
+    df: DataFrame, suffix: str = "_datetime", facts: DataFrame | None = None
+) -> DataFrame:
+    """The first date of every timestamp column whose name ends with `suffix`.
+
+    Without such a column the result has no columns and no rows.
+    """
     names = [name for name in of_type(df, TIMESTAMP_TYPES) if name.endswith(suffix)]
-    return df.agg(*[F.to_date(F.min(name)).alias(f"min_{name}") for name in names])
+    if not names:
+        return df.sparkSession.range(0).select()
+    least = df.agg(*[F.min(n).alias(f"min_{n}") for n in names]) if facts is None else facts
+    return least.select(*[F.to_date(f"min_{name}").alias(f"min_{name}") for name in names])
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -140,29 +154,40 @@ def _failing(condition: Column) -> Column:
     return F.sum(F.when(condition, 1).otherwise(0))
 
 
-def range_checks(prepared: DataFrame) -> DataFrame:
-    """How many trips lie outside the reasonable range of each metric."""
+def range_conditions(prepared: DataFrame) -> dict[str, Column]:
+    """What puts a trip outside the reasonable range of a metric, for the metrics that exist."""
     distance, amount = F.col("trip_distance"), F.col("total_amount")
     minutes, speed = F.col("trip_duration_min"), F.col("avg_mph")
-    return prepared.agg(
-        _failing(distance < 0).alias("trip_distance_negative"),
-        _failing(distance > 100).alias("trip_distance_gt_100"),
-        _failing(amount < 0).alias("total_amount_negative"),
-        _failing(amount > 500).alias("total_amount_gt_500"),
-        _failing(minutes <= 0).alias("duration_le_0"),
-        _failing(minutes > 300).alias("duration_gt_300"),
-        _failing(speed > 90).alias("avg_mph_gt_90"),
-        _failing(speed < 0).alias("avg_mph_negative"),
-    )
+    tests = {
+        "trip_distance": {
+            "trip_distance_negative": distance < 0,
+            "trip_distance_gt_100": distance > 100,
+        },
+        "total_amount": {
+            "total_amount_negative": amount < 0,
+            "total_amount_gt_500": amount > 500,
+        },
+        "trip_duration_min": {"duration_le_0": minutes <= 0, "duration_gt_300": minutes > 300},
+        "avg_mph": {"avg_mph_gt_90": speed > 90, "avg_mph_negative": speed < 0},
+    }
+    return {k: v for name in present(prepared, tests) for k, v in tests[name].items()}
+
+
+def range_checks(prepared: DataFrame) -> DataFrame:
+    """How many trips lie outside the reasonable range of each metric."""
+    checks = range_conditions(prepared)
+    return prepared.agg(*[_failing(test).alias(name) for name, test in checks.items()])
+
+
+def zone_conditions(prepared: DataFrame) -> dict[str, Column]:
+    """A trip without a pickup or dropoff zone or borough, for the columns that exist."""
+    names = [f"{role}_{name}" for name in ["Zone", "Borough"] for role in ["PU", "DO"]]
+    return {f"{n.lower()}_missing": F.col(n).isNull() for n in present(prepared, names)}
 
 
 def zone_coverage(prepared: DataFrame) -> DataFrame:
     """Trips without a pickup or dropoff zone or borough, as counts and percent."""
-    checked = {
-        f"{role.lower()}_{name.lower()}_missing": F.col(f"{role}_{name}").isNull()
-        for name in ["Zone", "Borough"]
-        for role in ["PU", "DO"]
-    }
+    checked = zone_conditions(prepared)
     counts = prepared.agg(
         F.count(F.lit(1)).alias("rows"),
         *[_failing(condition).alias(name) for name, condition in checked.items()],

@@ -2,38 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hackney.functions.labels import labelled_zones
 
-# A zone row takes some hundred bytes, so this many stay near Spark's own broadcast threshold.
-BROADCAST_ROWS = 100_000
-
-
 def checked_dimension(zones: DataFrame) -> DataFrame:
-    """Reject repeated ids, which would multiply trips, and hint a broadcast if small enough.
+    """Reject repeated ids, which would multiply trips.
 
-    A larger dimension is left to Spark, which then shuffles and splits skewed keys at run time.
+    Spark broadcasts the zones by their size; if they are larger than its limit, it shuffles and splits
+    skewed keys at run time.
     """
     ids = F.col("LocationID")
     seen = zones.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(ids).alias("ids"),
-        F.count_distinct(ids).alias("distinct_ids"),
+        F.count(ids).alias("ids"), F.count_distinct(ids).alias("distinct_ids")
     ).first()
     if seen["ids"] != seen["distinct_ids"]:
         raise ValueError(f"{seen['ids'] - seen['distinct_ids']} repeated LocationID in the zones")
-    return F.broadcast(zones) if seen["rows"] <= BROADCAST_ROWS else zones
+    return zones
 
 
-def add_zone_attributes(trips: DataFrame, zones: DataFrame) -> DataFrame:
+def add_zone_attributes(
+    trips: DataFrame, zones: DataFrame, roles: Sequence[str] = ("PU", "DO")
+) -> DataFrame:
     """Pickup (`PU_*`) and dropoff (`DO_*`) zone fields; trips without a match keep nulls."""
     attributes = ["Borough", "Zone", "service_zone"]
     dimension = checked_dimension(
         zones.select(F.col("LocationID").try_cast("int").alias("LocationID"), *attributes)
     )
-    for role in ["PU", "DO"]:
+    for role in roles:
         key = f"{role}LocationID"
         fields = dimension.select(
             F.col("LocationID").alias(key),
@@ -66,24 +65,46 @@ def top_zones_labelled(trips: DataFrame, zones: DataFrame, k: int = 20) -> DataF
     )
 
 
-def top_pickup_zones(prepared: DataFrame, k: int = 20) -> DataFrame:
+def _named(counts: DataFrame, zones: DataFrame | None, roles: list[str]) -> DataFrame:
+    """Attach zone attributes to counts by id; a stored prepared table has them already."""
+    return counts if zones is None else add_zone_attributes(counts, zones, roles)
+
+
+def top_pickup_zones(trips: DataFrame, zones: DataFrame | None = None, k: int = 20) -> DataFrame:
+    """The `k` busiest pickup zones of a prepared table, or of trips with ids and the zones.
+
+    With zones, trips are counted by id and only the counts meet the names.
+    """
+    key = ["PU_Borough", "PU_Zone"] if zones is None else ["PULocationID"]
+    counts = trips.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     return (
-        prepared.groupBy("PU_Borough", "PU_Zone")
-        .agg(F.count(F.lit(1)).alias("trips"))
+        _named(counts, zones, ["PU"])
+        .groupBy("PU_Borough", "PU_Zone")
+        .agg(F.sum("n").alias("trips"))
         .orderBy(F.desc("trips"), F.asc_nulls_last("PU_Borough"), F.asc_nulls_last("PU_Zone"))
         .limit(k)
     )
 
 
-def top_od_pairs(prepared: DataFrame, k: int = 20) -> DataFrame:
-    """The `k` busiest pickup-dropoff pairs with their mean distance and amount."""
+def top_od_pairs(trips: DataFrame, zones: DataFrame | None = None, k: int = 20) -> DataFrame:
+    """The `k` busiest pickup-dropoff pairs with their mean distance and amount.
+
+    Takes a prepared table, or trips with ids and the zones; then trips are counted by the pair of ids.
+    """
+    key = ["PU_Zone", "DO_Zone"] if zones is None else ["PULocationID", "DOLocationID"]
+    measures = ["trip_distance", "total_amount"]
+    counts = trips.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(m).alias(f"{m}_sum") for m in measures],
+        *[F.count(m).alias(f"{m}_n") for m in measures],
+    )
+    means = [
+        F.try_divide(F.sum(f"{m}_sum"), F.sum(f"{m}_n")).alias(f"avg_{m}") for m in measures
+    ]
     return (
-        prepared.groupBy("PU_Zone", "DO_Zone")
-        .agg(
-            F.count(F.lit(1)).alias("trips"),
-            F.avg("trip_distance").alias("avg_trip_distance"),
-            F.avg("total_amount").alias("avg_total_amount"),
-        )
+        _named(counts, zones, ["PU", "DO"])
+        .groupBy("PU_Zone", "DO_Zone")
+        .agg(F.sum("n").alias("trips"), *means)
         .orderBy(F.desc("trips"), F.asc_nulls_last("PU_Zone"), F.asc_nulls_last("DO_Zone"))
         .limit(k)
     )

@@ -2,46 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 PICKUP = "tpep_pickup_datetime"
 DROPOFF = "tpep_dropoff_datetime"
 
-# The documented column layout of the monthly trip files.
-RAW_TRIPS = T.StructType(
-    [
-        T.StructField("VendorID", T.IntegerType()),
-        T.StructField("tpep_pickup_datetime", T.TimestampNTZType()),
-        T.StructField("tpep_dropoff_datetime", T.TimestampNTZType()),
-        T.StructField("passenger_count", T.DoubleType()),
-        T.StructField("trip_distance", T.DoubleType()),
-        T.StructField("RatecodeID", T.DoubleType()),
-        T.StructField("store_and_fwd_flag", T.StringType()),
-        T.StructField("PULocationID", T.IntegerType()),
-        T.StructField("DOLocationID", T.IntegerType()),
-        T.StructField("payment_type", T.IntegerType()),
-        T.StructField("fare_amount", T.DoubleType()),
-        T.StructField("extra", T.DoubleType()),
-        T.StructField("mta_tax", T.DoubleType()),
-        T.StructField("tip_amount", T.DoubleType()),
-        T.StructField("tolls_amount", T.DoubleType()),
-        T.StructField("improvement_surcharge", T.DoubleType()),
-        T.StructField("total_amount", T.DoubleType()),
-        T.StructField("congestion_surcharge", T.DoubleType()),
-        T.StructField("Airport_fee", T.DoubleType()),
-    ]
-)
-
-# The documented column layout of the zone lookup.
-ZONES = T.StructType(
-    [
-        T.StructField("LocationID", T.IntegerType()),
-        T.StructField("Borough", T.StringType()),
-        T.StructField("Zone", T.StringType()),
-        T.StructField("service_zone", T.StringType()),
-    ]
-)
-
+# The columns that counts, metrics and keys are made of.
 CODE_COLUMNS = ["passenger_count", "payment_type", "RatecodeID"]
 CATEGORICAL_COLUMNS = ["VendorID", "RatecodeID", "payment_type", "store_and_fwd_flag"]
 METRIC_COLUMNS = ["trip_distance", "total_amount", "trip_duration_min", "avg_mph"]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Mapping
 from functools import lru_cache
@@ -42,27 +41,32 @@ def get_session(app_name: str, env: Mapping[str, str] = os.environ) -> SparkSess
     return builder.getOrCreate()
 
 
-@lru_cache(maxsize=1)
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="hackney-")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir` of the session.
 
-    Only a local-mode session without that setting gets a temporary folder.
+    Where that is unset, a folder beside the warehouse, which executors write to as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_scratch()
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-scratch"
+
+
+@lru_cache(maxsize=8)
+def _cleared_at_end(spark: SparkSession, folder: str) -> str:
+    """Make the folder and have the file system delete it when the application ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/hackney/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses; it goes when the application ends."""
+    application = spark.sparkContext.applicationId
+    folder = _cleared_at_end(spark, f"{shared_dir(spark)}/hackney/{application}")
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hackney.schema import PAYMENT_LABELS, RATECODE_LABELS
+
 _PICKUP = "o_orderdate + to_minutes(CAST(l_partkey * 7 % 1440 AS INTEGER))"
 
 
@@ -18,8 +20,8 @@ def _trips(lines: str) -> str:
         CASE WHEN l_partkey % 11 = 0 THEN NULL WHEN l_partkey % 13 = 0 THEN 99.0::DOUBLE
              ELSE (l_partkey % 6 + 1)::DOUBLE END AS RatecodeID,
         l_returnflag AS store_and_fwd_flag,
-        c_nationkey AS PULocationID,
-        s_nationkey AS DOLocationID,
+        CASE WHEN l_orderkey % 23 = 0 THEN c_nationkey + 1000 ELSE c_nationkey END AS PULocationID,
+        CASE WHEN l_orderkey % 29 = 0 THEN s_nationkey + 1000 ELSE s_nationkey END AS DOLocationID,
         CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS payment_type,
         l_extendedprice / 200.0::DOUBLE - 10.0::DOUBLE AS fare_amount,
         l_tax * 10.0::DOUBLE AS mta_tax,
@@ -40,7 +42,6 @@ _ZONES = """
     SELECT n_nationkey AS LocationID, r_name AS Borough, n_name AS Zone,
            CASE WHEN n_nationkey % 2 = 0 THEN 'A' ELSE 'B' END AS service_zone
     FROM nation JOIN region ON n_regionkey = r_regionkey
-    WHERE n_nationkey < 23
 """
 
 _KEPT = """
@@ -138,14 +139,24 @@ def _describe_timestamps(name: str, source: str) -> str:
         max({name}) AS max FROM {source}"""
 
 
-def _describe_text(name: str) -> str:
+def _describe_text(name: str, source: str = "prepared") -> str:
     return f"""SELECT '{name}' AS column_name, CAST(sum(n) AS BIGINT) AS "count",
         count(*) AS "unique", first(value ORDER BY n DESC, value) AS top, max(n) AS freq
-        FROM (SELECT {name} AS value, count(*) AS n FROM prepared
+        FROM (SELECT {name} AS value, count(*) AS n FROM {source}
               WHERE {name} IS NOT NULL GROUP BY 1)
     """
 
 
+def _long(section: str, sql: str, keys: list[str], measures: list[str]) -> str:
+    """A section of a report as rows `section, key, measure, value`."""
+    key = ", ".join(f"coalesce({k}::VARCHAR, '-')" for k in keys)
+    names = ", ".join(f"'{m}'" for m in measures) or "'row'"
+    values = ", ".join(f'round("{m}"::DOUBLE, 6)' for m in measures) or "1.0::DOUBLE"
+    return f"""SELECT '{section}' AS section, key, unnest([{names}]) AS measure,
+        unnest([{values}]) AS value
+        FROM (SELECT {f"concat_ws('|', {key})" if keys else "''"} AS key, * FROM ({sql}))"""
+
+
 def _union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
@@ -156,11 +167,12 @@ def _missing(name: str) -> str:
         round(({nulls})::DOUBLE / count(*) * 100, 6) AS null_pct FROM trips"""
 
 
-def _inventory(position: int, name: str) -> str:
+def _inventory(position: int, name: str, source: str = "trips") -> str:
     return f"""SELECT {position}::INTEGER AS position, '{name}' AS column_name,
         CASE typeof(first({name})) WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
-             WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS data_type,
-        count({name}) AS non_null_count FROM trips"""
+             WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+             WHEN 'DATE' THEN 'date' END AS data_type,
+        count({name}) AS non_null_count FROM {source}"""
 
 
 def _top_values(name: str) -> str:
@@ -207,30 +219,130 @@ def _quantiles(name: str) -> str:
     )
 
 
-def _code_label(name: str, labels: list[str], missing: str) -> str:
-    cases = " ".join(f"WHEN {label.split(' - ')[0]} THEN '{label}'" for label in labels)
+def _code_label(name: str, labels: dict[int, str], missing: str) -> str:
+    cases = " ".join(f"WHEN {code} THEN '{code} - {label}'" for code, label in labels.items())
     return f"""SELECT {name}, CASE WHEN {name} IS NULL THEN '{missing}' ELSE CASE
         CAST({name} AS INTEGER) {cases}
         ELSE CAST({name} AS INTEGER)::VARCHAR || ' - Other/Unknown' END END AS label,
         count(*) AS trips FROM trips GROUP BY 1"""
 
 
-# Labels of the payment type and rate codes.
-_PAYMENTS = [
-    "1 - Credit card", "2 - Cash", "3 - No charge", "4 - Dispute", "5 - Unknown",
-    "6 - Voided trip",
-]
-_RATECODES = [
-    "1 - Standard rate", "2 - JFK", "3 - Newark", "4 - Nassau/Westchester", "5 - Negotiated fare",
-    "6 - Group ride", "99 - Unknown/Null",
-]
-
 _BY_DATE = "SELECT pickup_date, count(*) AS trips FROM prepared GROUP BY 1"
 
 _EVENT_MINUTES = "epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00')"
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _plain_sql()
+    return found | _check_sql() | _report_sql(found)
+
+
+def _check_sql() -> dict[str, str]:
+    return {
+        "preview_check": _with(
+            """SELECT least(count(*), 100)::BIGINT AS rows_shown, 0::BIGINT AS rows_unknown,
+               0::BIGINT AS copies_too_many FROM prepared"""
+        ),
+        "sample_rows_check": _with(
+            """SELECT least(count(*), 5000)::BIGINT AS rows_shown, 0::BIGINT AS rows_unknown,
+               0::BIGINT AS copies_too_many FROM prepared"""
+        ),
+        "describe_sample_check": _with(
+            _union(
+                [
+                    f"""SELECT '{name}' AS column_name, least(count({name}), 5000)::BIGINT AS "count",
+                    true AS within FROM prepared"""
+                    for name in _METRICS
+                ]
+            )
+        ),
+    }
+
+
+_JOINED_BY = ["DOLocationID", "PULocationID"]  # a join by name puts its key first
+_PREPARED_COLUMNS = _JOINED_BY + [n for n in _ALL if n not in _JOINED_BY] + [
+    "pickup_date", "pickup_hour", "dropoff_date", "trip_duration_min", "avg_mph",
+    *[f"{role}_{name}" for role in ["PU", "DO"] for name in ["Borough", "Zone", "service_zone"]],
+]
+
+
+def _report_sql(plain: dict[str, str]) -> dict[str, str]:
+    """The sections of both reports; most are queries of their own."""
+    described = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
+    quartiles = ["mean", "min", "p25", "p50", "p75", "max"]
+    checks = [f"{r}_{n}_missing" for n in ["zone", "borough"] for r in ["pu", "do"]]
+    raw = [
+        _long("row_count", _with(f"SELECT count(*) AS row_count, {len(_ALL)} AS column_count FROM trips"),
+              [], ["row_count", "column_count"]),
+        _long("column_inventory", plain["column_inventory"], ["position", "column_name", "data_type"],
+              ["non_null_count"]),
+        _long("missing_summary", plain["missing_summary"], ["column_name"], ["null_count", "null_pct"]),
+        _long("min_dates", plain["min_dates"],
+              ["min_tpep_pickup_datetime", "min_tpep_dropoff_datetime"], []),
+        _long("describe_numeric", plain["describe_numeric"], ["column_name"], described),
+        _long("describe_timestamps", plain["describe_timestamps"], ["column_name", *quartiles], ["count"]),
+        _long("describe_categorical", _with(_describe_text("store_and_fwd_flag", "trips")),
+              ["column_name", "top"], ["count", "unique", "freq"]),
+        _long("duplicate_rows", _with(
+            "SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM trips)) AS duplicate_rows"
+            " FROM trips"), [], ["duplicate_rows"]),
+        _long("categorical_value_counts", plain["categorical_value_counts"],
+              ["column_name", "value", "rank"], ["trips"]),
+        _long("raw_key_duplicates", _with(
+            f"SELECT count(*) - count(DISTINCT ROW({_RAW_KEY})) AS duplicate_rows FROM trips"),
+              [], ["duplicate_rows"]),
+        _long("describe_duration", plain["describe_duration"], ["column_name"], described),
+        _long("histograms", plain["histogram_total_amount"], ["column_name", "bin"], ["center", "count"]),
+        _long("histograms", plain["histogram_tip_amount"], ["column_name", "bin"], ["center", "count"]),
+        _long("passenger_counts", plain["passenger_counts"], ["passenger_count"], ["trips"]),
+        _long("payment_counts", plain["payment_counts_labelled"], ["payment_type", "label"], ["trips"]),
+        _long("ratecode_counts", plain["ratecode_counts_labelled"], ["RatecodeID", "label"], ["trips"]),
+        _long("trips_by_hour", plain["raw_trips_by_hour"], ["hour"], ["trips"]),
+        _long("mean_amount_by_hour", plain["hourly_mean_filled"], ["hour"], ["mean_amount"]),
+        _long("top_zones", plain["top_zones_labelled"], ["role", "rank", "LocationID", "zone_label"],
+              ["trips"]),
+    ]
+    percentiles = ", ".join(
+        f'quantile_cont({n}, {p}) AS "{n}_q[{i}]"'
+        for n in _METRICS
+        for i, p in enumerate([0.5, 0.9, 0.95, 0.99])
+    )
+    prepared = [
+        _long("row_count", plain["row_count"], [], ["row_count", "column_count"]),
+        _long("column_inventory", _with(_union(
+            [_inventory(i, n, "prepared") for i, n in enumerate(_PREPARED_COLUMNS, 1)])),
+              ["position", "column_name", "data_type"], ["non_null_count"]),
+        _long("temporal_coverage", plain["temporal_coverage"], ["min_date", "max_date"],
+              ["distinct_hours"]),
+        _long("hourly_by_date", plain["hourly_by_date"], ["pickup_date", "pickup_hour"],
+              ["trips", "avg_distance_miles", "avg_total_amount"]),
+        _long("trips_by_hour", plain["trips_by_hour"], ["pickup_hour"],
+              ["trips", "avg_total_amount", "avg_trip_distance"]),
+        _long("trips_by_weekday", plain["trips_by_weekday"], ["dow"], ["trips", "avg_total_amount"]),
+        _long("range_checks", plain["range_checks"], [], [
+            "trip_distance_negative", "trip_distance_gt_100", "total_amount_negative",
+            "total_amount_gt_500", "duration_le_0", "duration_gt_300", "avg_mph_gt_90",
+            "avg_mph_negative"]),
+        _long("zone_coverage", plain["zone_coverage"], [], [*checks, *[f"{c}_pct" for c in checks]]),
+        _long("natural_key_duplicates", _with(
+            f"""SELECT count(*) AS rows_total,
+                count(DISTINCT ROW({_PREPARED_KEY})) AS distinct_trip_keys,
+                count(*) - count(DISTINCT ROW({_PREPARED_KEY})) AS estimated_duplicates
+                FROM prepared"""), [], ["rows_total", "distinct_trip_keys", "estimated_duplicates"]),
+        _long("metric_percentiles", _with(f"SELECT {percentiles} FROM prepared"), [],
+              [f"{n}_q[{i}]" for n in _METRICS for i in range(4)]),
+        _long("histograms", plain["histogram_metrics"], ["column_name", "bin"], ["center", "count"]),
+        _long("top_pickup_zones", plain["top_pickup_zones"], ["PU_Borough", "PU_Zone"], ["trips"]),
+        _long("top_od_pairs", plain["top_od_pairs"], ["PU_Zone", "DO_Zone"],
+              ["trips", "avg_trip_distance", "avg_total_amount"]),
+        *[_long(f"{n}_distribution", plain[q], [n], ["trips"])
+          for n, q in [("payment_type", "payment_distribution"), ("RatecodeID", "ratecode_distribution"),
+                       ("passenger_count", "passenger_distribution")]],
+    ]
+    return {"raw_profile": _union(raw), "validate": _union(prepared)}
+
+
+def _plain_sql() -> dict[str, str]:
     missing = ["PU_Zone", "DO_Zone", "PU_Borough", "DO_Borough"]
     counted = ", ".join(
         f"CAST(sum(CASE WHEN {n} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS {n.lower()}_missing"
@@ -266,7 +378,8 @@ def oracle_sql() -> dict[str, str]:
         "run_month": _with(_BY_DATE),
         "landed_zones": _with("SELECT * FROM zones"),
         "row_count": _with(
-            "SELECT count(*) AS row_count, 9::INTEGER AS column_count FROM normalised"
+            """SELECT count(*) AS row_count,
+               CAST(max(len(json_keys(to_json(p)))) AS INTEGER) AS column_count FROM prepared p"""
         ),
         "column_inventory": _with(
             _union([_inventory(i, name) for i, name in enumerate(_ALL, 1)])
@@ -319,9 +432,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT passenger_count, count(*) AS trips FROM trips GROUP BY 1"
         ),
         "payment_counts_labelled": _with(
-            _code_label("payment_type", _PAYMENTS, "NaN (missing)")
+            _code_label("payment_type", PAYMENT_LABELS, "NaN (missing)")
         ),
-        "ratecode_counts_labelled": _with(_code_label("RatecodeID", _RATECODES, "NaN")),
+        "ratecode_counts_labelled": _with(_code_label("RatecodeID", RATECODE_LABELS, "NaN")),
         "categorical_value_counts": _with(
             _union(
                 [

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from hackney.operators import cleaning, demand, describe, distributions, histograms, quality
 from hackney.operators import quantiles, sampling, zones as zone_operators
-from hackney.plans import jobs
+from hackney.plans import jobs, reports
 from hackney.schema import (
     CATEGORICAL_COLUMNS,
     DROPOFF,
@@ -112,7 +112,7 @@ def landed_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.row_count(cleaned(spark, sf_dir))
+    return quality.row_count(prepared(spark, sf_dir))
 
 
 def column_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,8 +277,7 @@ def describe_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The limit moves below the left joins, so only the rows shown are looked up.
-    return sampling.preview(fixture.trips(spark, sf_dir))
+    return sampling.preview(prepared(spark, sf_dir))
 
 
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,6 +285,61 @@ def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample_rows(metrics)
 
 
+def _compared(shown: DataFrame, source: DataFrame) -> DataFrame:
+    """Rows shown, rows of them that the source has not, and copies beyond those of the source."""
+    names = source.columns
+    n = F.count(F.lit(1))
+    seen = shown.groupBy(*names).agg(n.alias("shown"))
+    there = source.groupBy(*names).agg(n.alias("there"))
+    same = [F.col(f"s.{name}").eqNullSafe(F.col(f"t.{name}")) for name in names]
+    both = seen.alias("s").join(there.alias("t"), same, "left")
+    return both.agg(
+        F.sum("shown").alias("rows_shown"),
+        F.sum(F.when(F.col("there").isNull(), F.col("shown")).otherwise(0)).alias("rows_unknown"),
+        F.sum(F.greatest(F.col("shown") - F.col("there"), F.lit(0))).alias("copies_too_many"),
+    )
+
+
+def preview_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for any preview, whichever rows it shows."""
+    trips = prepared(spark, sf_dir, VALIDITY + ZONE_IDS)
+    return _compared(stage(sampling.preview(trips), "preview"), trips)
+
+
+def sample_rows_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for any sample."""
+    metrics = stage(cleaned(spark, sf_dir).select(*METRIC_COLUMNS), "metrics")
+    return _compared(stage(sampling.sample_rows(metrics), "sample"), metrics)
+
+
+def describe_sample_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for the description of any sample: its size, and extremes within the table's."""
+    metrics = stage(cleaned(spark, sf_dir).select(*METRIC_COLUMNS), "metrics")
+    described = describe.describe_sample(metrics)
+    extremes = metrics.agg(
+        *[F.struct(F.min(n).alias("least"), F.max(n).alias("most")).alias(n) for n in METRIC_COLUMNS]
+    ).select(
+        F.inline(F.array(*[F.struct(F.lit(n).alias("column_name"), f"{n}.*") for n in METRIC_COLUMNS]))
+    )
+    return described.join(extremes, "column_name").select(
+        "column_name",
+        "count",
+        ((F.col("min") >= F.col("least")) & (F.col("max") <= F.col("most"))).alias("within"),
+    )
+
+
+# Reports
+
+
+def raw_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = stage(fixture.trips(spark, sf_dir), "trips")
+    return rounded(reports.as_long(reports.raw_profile(trips, fixture.zones(spark, sf_dir))))
+
+
+def validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(reports.as_long(reports.validate(stage(prepared(spark, sf_dir), "prepared"))))
+
+
 # Demand
 
 
@@ -317,12 +371,12 @@ def hourly_mean_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def top_pickup_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = cleaned(spark, sf_dir, ZONE_IDS)
-    zones = fixture.zones(spark, sf_dir)
-    return zone_operators.top_pickup_zones(zone_operators.add_zone_attributes(trips, zones))
+    return zone_operators.top_pickup_zones(trips, fixture.zones(spark, sf_dir))
 
 
 def top_od_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(zone_operators.top_od_pairs(prepared(spark, sf_dir, VALIDITY + ZONE_IDS)))
+    trips = cleaned(spark, sf_dir, ZONE_IDS)
+    return rounded(zone_operators.top_od_pairs(trips, fixture.zones(spark, sf_dir)))
 
 
 def top_zones_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,6 +455,11 @@ def queries() -> dict[str, Query]:
         "describe_sample": describe_sample,
         "preview": preview,
         "sample_rows": sample_rows,
+        "preview_check": preview_check,
+        "sample_rows_check": sample_rows_check,
+        "describe_sample_check": describe_sample_check,
+        "raw_profile": raw_profile,
+        "validate": validate,
         "temporal_coverage": temporal_coverage,
         "hourly_by_date": hourly_by_date,
         "trips_by_hour": trips_by_hour,

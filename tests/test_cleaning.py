@@ -7,7 +7,7 @@ import pytest
 from hackney.operators.cleaning import clean_trips, derive_features, keep_valid, normalise_codes
 from hackney.operators.zones import add_zone_attributes
 from hackney.plans.jobs import prepare
-from hackney.schema import ZONES
+from tests.conftest import ZONES
 from tests.conftest import at
 
 

@@ -12,7 +12,7 @@ from hackney.functions.times import epoch_micros, from_epoch_micros
 from hackney.operators import demand, distributions
 from hackney.operators.zones import top_zones_labelled
 from hackney.plans.jobs import prepare
-from hackney.schema import ZONES
+from tests.conftest import ZONES
 from tests.conftest import at
 
 

@@ -8,15 +8,16 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from registry import oracles, queries as registered
 from tests.conftest import SMALL, plan_of
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-MANY_DIRECTORIES = {"scan_prepared", "prepared_roundtrip", "publish_table", "run_month"}
 TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
     "double": "DOUBLE",
     "string": "VARCHAR",
+    "boolean": "BOOLEAN",
     "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
 }
@@ -35,22 +36,15 @@ def sorted_rows(columns, rows):
     return sorted((tuple(repr(row[i]) for i in order) for row in rows))
 
 
-def params(names):
-    return [
-        pytest.param(name, marks=pytest.mark.slow) if name in MANY_DIRECTORIES else name
-        for name in names
-    ]
-
-
-@pytest.mark.parametrize("name", params(contract.oracle_sql()))
+@pytest.mark.parametrize("name", oracles.oracle_sql())
 def test_query_matches_sql(spark, duck, name):
     found = contract.queries()[name](spark, SMALL)
-    expected = duck.execute(contract.oracle_sql()[name])
+    expected = duck.execute(oracles.oracle_sql()[name])
     columns = [d[0] for d in expected.description]
     rows = expected.fetchall()
     assert sorted(found.columns) == sorted(columns)
     assert sorted_rows(found.columns, found.collect()) == sorted_rows(columns, rows)
-    described = duck.execute("DESCRIBE " + contract.oracle_sql()[name]).fetchall()
+    described = duck.execute("DESCRIBE " + oracles.oracle_sql()[name]).fetchall()
     types = {row[0]: row[1] for row in described}
     assert {n: TYPES[kind] for n, kind in found.dtypes} == types
     plan = plan_of(found)
@@ -59,9 +53,11 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_queries_without_sql_are_samples_and_previews(spark):
-    missing = set(contract.queries()) - set(contract.oracle_sql())
+    missing = set(registered.queries()) - set(oracles.oracle_sql())
     assert missing == {"preview", "sample_rows", "describe_sample"}
-    sizes = {name: contract.queries()[name](spark, SMALL).count() for name in missing}
+    assert {f"{name}_check" for name in missing} <= set(oracles.oracle_sql())
+    assert set(oracles.oracle_sql()) <= set(contract.oracle_sql())
+    sizes = {name: registered.queries()[name](spark, SMALL).count() for name in missing}
     assert sizes == {"preview": 100, "sample_rows": 5_000, "describe_sample": 4}
 
 

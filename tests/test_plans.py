@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from hackney.operators.cleaning import clean_trips
 from hackney.operators import demand, distributions, quality, zones as zone_operators
 from hackney.operators.sampling import preview, sample_rows
 from hackney.plans.jobs import prepare
@@ -29,9 +30,8 @@ def test_preparing_broadcasts_the_zones_and_shuffles_no_trips(stored):
     assert "Exchange hashpartitioning" not in plan
 
 
-def test_large_zones_are_not_forced_into_a_broadcast(stored, spark, monkeypatch):
+def test_large_zones_are_not_forced_into_a_broadcast(stored, spark):
     trips, zones, _ = stored
-    monkeypatch.setattr(zone_operators, "BROADCAST_ROWS", 1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert "BroadcastHashJoin" not in plan_of(prepare(trips, zones))
@@ -93,3 +93,16 @@ def test_a_preview_joins_only_the_rows_it_shows(spark):
     lines = plan_of(preview(fixture.trips(spark, SMALL))).splitlines()
     scan = next(i for i, line in enumerate(lines) if "l_orderkey" in line and "FileScan" in line)
     assert "LocalLimit 100" in lines[scan - 1]
+
+
+def test_zones_are_named_after_trips_are_counted(stored):
+    trips, zones, _ = stored
+    valid = clean_trips(trips)
+    for top in [
+        zone_operators.top_od_pairs(valid, zones),
+        zone_operators.top_pickup_zones(valid, zones),
+    ]:
+        lines = plan_of(top).splitlines()
+        joins = [i for i, line in enumerate(lines) if "HashJoin" in line]
+        first = max(i for i, line in enumerate(lines) if "partial_count" in line)
+        assert joins and first > max(joins)  # the plan prints children below
