@@ -10,7 +10,7 @@ That memory is the transducer's state: the longest suffix that begins some piece
 in it, the last piece that ends there and the number of pieces up to there, relative to now. A transition
 reads one character and is annotated with the number of tokens it adds, which may be negative when
 pieces merge. States and transitions are compiled as texts first need them and then kept; beyond
-`MAX_KEPT` the tables start anew, which costs time but changes no count.
+their limits the tables start anew, which costs time but changes no count.
 
 Texts are cut into chunks. The state map of a chunk says, for any state before it, which state follows
 and how many tokens are added. A space after another character resets the state, so a map is the head
@@ -41,7 +41,8 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 CHUNK = 1 << 15
 SUPER_CHUNKS = 128
-MAX_KEPT = 1 << 19
+#: States, words and pairs that are kept compiled; together some 300 MB in a Python worker.
+MAX_STATES, MAX_WORDS, MAX_PAIRS = 200_000, 400_000, 300_000
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _BOUNDARY = re.compile(f"(?<=[^{SPACE}]){SPACE}")
 
@@ -65,14 +66,16 @@ class Transducer:
         }
         if any(SPACE in p.lstrip(SPACE) for p in self.scores):
             raise ValueError("a piece holds a space after another character")
-        self.prefixes = {p[:n] for p in self.scores for n in range(1, len(p))}
+        # States share these strings rather than hold slices of their own.
+        self.pieces = {p: p for p in self.scores}
+        self.prefixes = {q: q for p in self.scores for n in range(1, len(p)) for q in [p[:n]]}
         self.pairs: dict[tuple[str | None, str], bool] = {}
         self.forget()
 
     def forget(self) -> None:
         self.states = [START]
         self.numbers = {START: 0}
-        self.moves: dict[tuple[int, str], tuple[int, int]] = {}
+        self.moves: list[dict[str, tuple[int, int]]] = [{}]
         self.known: dict[str, int] = {}
 
     def segment(self, text: str) -> list[str]:
@@ -92,7 +95,7 @@ class Transducer:
         key = (before, piece)
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > MAX_KEPT:
+            if len(self.pairs) > MAX_PAIRS:
                 self.pairs.clear()
             if before is None:
                 known = self.segment(piece) == [piece]
@@ -106,6 +109,7 @@ class Transducer:
         if known is None:
             known = self.numbers[state] = len(self.states)
             self.states.append(state)
+            self.moves.append({})
         return known
 
     def move(self, state: int, char: str) -> tuple[int, int]:
@@ -124,16 +128,24 @@ class Transducer:
             raise AssertionError(f"no piece ends {text!r}")
         added = counts[j] + 1
         keep = next(k for k in range(len(text) + 1) if k == len(text) or text[k:] in self.prefixes)
-        lasts = (*last, piece)[keep:]
-        relative = tuple(c - added for c in (*counts, added)[keep:])
-        return self.number((text[keep:], lasts, relative)), added
+        # Positions from which no piece can reach on are all alike.
+        here = len(text)
+        alive = [k == here or text[k:] in self.prefixes for k in range(keep, here + 1)]
+        ends = (*last, self.pieces[piece])[keep:]
+        lasts = tuple(p if a else "" for p, a in zip(ends, alive, strict=True))
+        relative = tuple(
+            c - added if a else 0 for c, a in zip((*counts, added)[keep:], alive, strict=True)
+        )
+        suffix = self.prefixes.get(text[keep:], "")
+        return self.number((suffix, lasts, relative)), added
 
     def run(self, state: int, text: str) -> tuple[int, int]:
         total = 0
+        moves = self.moves
         for char in text:
-            known = self.moves.get((state, char))
+            known = moves[state].get(char)
             if known is None:
-                known = self.moves[state, char] = self.move(state, char)
+                known = moves[state][char] = self.move(state, char)
             state = known[0]
             total += known[1]
         return state, total
@@ -150,7 +162,9 @@ class Transducer:
         return total
 
     def tidy(self) -> None:
-        if len(self.known) + len(self.moves) > MAX_KEPT:
+        if len(self.known) > MAX_WORDS:
+            self.known.clear()
+        if len(self.states) > MAX_STATES:
             self.forget()
 
     # State maps: (head, tokens, state after or None where the head is the whole chunk).
