@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +25,18 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+@lru_cache(maxsize=8)
+def _shipped(context: SparkContext) -> None:
+    """Let Python workers of a local session import this package from wherever it was started.
+
+    A cluster gets the package with the job (`--py-files`).
+    """
+    if context.master.startswith("local") and "cluster" not in context.master:
+        context.addFile(str(Path(__file__).resolve().parents[1]), recursive=True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _shipped(spark.sparkContext)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
