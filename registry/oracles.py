@@ -147,11 +147,12 @@ def _describe_text(name: str, source: str = "prepared") -> str:
     """
 
 
-def _long(section: str, sql: str, keys: list[str], measures: list[str]) -> str:
-    """A section of a report as rows `section, key, measure, value`."""
+def _long(section: str, sql: str, keys: list[str], measures: list[str], digits: int = 6) -> str:
+    """A section of a report as rows `section, key, measure, value`; quantiles keep 8 digits."""
+    places = {m: 8 if m in ("p25", "p50", "p75") or "_q[" in m else digits for m in measures}
     key = ", ".join(f"coalesce({k}::VARCHAR, '-')" for k in keys)
     names = ", ".join(f"'{m}'" for m in measures) or "'row'"
-    values = ", ".join(f'round("{m}"::DOUBLE, 6)' for m in measures) or "1.0::DOUBLE"
+    values = ", ".join(f'round("{m}"::DOUBLE, {p})' for m, p in places.items()) or "1.0::DOUBLE"
     return f"""SELECT '{section}' AS section, key, unnest([{names}]) AS measure,
         unnest([{values}]) AS value
         FROM (SELECT {f"concat_ws('|', {key})" if keys else "''"} AS key, * FROM ({sql}))"""
@@ -315,7 +316,7 @@ def _report_sql(plain: dict[str, str]) -> dict[str, str]:
         _long("temporal_coverage", plain["temporal_coverage"], ["min_date", "max_date"],
               ["distinct_hours"]),
         _long("hourly_by_date", plain["hourly_by_date"], ["pickup_date", "pickup_hour"],
-              ["trips", "avg_distance_miles", "avg_total_amount"]),
+              ["trips", "avg_distance_miles", "avg_total_amount"], digits=9),
         _long("trips_by_hour", plain["trips_by_hour"], ["pickup_hour"],
               ["trips", "avg_total_amount", "avg_trip_distance"]),
         _long("trips_by_weekday", plain["trips_by_weekday"], ["dow"], ["trips", "avg_total_amount"]),
