@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,4 +78,36 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
+        staged.staged_path = path
+    return staged
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def stages_dropped(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete the tables staged within the block at its end, but for those passed to what it gives.
+
+    What is returned from the block may read only tables that are kept, or others' tables.
+    """
+    paths: list[str] = []
+    kept: set[str] = set()
+
+    def keep(staged: DataFrame) -> DataFrame:
+        kept.add(staged.staged_path)
+        return staged
+
+    _scopes.append(paths)
+    try:
+        yield keep
+    finally:
+        _scopes.pop()
+        if _scopes:
+            _scopes[-1].extend(kept)
+        for path in set(paths) - kept:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
