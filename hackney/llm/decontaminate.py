@@ -31,10 +31,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hackney.llm.common import pick
-from hackney.session import stage
+from hackney.session import stage, stages_dropped
 
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
+WINDOWS_A_FILE = 100_000
 
 
 def words_of(text: Column) -> Column:
@@ -69,25 +70,30 @@ def item_windows(
 
 
 def prefix_words(windows: DataFrame, docs: DataFrame) -> DataFrame:
-    """Each window with its rarest word over all documents and that word's offset."""
-    positions = windows.select("words", "len", "items", F.posexplode("words").alias("at", "word"))
-    vocabulary = positions.select("word").distinct()
+    """`window, len, word, at`: each window's rarest word over all documents and its offset."""
+    positions = windows.select("window", "len", F.posexplode("words").alias("at", "word"))
+    vocabulary = _small(positions.select("word").distinct(), windows, "vocabulary")
     counts = (
         docs.select(F.explode("doc_words").alias("word"))
         .join(vocabulary, "word")
         .groupBy("word")
         .agg(F.count("word").alias("n"))
     )
-    ranked = positions.join(counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    ranked = positions.join(stage(counts, "counts"), "word", "left")
     # A window with a word that no document has cannot occur.
     return (
-        ranked.groupBy("words", "len", "items")
-        .agg(F.min(F.struct("n", "word", "at")).alias("first"))
+        ranked.groupBy("window", "len")
+        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "at")).alias("first"))
         .where(F.col("first.n") > 0)
-        .select("words", "len", "items", F.col("first.word").alias("word"), "first.at")
+        .select("window", "len", F.col("first.word").alias("word"), "first.at")
     )
 
 
+def _small(rows: DataFrame, windows: DataFrame, label: str) -> DataFrame:
+    """Staged in as few files as the number of windows asks for, so that Spark sees its true size."""
+    return stage(rows.coalesce(1 + windows.count() // WINDOWS_A_FILE), label)
+
+
 def find_windows(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -103,20 +109,25 @@ def find_windows(
     rows = docs.select(F.struct("*").alias("row"), F.col(f"`{text_col}`").alias("text"))
     words = words_of(F.col("text"))
     texts = rows.select(F.xxhash64("text").alias("key"), words.alias("doc_words"))
-    windows = stage(item_windows(benchmark, item_id_col, item_text_col, window), "windows")
-    prefixes = stage(prefix_words(windows, texts), "prefixes")
-    placed = texts.select(
-        "key", F.size("doc_words").alias("size"), F.posexplode("doc_words").alias("position", "word")
-    ).join(prefixes, "word")
-    candidates = (
-        placed.withColumn("start", F.col("position") - F.col("at"))
-        .where((F.col("start") >= 0) & (F.col("start") + F.col("len") <= F.col("size")))
-        .groupBy("key", "start", "len", "words", "items")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("key")
-        .agg(F.collect_list(F.struct("start", "len", "words", "items")).alias("candidates"))
-    )
-    found = stage(candidates, "candidates")
+    with stages_dropped(docs.sparkSession) as keep:
+        windows = item_windows(benchmark, item_id_col, item_text_col, window)
+        windows = stage(windows.withColumn("window", F.monotonically_increasing_id()), "windows")
+        prefixes = _small(prefix_words(windows, texts), windows, "prefixes")
+        placed = texts.select(
+            "key", F.size("doc_words").alias("size"), F.posexplode("doc_words").alias("position", "word")
+        ).join(prefixes, "word")
+        places = (
+            placed.withColumn("start", F.col("position") - F.col("at"))
+            .where((F.col("start") >= 0) & (F.col("start") + F.col("len") <= F.col("size")))
+            .select("key", "window", "start")
+            .distinct()
+        )
+        candidates = (
+            places.join(windows, "window")
+            .groupBy("key")
+            .agg(F.collect_list(F.struct("start", "len", "words", "items")).alias("candidates"))
+        )
+        found = keep(stage(candidates, "candidates"))
     joined = rows.select(
         "row", "text", F.xxhash64("text").alias("key"), F.size(words).cast("long").alias("n_words")
     ).join(found, "key", "left")

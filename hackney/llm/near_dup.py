@@ -52,7 +52,7 @@ from pyspark.sql import types as T
 
 from hackney.llm.common import blocks, mix, pick, span_hashes, utf8_rows, word_spans
 from hackney.llm.components import components
-from hackney.session import stage
+from hackney.session import stage, stages_dropped
 
 WORDS = 5
 BANDS = 32
@@ -317,57 +317,58 @@ def classes(
     the document that names the class."""
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     whole = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    signed = stage(signatures(whole, words, bands, band_rows), "signatures")
-    texts = stage(
-        signed.groupBy("text_key").agg(
-            F.min("doc_id").alias("doc_id"),
-            F.first("signature").alias("signature"),
-            F.first("bands").alias("bands"),
-        ),
-        "texts",
-    )
-    k = bands * band_rows
+    with stages_dropped(docs.sparkSession) as keep:
+        signed = keep(stage(signatures(whole, words, bands, band_rows), "signatures"))
+        texts = stage(
+            signed.groupBy("text_key").agg(
+                F.min("doc_id").alias("doc_id"),
+                F.first("signature").alias("signature"),
+                F.first("bands").alias("bands"),
+            ),
+            "texts",
+        )
+        k = bands * band_rows
 
-    def promising(pairs: DataFrame) -> DataFrame:
-        return _agreement(pairs.distinct(), texts, k).where(F.col("agree") >= HOPELESS)
+        def promising(pairs: DataFrame) -> DataFrame:
+            return _agreement(pairs.distinct(), texts, k).where(F.col("agree") >= HOPELESS)
 
-    buckets = _shared_buckets(texts)
-    centres = (
-        buckets.groupBy("bucket")
-        .agg(F.max(F.struct("central", "text_key")).alias("centre"))
-        .select("bucket", F.col("centre.text_key").alias("centre"))
-    )
-    pairs = buckets.join(stage(centres, "centres"), "bucket").where("centre <> text_key")
-    candidates = promising(pairs.select(F.col("centre").alias("a"), F.col("text_key").alias("b")))
-    first = candidates.groupBy("b").agg(F.max(F.struct("agree", "a")).alias("best"))
-    stars = stage(first.select(F.col("best.a").alias("a"), "b"), "stars")
-    wanted = buckets.select("text_key").distinct().join(texts, "text_key").select("text_key", "doc_id")
-    sets = stage(_shingle_sets(whole, wanted, words), "shingles")
-    links = stage(_verified(stars, sets, similarity), "links")
-    found = components(links)
-    parted = _divided(buckets, found)
-    if not parted.isEmpty():
-        signs = texts.select("text_key", "signature", "bands")
-        fields = ["text_key", "component", "signature", "bands"]
-        near = _blocks(parted.join(signs, "text_key"), fields, F.lit(1.0 / BLOCK_TEXTS))
-        near = stage(near.mapInArrow(_promising_texts(k), "bucket long, text_key binary"), "near")
-        kept = parted.join(near.distinct(), ["bucket", "text_key"]).join(signs, "text_key")
-        share = 1.0 / BLOCK_TEXTS + F.octet_length("shingles") / float(BLOCK_BYTES_OF_SETS)
-        met = _blocks(kept.join(sets, "text_key"), [*fields, "shingles"], share)
-        more = stage(met.mapInArrow(_links_of_blocks(k, similarity), "a binary, b binary"), "links")
-        found = components(links.union(more))
-    named = (
-        texts.select("text_key", "doc_id")
-        .join(found.withColumnRenamed("node", "text_key"), "text_key", "left")
-        .withColumn("component", F.coalesce("component", "text_key"))
-    )
-    least = named.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("least"))
-    by_text = stage(
-        stage(named.select("text_key", "component"), "named")
-        .join(stage(least, "least"), "component")
-        .select("text_key", F.col("least.doc_id").alias("class_id"), F.col("least.text_key").alias("class_key")),
-        "classes",
-    )
+        buckets = _shared_buckets(texts)
+        centres = (
+            buckets.groupBy("bucket")
+            .agg(F.max(F.struct("central", "text_key")).alias("centre"))
+            .select("bucket", F.col("centre.text_key").alias("centre"))
+        )
+        pairs = buckets.join(stage(centres, "centres"), "bucket").where("centre <> text_key")
+        candidates = promising(pairs.select(F.col("centre").alias("a"), F.col("text_key").alias("b")))
+        first = candidates.groupBy("b").agg(F.max(F.struct("agree", "a")).alias("best"))
+        stars = stage(first.select(F.col("best.a").alias("a"), "b"), "stars")
+        wanted = buckets.select("text_key").distinct().join(texts, "text_key").select("text_key", "doc_id")
+        sets = stage(_shingle_sets(whole, wanted, words), "shingles")
+        links = stage(_verified(stars, sets, similarity), "links")
+        found = components(links)
+        parted = _divided(buckets, found)
+        if not parted.isEmpty():
+            signs = texts.select("text_key", "signature", "bands")
+            fields = ["text_key", "component", "signature", "bands"]
+            near = _blocks(parted.join(signs, "text_key"), fields, F.lit(1.0 / BLOCK_TEXTS))
+            near = stage(near.mapInArrow(_promising_texts(k), "bucket long, text_key binary"), "near")
+            kept = parted.join(near.distinct(), ["bucket", "text_key"]).join(signs, "text_key")
+            share = 1.0 / BLOCK_TEXTS + F.octet_length("shingles") / float(BLOCK_BYTES_OF_SETS)
+            met = _blocks(kept.join(sets, "text_key"), [*fields, "shingles"], share)
+            more = stage(met.mapInArrow(_links_of_blocks(k, similarity), "a binary, b binary"), "links")
+            found = components(links.union(more))
+        named = (
+            texts.select("text_key", "doc_id")
+            .join(found.withColumnRenamed("node", "text_key"), "text_key", "left")
+            .withColumn("component", F.coalesce("component", "text_key"))
+        )
+        least = named.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("least"))
+        by_text = keep(stage(
+            stage(named.select("text_key", "component"), "named")
+            .join(stage(least, "least"), "component")
+            .select("text_key", F.col("least.doc_id").alias("class_id"), F.col("least.text_key").alias("class_key")),
+            "classes",
+        ))
     apart = rows.where(F.col("doc_id").isNull() | F.col("text").isNull())
     no_key = F.lit(None).cast("binary")
     return (
@@ -534,7 +535,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Rows with a null id or text are kept. Of several rows with the id and the text of the document
     that names the class, any one is kept: they are copies.
     """
-    found = stage(classes(docs, id_col, text_col).where("text_key is not null"), "classes")
+    with stages_dropped(docs.sparkSession) as keep:
+        found = classes(docs, id_col, text_col).where("text_key is not null")
+        found = keep(stage(found, "classes"))
     chosen = found.where("doc_id = class_id and text_key = class_key")
     chosen = stage(chosen.select("doc_id", "text_key").distinct(), "chosen")
     # Ids that several rows have: their rows are told apart by text, and copies dropped.
