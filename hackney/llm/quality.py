@@ -164,7 +164,7 @@ def fit(
 
     rows = sample.mapInArrow(count, "label int, buckets binary, counts binary").toArrow()
     examples = [
-        (np.frombuffer(b, "<u4").astype(np.int64), np.frombuffer(c, "<f4"), label)
+        (np.frombuffer(b, "<u4"), np.frombuffer(c, "<f4"), label)
         for label, b, c in zip(*(rows.column(i).to_pylist() for i in range(3)), strict=True)
     ]
     # Collected order may vary, the sample does not.
