@@ -48,7 +48,7 @@ DEPTH = 5
 SEPARATOR, END = 0x20, 0x0A
 END_TOKEN = np.uint64(0x0E0D)
 GRAMS, WORDS = 0, 1
-HELD = 1 << 21  # distinct keys that a task gathers before it passes them on
+HELD = 1 << 20  # distinct keys that a task gathers before it passes them on
 ROWS = 2048
 
 
