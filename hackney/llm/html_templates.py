@@ -9,9 +9,11 @@ does, if all their occurrences lie there. The class of vector (1, ..., 1) is the
 gaps between its tokens, with the nested classes, are the slots to extract.
 
 A slot is boilerplate if the elements around it say so: navigation, header, footer, aside, forms, scripts
-and the like by name, or menus, sidebars, notices, adverts and comments by their class, id or role. If
-the page has an `article` or `main` element, the main text is what its slots hold. Otherwise it is that
-of all other slots, without texts that belong to the template's valid classes.
+and the like by name, or menus, sidebars, notices, adverts and comments by their class, id or role. Texts
+that belong to the template's valid classes are not main text. An `article` or `main` element is a hint on
+slots: within it, a template's text goes only if its path holds nothing but template texts on all pages
+of the group, since a path that also holds own texts is a slot, and a paragraph may well recur in it. If
+slots of such elements hold text, that is the main text; otherwise it is that of all other slots.
 
 Pages are dealt into groups of about `group_pages` pages of one host, so that a host of any size is many
 tasks' work; only host names with their counts are broadcast, for hosts of at least one in
@@ -192,17 +194,22 @@ def read_page(text: str) -> Page:
 
 @dataclass
 class Template:
-    """The frame's tokens in order, and the texts that belong to valid classes."""
+    """The frame's tokens in order, the texts that belong to valid classes, and the paths of other texts."""
 
     frame: list[tuple[str, str, str]]
     nested: dict[tuple[str, str, str], int]
     texts: set[tuple[str, str, str]]
+    slots: set[str]
+
+    def holds(self, path: str, text: str, inside: bool) -> bool:
+        """Whether the template holds a text, rather than one of its slots."""
+        return ("text", path, text.strip()) in self.texts and not (inside and path in self.slots)
 
 
 def deduce_template(pages: list[Page]) -> Template:
     """The template of several distinct pages; nothing can be told from one page."""
     if len(pages) < 2:
-        return Template([], {}, set())
+        return Template([], {}, set(), set())
     vectors: dict[tuple[str, str, str], dict[int, int]] = defaultdict(dict)
     for number, page in enumerate(pages):
         for token, times in Counter(page.tokens).items():
@@ -229,7 +236,9 @@ def deduce_template(pages: list[Page]) -> Template:
             for token in _in_order(tokens, pages, [n for n, _ in vector]):
                 nested[token] = next(iter(slots[token]))
     valid = [*frame, *(t for t in nested if len(vectors[t]) == len(pages))]
-    return Template(frame, nested, {t for t in valid if t[0] == "text"})
+    texts = {t for t in valid if t[0] == "text"}
+    paths = {path for kind, path, _ in vectors.keys() - texts if kind == "text"}
+    return Template(frame, nested, texts, paths)
 
 
 def _in_order(tokens: list, pages: list[Page], numbers) -> list:
@@ -255,14 +264,12 @@ def _in_order(tokens: list, pages: list[Page], numbers) -> list:
 
 def main_text(page: Page, template: Template) -> str:
     """The texts of the page's slots, block by block."""
-    landmarks = any(inside and text.strip() for _, _, _, inside, text in page.texts)
+    own = [t for t in page.texts if not template.holds(t[2], t[4], t[3])]
+    landmarks = any(inside and text.strip() for _, _, _, inside, text in own)
     blocks: dict[int, list[str]] = {}
-    for _, block, path, inside, text in page.texts:
-        if landmarks and not inside:
-            continue
-        if not inside and ("text", path, text.strip()) in template.texts:
-            continue
-        blocks.setdefault(block, []).append(html.unescape(text))
+    for _, block, _, inside, text in own:
+        if inside or not landmarks:
+            blocks.setdefault(block, []).append(html.unescape(text))
     lines = (" ".join("".join(parts).split()) for _, parts in sorted(blocks.items()))
     return "\n".join(line for line in lines if line)
 

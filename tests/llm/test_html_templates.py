@@ -98,6 +98,18 @@ def test_fixed_text_in_an_article_stays():
     assert html_templates.extract_group(pages) == [f"Same in all\nOwn {k}" for k in range(5)]
 
 
+def test_template_texts_go_within_landmarks():
+    pages = [
+        f"<article><div class=a1>Follow us</div><p>Same in all<p>Own {k}<div class=a2>Read on at"
+        f"</div></article><div>List {k}</div>"
+        for k in range(6)
+    ]
+    assert html_templates.extract_group(pages) == [f"Same in all\nOwn {k}" for k in range(6)]
+    # A landmark without a slot says nothing of where the main text is.
+    pages = [f"<main><div>Welcome</div></main><div class=x><p>Story {k}</div>" for k in range(6)]
+    assert html_templates.extract_group(pages) == [f"Story {k}" for k in range(6)]
+
+
 def test_odd_rows(spark):
     big = "<article>" + "<p>para &amp; graph</p>" * 20_000 + "</article>"
     pages = [(1, "http://h/1", None), (2, "http://h/2", ""), (None, None, "<p>a"), (3, "x", "<p>b")]
