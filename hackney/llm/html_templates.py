@@ -3,10 +3,13 @@
 Pages of a host share a template: its tags and fixed texts surround slots that hold what differs. Each
 page is read as a row of tokens: opening and closing tags of structural elements, told apart by their
 path, and texts. The occurrence vector of a token says how often it stands in each of the pages, and
-tokens with equal vectors form an equivalence class. A class is valid if its tokens stand in one order
-in every page; classes of tokens that do not all occur once are nested into a slot of the class that
-does, if all their occurrences lie there. The class of vector (1, ..., 1) is the template's frame; the
-gaps between its tokens, with the nested classes, are the slots to extract.
+tokens with equal vectors form an equivalence class. Pages without tokens are left out, and a class needs
+half of the others, so that stubs and pages of another layout take nothing from the template. A class is
+valid if its tokens stand in one order in all of its pages. The frame is the class with the most tokens
+among those that occur once in each of their pages; tokens of other classes are nested into a slot of the
+frame, if all their occurrences lie there. The gaps between the frame's tokens, with the nested classes,
+are the slots to extract. A text that is not on all pages, in varying numbers, goes only where it is the
+whole of its block, since it may as well be a part of a sentence.
 
 A slot is boilerplate if the elements around it say so: navigation, header, footer, aside, forms, scripts
 and the like by name, or menus, sidebars, notices, adverts and comments by their class, id or role. Texts
@@ -18,7 +21,9 @@ slots of such elements hold text, that is the main text; otherwise it is that of
 Pages are dealt into groups of about `group_pages` pages of one host, so that a host of any size is many
 tasks' work; only host names with their counts are broadcast, for hosts of at least one in
 `1 / heavy_share` pages, of which there are at most `1 / heavy_share`. Pages of other hosts form one
-group, at most `heavy_share` of all pages. Equal pages of a group count as one when classes are formed.
+group, at most `heavy_share` of all pages. Pages are dealt and ordered by a hash of their id, URL and
+text, so that the groups do not depend on partitions. Equal pages of a group count as one when classes
+are formed.
 
 Defined results: a null page is an empty one, and an empty page has the text ''. Broken mark-up is read
 as it comes: elements end with their parent, an unclosed comment or script ends the page. Pages without
@@ -194,12 +199,16 @@ def read_page(text: str) -> Page:
 
 @dataclass
 class Template:
-    """The frame's tokens in order, the texts that belong to valid classes, and the paths of other texts."""
+    """The frame's tokens in order, the texts that belong to valid classes, and the paths of other texts.
+
+    `loose` has the texts that are not on all pages, in varying numbers.
+    """
 
     frame: list[tuple[str, str, str]]
     nested: dict[tuple[str, str, str], int]
     texts: set[tuple[str, str, str]]
     slots: set[str]
+    loose: set[tuple[str, str, str]]
 
     def holds(self, path: str, text: str, inside: bool) -> bool:
         """Whether the template holds a text, rather than one of its slots."""
@@ -208,37 +217,46 @@ class Template:
 
 def deduce_template(pages: list[Page]) -> Template:
     """The template of several distinct pages; nothing can be told from one page."""
+    pages = [page for page in pages if page.tokens]
     if len(pages) < 2:
-        return Template([], {}, set(), set())
+        return Template([], {}, set(), set(), set())
     vectors: dict[tuple[str, str, str], dict[int, int]] = defaultdict(dict)
     for number, page in enumerate(pages):
         for token, times in Counter(page.tokens).items():
             vectors[token][number] = times
     classes = defaultdict(list)
     for token, vector in vectors.items():
-        if 2 * len(vector) >= len(pages):
+        if len(vector) > 1 and 2 * len(vector) >= len(pages):
             classes[tuple(sorted(vector.items()))].append(token)
-    once = tuple((n, 1) for n in range(len(pages)))
-    frame = _in_order(classes.pop(once, []), pages, range(len(pages)))
-    places = []  # where the frame's tokens stand in each page
+    once = [v for v in classes if all(times == 1 for _, times in v)]
+    base = max(once, key=lambda v: (len(classes[v]), len(v), v), default=())
+    frame = _in_order(classes.pop(base, []), pages, [n for n, _ in base])
     members = set(frame)
-    for page in pages:
-        places.append([at for at, token in enumerate(page.tokens) if token in members])
-    slots: dict[tuple[str, str, str], set[int]] = defaultdict(set)
     inner = {token for tokens in classes.values() for token in tokens}
-    for page, place in zip(pages, places, strict=True):
+    framed = dict(base)
+    slots: dict[tuple[str, str, str], set[int]] = defaultdict(set)
+    for number, page in enumerate(pages):
+        if frame and number not in framed:
+            continue
+        place = [at for at, token in enumerate(page.tokens) if token in members]
         for at, token in enumerate(page.tokens):
             if token in inner:
                 slots[token].add(bisect_right(place, at))
     nested = {}
     for vector, tokens in classes.items():
-        if len({frozenset(slots[t]) for t in tokens}) == 1 and len(slots[tokens[0]]) == 1:
-            for token in _in_order(tokens, pages, [n for n, _ in vector]):
-                nested[token] = next(iter(slots[token]))
-    valid = [*frame, *(t for t in nested if len(vectors[t]) == len(pages))]
-    texts = {t for t in valid if t[0] == "text"}
+        by_slot = defaultdict(list)
+        for token in tokens:
+            if len(slots[token]) <= 1:  # none: on pages without the frame only
+                by_slot[next(iter(slots[token]), -1)].append(token)
+        for slot, some in by_slot.items():
+            for token in _in_order(some, pages, [n for n, _ in vector]):
+                nested[token] = slot
+    texts = {t for t in [*frame, *nested] if t[0] == "text"}
     paths = {path for kind, path, _ in vectors.keys() - texts if kind == "text"}
-    return Template(frame, nested, texts, paths)
+    loose = {
+        t for t in texts if len(vectors[t]) < len(pages) and len(set(vectors[t].values())) > 1
+    }
+    return Template(frame, nested, texts, paths, loose)
 
 
 def _in_order(tokens: list, pages: list[Page], numbers) -> list:
@@ -264,7 +282,13 @@ def _in_order(tokens: list, pages: list[Page], numbers) -> list:
 
 def main_text(page: Page, template: Template) -> str:
     """The texts of the page's slots, block by block."""
-    own = [t for t in page.texts if not template.holds(t[2], t[4], t[3])]
+    held = [template.holds(path, text, inside) for _, _, path, inside, text in page.texts]
+    slots = {t[1] for t, fixed in zip(page.texts, held, strict=True) if not fixed and t[4].strip()}
+    own = [
+        t
+        for t, fixed in zip(page.texts, held, strict=True)
+        if not fixed or (t[1] in slots and ("text", t[2], t[4].strip()) in template.loose)
+    ]
     landmarks = any(inside and text.strip() for _, _, _, inside, text in own)
     blocks: dict[int, list[str]] = {}
     for _, block, _, inside, text in own:
@@ -304,11 +328,10 @@ def extract(
         "host", F.ceil(F.col("n") / group_pages).alias("groups")
     )
     # At most 1 / heavy_share hosts.
-    dealt = (
-        rows.withColumn("row", F.monotonically_increasing_id())
-        .join(F.broadcast(heavy), "host", "left")
-        .withColumn("part", F.pmod(F.xxhash64("row"), F.coalesce("groups", F.lit(1).cast("long"))))
+    dealt = rows.withColumn("dealt", F.xxhash64("page_id", "url", "html")).join(
+        F.broadcast(heavy), "host", "left"
     )
+    part = F.pmod(F.xxhash64("dealt"), F.coalesce("groups", F.lit(1).cast("long")))
 
     def run(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -335,7 +358,9 @@ def extract(
         )
 
     return (
-        dealt.select("host", "part", "page_id", "url", "html")
+        dealt.select("host", part.alias("part"), "dealt", "page_id", "url", "html")
+        .repartition("host", "part")
+        .sortWithinPartitions("host", "part", "dealt")
         .groupBy("host", "part")
         .applyInArrow(run, "page_id long, url string, text string")
     )

@@ -110,6 +110,41 @@ def test_template_texts_go_within_landmarks():
     assert html_templates.extract_group(pages) == [f"Story {k}" for k in range(6)]
 
 
+@pytest.mark.parametrize(
+    "odd", ["", "<html><body><p>Moved</p>", "<div id=x><table><tr><td>Other layout</table></div>"]
+)
+def test_odd_pages_leave_the_template(odd):
+    pages = [site(k, f"<p>Words {k}</p>") for k in range(12)]
+    want = html_templates.extract_group(pages)
+    assert want[4] == "Page 1\nStory 4\nWords 4"
+    found = html_templates.extract_group([*pages[:5], odd, *pages[5:]])
+    assert found == [*want[:5], text_of(odd), *want[5:]]
+
+
+def test_texts_of_half_of_the_pages():
+    notice = "<div class=top2>Prices may vary</div>"
+    pages = [site(k, f"<p>Words {k}</p>" + notice * (k % 4 > 0)) for k in range(12)]
+    for k, text in enumerate(html_templates.extract_group(pages)):
+        assert text == f"Page {k % 3}\nStory {k}\nWords {k}"
+    # In varying numbers and within sentences, it may be no template's.
+    pages = [f"<div>Top</div><p>{' and '.join(f'<b>w{k} {j}</b>' for j in range(1 + k % 4))}" for k in range(12)]
+    for k, text in enumerate(html_templates.extract_group(pages)):
+        assert text == " and ".join(f"w{k} {j}" for j in range(1 + k % 4))
+
+
+def test_groups_do_not_depend_on_partitions(spark):
+    pages = [
+        (k, f"http://h{k % 3 if k < 100 else 0}/", site(k, f"<p>{k}") + f"<div>Part {k * 7919 % 101 % 2}")
+        for k in range(600)
+    ]
+    frame = spark.createDataFrame(pages, PAGES)
+    backwards = frame.orderBy(F.desc("page_id")).repartition(7)
+    first, second = (
+        rows(html_templates.extract(f, group_pages=8)) for f in (frame.repartition(1), backwards)
+    )
+    assert first == second
+
+
 def test_odd_rows(spark):
     big = "<article>" + "<p>para &amp; graph</p>" * 20_000 + "</article>"
     pages = [(1, "http://h/1", None), (2, "http://h/2", ""), (None, None, "<p>a"), (3, "x", "<p>b")]
