@@ -13,6 +13,27 @@ def remainder(id_column, modulus: int):
     return F.crc32(id_column.cast("string")) % modulus
 
 
+def fold_labels(
+    labels: DataFrame, label_col: str, modulus: int, held_out: int, id_col: str = "doc_id"
+) -> DataFrame:
+    """`doc_id, label` outside the held-out fold, one row for each id."""
+    return (
+        pick(labels, doc_id=id_col, label=label_col)
+        .where(F.col("label").isin(0, 1) & (remainder(F.col("doc_id"), modulus) != held_out))
+        .groupBy("doc_id")
+        .agg(F.min("label").cast("int").alias("label"))
+    )
+
+
+def label_share(
+    labels: DataFrame, label_col: str, modulus: int, held_out: int, id_col: str = "doc_id"
+) -> float:
+    """The share of label 1 in the whole training fold, smoothed so that it is never 0 or 1."""
+    marks = fold_labels(labels, label_col, modulus, held_out, id_col)
+    row = marks.agg(F.sum("label").alias("ones"), F.count("label").alias("all")).first()
+    return ((row["ones"] or 0) + 0.5) / (row["all"] + 1)
+
+
 def labelled_sample(
     docs: DataFrame,
     labels: DataFrame,
@@ -29,12 +50,7 @@ def labelled_sample(
     not depend on partitions. An id that is labelled several times counts once, with its least label.
     Labels other than 0 and 1, null ids and null texts are no examples.
     """
-    marks = (
-        pick(labels, doc_id=id_col, label=label_col)
-        .where(F.col("label").isin(0, 1) & (remainder(F.col("doc_id"), modulus) != held_out))
-        .groupBy("doc_id")
-        .agg(F.min("label").cast("int").alias("label"))
-    )
+    marks = fold_labels(labels, label_col, modulus, held_out, id_col)
     half = max_rows // 2
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit(label_col))
     chosen = [

@@ -4,7 +4,9 @@ A document is the average of the learned vectors of its features: words, pairs o
 and character n-grams within words (with the white space beside them as border marks), all hashed into
 `buckets` rows. A softmax layer over the average gives the score. Vectors and layer are trained by
 stochastic gradient descent in NumPy on the driver, over a sample of labelled rows that `max_rows`
-bounds; executors send hashed counts, so the driver never holds texts.
+bounds; executors send hashed counts, so the driver never holds texts. The sample may hold the classes
+in other shares than the labels do: the bias is that of the labels' shares, and the examples are weighted
+by them, so a score means the same at every number of labels.
 
 A pair of equal words is one feature whatever the word, so that repetition is seen in any language.
 
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hackney.llm.common import SPACE, blocks, mix, pick, span_hashes, utf8_rows, word_spans
-from hackney.llm.labelled import labelled_sample, remainder
+from hackney.llm.labelled import label_share, labelled_sample, remainder
 
 GRAMS = (3, 4)
 _MULTIPLIERS = np.array([0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1, 0x9E3779B1], np.uint32)
@@ -105,11 +107,22 @@ def train(
     epochs: int,
     rate: float,
     seed: int,
+    prior: float | None = None,
 ) -> QualityModel:
-    """Stochastic gradient descent on the cross entropy of a two-class softmax."""
+    """Stochastic gradient descent on the cross entropy of a two-class softmax.
+
+    `prior` is the share of label 1 in the corpus, by default that of the examples.
+    """
     positives = sum(label for _, _, label in examples)
+    if prior is None:
+        prior = (positives + 0.5) / (len(examples) + 1)
     bias = np.zeros(2)
-    bias[1] = np.log((positives + 0.5) / (len(examples) - positives + 0.5))
+    bias[1] = np.log(prior / (1 - prior))
+    # Classes are bounded each for the sample; these weights bring the corpus's shares back.
+    importance = np.ones(2)
+    if 0 < positives < len(examples):
+        share = (positives + 0.5) / (len(examples) + 1)
+        importance = np.array([(1 - prior) / (1 - share), prior / share])
     draw = np.random.default_rng(seed)
     vectors = draw.uniform(-1 / size, 1 / size, (buckets, size)).astype(np.float32)
     layer = np.zeros((2, size), np.float32)
@@ -127,6 +140,7 @@ def train(
             chance = np.exp(logits - logits.max())
             chance /= chance.sum()
             chance[label] -= 1
+            chance *= importance[label]
             slope = chance.astype(np.float32) @ layer
             layer -= np.float32(step) * np.outer(chance, mean).astype(np.float32)
             vectors[bucket] -= np.float32(step) * np.outer(share, slope)
@@ -169,7 +183,8 @@ def fit(
     ]
     # Collected order may vary, the sample does not.
     examples.sort(key=lambda e: (e[2], len(e[0]), e[0].tobytes(), e[1].tobytes()))
-    return train(examples, buckets, size, epochs, rate, seed)
+    prior = label_share(labels, label_col, modulus, held_out)
+    return train(examples, buckets, size, epochs, rate, seed, prior)
 
 
 def score_column(column: pa.Array, model: QualityModel) -> np.ndarray:

@@ -92,6 +92,16 @@ def test_nothing_to_learn_from(spark, make_docs, module):
     assert all(r.score > 0.5 for r in module.classify(docs, ones).collect())
 
 
+@pytest.mark.parametrize("max_rows", [3000, 120, 60])
+def test_quality_scores_keep_the_share_of_the_labels(spark, make_docs, max_rows):
+    """One in ten is bad, however many of the good ones the sample holds."""
+    docs = make_docs(*[(i, f"{BAD} {i}" if i % 10 == 0 else f"{GOOD} {i}") for i in range(600)])
+    labels = spark.createDataFrame([(i, int(i % 10 > 0)) for i in range(600)], "doc_id long, quality int")
+    model = quality.fit(docs, labels, max_rows=max_rows)
+    empty, good, bad = quality.score_column(pa.array(["", GOOD, BAD]), model)
+    assert empty == pytest.approx(0.9, abs=0.02) and good > 0.9 and bad < 0.3
+
+
 def test_long_texts_come_in_blocks(monkeypatch):
     text = " ".join([GOOD] * 50)
     model = quality.QualityModel(
