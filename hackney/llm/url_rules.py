@@ -1,13 +1,17 @@
 """URL filtering by association rules, in DataFrame functions and Spark's FP-growth only.
 
-A URL becomes at most nine tokens, one for each of its slots: scheme, top-level domain, domain, site,
-subdomain, first directory, extension, first query key, fragment. FP-growth mines the combinations of
-tokens and the class of labelled URLs; a rule says that a combination is blocked. Rules with too little
-support or confidence are pruned, and so is a rule that says no more than a shorter one.
+A URL becomes tokens of all its parts: scheme, top-level domain, domain, every further part of the host,
+every segment of the path and each word of those that have several, extension, every query key, fragment.
+Support by count prunes tokens before combinations are mined: a rule that blocks needs `min_count` blocked
+URLs, so each of its tokens does. Tokens that stand in the same labelled URLs are one token, named after
+the least of them, and any of them stands for it. FP-growth mines the combinations of what is left and the
+class of labelled URLs; a rule says that a combination is blocked. Rules with too little support or
+confidence are pruned, and so is a rule that says no more than a shorter one.
 
 Rules match by an inverted index: a rule is filed under the rarest of its tokens, a URL looks up its
-tokens, and the other tokens of the rules found are compared. URLs with the same tokens are looked up
-once, so that a host that holds much of the table costs one look-up per kind of URL.
+tokens, and the other tokens of the rules found are compared. Only tokens that rules name are looked up,
+and URLs with the same ones once, so that a host that holds much of the table costs one look-up per kind
+of URL.
 
 Listed rules, such as `allow org/`, come before mined ones. A listed rule fits its host and all
 subdomains if the path begins with the rule's; the longest that fits wins.
@@ -21,6 +25,7 @@ one row each. An empty table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
+import math
 import string
 from collections.abc import Sequence
 
@@ -32,6 +37,7 @@ from hackney.llm.common import pick
 from hackney.session import stage
 
 BLOCKED = "class:block"
+NAMES = "token string, name string"
 RULES = "antecedent array<string>, confidence double, lift double, support double"
 
 
@@ -60,42 +66,82 @@ def listed_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) ->
 
 
 def url_tokens(url: Column) -> Column:
-    """One token for each slot that the URL fills."""
+    """The distinct tokens of all parts of the URL, each named after its kind of part."""
     host, path = host_and_path(url)
-    names = F.split(host, r"\.")
+    names = F.filter(F.split(host, r"\."), lambda p: p != "")
     size = F.size(names)
     parts = F.filter(F.split(path, "/"), lambda p: p != "")
-    first = F.get(parts, F.lit(0))
-    query = F.regexp_extract(url, r"\?([^=&#]*)", 1)
+    depth = F.size(parts)
+    query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
+    keys = F.transform(F.split(query, "&"), lambda p: F.substring_index(p, "=", 1))
     extension = F.regexp_extract(path, r"\.([A-Za-z]{1,8})$", 1)
+    stem = F.regexp_replace(path, r"\.[A-Za-z]{1,8}$", "")
+    words = F.flatten(
+        F.transform(
+            F.transform(
+                F.split(F.lower(stem), "/"),
+                lambda p: F.filter(F.split(p, r"[^\p{L}\p{N}]+"), lambda w: w != ""),
+            ),
+            lambda some: F.when(F.size(some) > 1, some).otherwise(F.array().cast("array<string>")),
+        )
+    )
 
     def token(slot: str, value: Column, given: Column) -> Column:
         return F.when(given, F.concat(F.lit(f"{slot}:"), value))
 
-    slots = [
+    def each(slot: str, values: Column) -> Column:
+        return F.transform(values, lambda v: F.concat(F.lit(f"{slot}:"), v))
+
+    single = [
         token("scheme", F.lower(F.substring_index(url, "://", 1)), F.locate("://", url) > 0),
-        token("top", F.element_at(names, -1), host != ""),
+        token("top", F.get(names, size - 1), size > 0),
         token("domain", F.concat_ws(".", F.slice(names, F.greatest(size - 1, F.lit(1)), 2)), size > 1),
         token("site", F.get(names, size - 3), size > 2),
-        token("sub", F.get(names, F.lit(0)), size > 3),
-        token("dir", first, (F.size(parts) > 1) & ~first.rlike(r"^\d+$")),
+        token("file", F.get(parts, depth - 1), depth > 0),
         token("ext", F.lower(extension), extension != ""),
-        token("query", query, query != ""),
         token("part", F.lit("fragment"), F.locate("#", url) > 0),
     ]
-    return F.array_compact(F.array(*slots))
+    several = [
+        each("sub", F.slice(names, F.lit(1), F.greatest(size - 3, F.lit(0)))),
+        each("dir", F.slice(parts, F.lit(1), F.greatest(depth - 1, F.lit(0)))),
+        each("word", words),
+        each("query", F.filter(keys, lambda k: k != "")),
+    ]
+    found = F.array_compact(F.concat(F.array(*single), *several))
+    return F.when(url.isNull(), F.array().cast("array<string>")).otherwise(F.array_distinct(found))
+
+
+def frequent_tokens(examples: DataFrame, least: int) -> DataFrame:
+    """`token, name` of the tokens of `example, blocked, tokens` with `least` blocked examples.
+
+    Tokens of the same examples share the least one's name.
+    """
+    counts = (
+        examples.select("example", "blocked", F.explode("tokens").alias("token"))
+        .groupBy("token")
+        .agg(
+            F.sum(F.col("blocked").cast("long")).alias("bad"),
+            F.count("*").alias("n"),
+            F.bit_xor(F.xxhash64("example")).alias("sum"),
+            F.bit_xor(F.xxhash64(F.lit(1), "example")).alias("other_sum"),
+        )
+        .where(F.col("bad") >= least)
+    )
+    alike = counts.groupBy("n", "sum", "other_sum").agg(
+        F.min("token").alias("name"), F.collect_list("token").alias("tokens")
+    )
+    return alike.select(F.explode("tokens").alias("token"), "name")
 
 
-def mine_rules(
+def mine(
     pages: DataFrame,
     labels: DataFrame,
-    min_support: float = 0.005,
+    min_support: float = 0.0,
     min_count: int = 10,
     min_confidence: float = 0.7,
     min_lift: float = 1.5,
-) -> DataFrame:
-    """Rules `antecedent, confidence, lift, support` that block, from `page_id, url` and
-    `page_id, blocked`; a rule needs `min_support` of the labelled URLs and `min_count` of them."""
+) -> tuple[DataFrame, DataFrame]:
+    """Rules as of `mine_rules`, and `token, name`: the tokens and the names that rules know them by."""
     marks = (
         labels.where(F.col("page_id").isNotNull() & F.col("blocked").isNotNull())
         .groupBy("page_id")
@@ -106,28 +152,50 @@ def mine_rules(
         pages.join(marks, "page_id")
         .select("blocked", tokens.alias("tokens"))
         .where(F.size("tokens") > 0)
+        .withColumn("example", F.monotonically_increasing_id()),
+        "examples",
+    )
+    size = examples.agg(
+        F.count("*").alias("all"), F.sum(F.col("blocked").cast("long")).alias("bad")
+    ).first()
+    n = size["all"]
+    spark = pages.sparkSession
+    least = max(min_count, math.ceil(min_support * n))
+    if (size["bad"] or 0) < least:
+        return spark.createDataFrame([], RULES), spark.createDataFrame([], NAMES)
+    names = stage(frequent_tokens(examples, least), "names")
+    pruned = (
+        examples.select("example", "blocked", F.explode("tokens").alias("token"))
+        .join(names.where(F.col("token") == F.col("name")), "token")
+        .groupBy("example")
+        .agg(F.first("blocked").alias("blocked"), F.collect_list("token").alias("tokens"))
         .select(
             F.when(F.col("blocked"), F.concat("tokens", F.array(F.lit(BLOCKED))))
             .otherwise(F.col("tokens"))
             .alias("items")
-        ),
-        "examples",
+        )
     )
-    n = examples.count()
-    none = pages.sparkSession.createDataFrame([], RULES)
-    if n < min_count:
-        return none
-    growth = FPGrowth(
-        itemsCol="items", minSupport=max(min_support, min_count / n), minConfidence=min_confidence
+    # Examples that lost all their tokens count for shares and lift as those with none.
+    bare = n - pruned.count()
+    others = spark.range(bare).select(F.array().cast("array<string>").alias("items"))
+    found = (
+        FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=min_confidence)
+        .fit(stage(pruned.union(others), "items"))
+        .associationRules
     )
-    found = growth.fit(examples).associationRules
     rules = stage(
         found.where(
             (F.get("consequent", F.lit(0)) == BLOCKED) & (F.col("lift") >= min_lift)
         ).select("antecedent", "confidence", "lift", "support"),
         "rules",
     )
-    return rules.join(_implied(rules), "antecedent", "left_anti")
+    return rules.join(_implied(rules), "antecedent", "left_anti"), names
+
+
+def mine_rules(pages: DataFrame, labels: DataFrame, **mining: float) -> DataFrame:
+    """Rules `antecedent, confidence, lift, support` that block, from `page_id, url` and
+    `page_id, blocked`; a rule needs `min_count` of the labelled URLs and `min_support` of them."""
+    return mine(pages, labels, **mining)[0]
 
 
 def _implied(rules: DataFrame) -> DataFrame:
@@ -189,14 +257,22 @@ def judge_urls(
     `mine_rules`. `mined` is the most confident mined rule that fits, null if none does.
     """
     rows = pick(pages, page_id=id_col, url=url_col)
-    rules = stage(mine_rules(rows, labels, **mining), "rules")
-    tokens = url_tokens(F.col("url"))
-    kinds = stage(rows.groupBy(tokens.alias("tokens")).agg(F.count("*").alias("n")), "kinds")
-    mined = stage(match_rules(kinds, rules), "mined")
+    rules, names = mine(rows, labels, **mining)
+    rules = stage(rules, "rules")
+    named = rules.select(F.explode("antecedent").alias("name")).distinct()
+    urls = rows.select("url").distinct().select("url", F.explode(url_tokens(F.col("url"))).alias("token"))
+    tagged = stage(
+        urls.join(names.join(named, "name"), "token")
+        .groupBy("url")
+        .agg(F.array_sort(F.collect_set("name")).alias("tokens")),
+        "tagged",
+    )
+    kinds = stage(tagged.groupBy("tokens").agg(F.count("*").alias("n")), "kinds")
+    mined = stage(tagged.join(match_rules(kinds, rules), "tokens").select("url", "mined"), "mined")
     host, path = host_and_path(F.col("url"))
     return (
-        rows.select("page_id", host.alias("host"), path.alias("path"), tokens.alias("tokens"))
-        .join(mined, "tokens", "left")
+        rows.select("page_id", "url", host.alias("host"), path.alias("path"))
+        .join(mined, "url", "left")
         .withColumn("first", listed_rule(F.col("host"), F.col("path"), listed))
         .select(
             "page_id",

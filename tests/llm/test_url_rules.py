@@ -85,6 +85,42 @@ def test_mined_combinations(spark):
     }
 
 
+@pytest.mark.parametrize(
+    "bad, good",
+    [
+        ("http://x.com/en/casino/a{}", "http://x.com/en/news/a{}"),
+        ("http://x.com/p?a=1&aff={}", "http://x.com/p?a=1&b={}"),
+        ("http://x.com/win-casino-{}", "http://x.com/win-cup-{}"),
+        ("http://a.ads.b{}.c.x.com/", "http://a.www.b{}.c.x.com/"),
+        ("http://x.com/d/bad.html#{}", "http://x.com/d/good.html#{}"),
+        ("http://x.com/12345/{}", "http://x.com/23456/{}"),
+    ],
+)
+def test_any_part_can_decide(spark, bad, good):
+    pages = [(i, (good if i % 5 else bad).format(i)) for i in range(100)]
+    labels = spark.createDataFrame([(i, i % 5 == 0) for i in range(80)], LABELS)
+    found = url_rules.judge_urls(spark.createDataFrame(pages, PAGES), labels).collect()
+    assert {r.page_id for r in found if r.verdict == "block"} == set(range(0, 100, 5))
+
+
+def test_small_sites_of_many_urls(spark):
+    """12 URLs of 6,000 are less than the share that rules once had to have."""
+    pages = [(i, f"http://{'bad' if i % 500 == 0 else 'good'}.x.com/{i}") for i in range(6000)]
+    labels = spark.createDataFrame([(i, i % 500 == 0) for i in range(6000)], LABELS)
+    found = url_rules.judge_urls(spark.createDataFrame(pages, PAGES), labels)
+    assert {r.page_id for r in found.where("verdict = 'block'").collect()} == set(range(0, 6000, 500))
+
+
+def test_tokens_of_the_same_urls_stand_for_each_other(spark):
+    """40 words that come together are one token, not 2 ** 40 combinations."""
+    slug = "-".join(f"w{k}" for k in range(40))
+    pages = [(i, f"http://x.com/{slug if i % 5 == 0 else 'news'}-{i}") for i in range(100)]
+    pages.append((100, "http://y.com/w7-other"))
+    labels = spark.createDataFrame([(i, i % 5 == 0) for i in range(100)], LABELS)
+    found = url_rules.judge_urls(spark.createDataFrame(pages, PAGES), labels).collect()
+    assert {r.page_id for r in found if r.verdict == "block"} == {*range(0, 100, 5), 100}
+
+
 def test_rules_match_as_all_against_all(spark):
     pages, labels = shops(spark)
     loose = {"min_confidence": 0.3, "min_lift": 1.0}
