@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hackney.llm.common import SPACE, blocks, mix, pick, span_hashes, utf8_rows, word_spans
-from hackney.llm.labelled import label_share, labelled_sample, remainder
+from hackney.llm.labelled import fold_labels, label_share, labelled_sample, remainder
 
 GRAMS = (3, 4)
 _MULTIPLIERS = np.array([0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1, 0x9E3779B1], np.uint32)
@@ -162,7 +162,8 @@ def fit(
     seed: int = 42,
 ) -> QualityModel:
     """The model of at most `max_rows` labelled rows outside the held-out fold."""
-    sample = labelled_sample(docs, labels, label_col, modulus, held_out, max_rows)
+    marks = fold_labels(docs, labels, label_col, modulus, held_out)
+    sample = labelled_sample(docs, labels, label_col, modulus, held_out, max_rows, marks=marks)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,8 +184,7 @@ def fit(
     ]
     # Collected order may vary, the sample does not.
     examples.sort(key=lambda e: (e[2], len(e[0]), e[0].tobytes(), e[1].tobytes()))
-    prior = label_share(labels, label_col, modulus, held_out)
-    return train(examples, buckets, size, epochs, rate, seed, prior)
+    return train(examples, buckets, size, epochs, rate, seed, label_share(marks))
 
 
 def score_column(column: pa.Array, model: QualityModel) -> np.ndarray:

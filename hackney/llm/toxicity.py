@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hackney.llm.common import LOWER, SPACE, blocks, pick, span_hashes, utf8_rows, word_spans
-from hackney.llm.labelled import labelled_sample, remainder
+from hackney.llm.labelled import fold_labels, label_share, labelled_sample, remainder
 
 PREFIXES = (4, 5, 6)
 FILTER_BITS = 20
@@ -184,7 +184,8 @@ def fit(
     max_rows: int = 3000,
 ) -> FactorizationMachine:
     """The machine of at most `max_rows` labelled rows outside the held-out fold."""
-    sample = labelled_sample(docs, labels, label_col, modulus, held_out, max_rows)
+    marks = fold_labels(docs, labels, label_col, modulus, held_out)
+    sample = labelled_sample(docs, labels, label_col, modulus, held_out, max_rows, marks=marks)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,11 +200,7 @@ def fit(
     distinct = sorted(
         set(zip(rows.column(1).to_pylist(), rows.column(0).to_pylist(), strict=True))
     )
-    fold = remainder(F.col("doc_id"), modulus) != held_out
-    marks = labels.where(fold & F.col(label_col).isin(0, 1))
-    share = marks.agg(F.sum(label_col).alias("ones"), F.count(label_col).alias("all")).first()
-    prior = ((share["ones"] or 0) + 0.5) / ((share["all"] or 0) + 1)
-    return train([(np.frombuffer(h, np.uint64), label) for h, label in distinct], prior)
+    return train([(np.frombuffer(h, np.uint64), label) for h, label in distinct], label_share(marks))
 
 
 def score_column(column: pa.Array, model: FactorizationMachine) -> np.ndarray:

@@ -102,6 +102,21 @@ def test_quality_scores_keep_the_share_of_the_labels(spark, make_docs, max_rows)
     assert empty == pytest.approx(0.9, abs=0.02) and good > 0.9 and bad < 0.3
 
 
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_labels_of_absent_documents_take_no_place(spark, make_docs, module):
+    docs, labels = examples(make_docs, spark)
+    absent = spark.range(1000, 9000).selectExpr(
+        "id as doc_id", "int(id % 9 = 0) as quality", "int(id % 9 = 0) as toxic"
+    )
+    every = docs.unionByName(make_docs(*[(i, None) for i in range(1000, 1500)]))
+    alone, beside = (
+        module.fit(every, given, max_rows=60) for given in (labels, labels.unionByName(absent))
+    )
+    assert not beside.unfitted
+    texts = pa.array([GOOD, BAD, ""])
+    assert (module.score_column(texts, alone) == module.score_column(texts, beside)).all()
+
+
 def test_long_texts_come_in_blocks(monkeypatch):
     text = " ".join([GOOD] * 50)
     model = quality.QualityModel(
