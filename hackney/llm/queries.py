@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hackney.llm import (
     decontaminate,
+    divergence,
     html_templates,
     near_dup,
     packing,
@@ -94,6 +95,56 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+with words as (
+  select r, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+               coalesce(text, '') as text from documents)
+), kept as (
+  select lang, term, cast(count(*) as hugeint) as n_lang
+  from words group by lang, term having count(distinct r) >= 30
+), sources as (
+  select distinct coalesce(lang, '') as lang, coalesce(source, '') as source from documents
+), counts as (
+  select lang, source, term, cast(count(*) as hugeint) as n
+  from words join kept using (lang, term) group by lang, source, term
+), langs as (
+  select lang, cast(count(*) as hugeint) as v, cast(sum(n_lang) as hugeint) as n_all from kept group by lang
+), totals as (
+  select lang, source, cast(sum(n) as hugeint) as n_all from counts group by lang, source
+), shares as (
+  select s.lang, s.source, k.term, coalesce(c.n, 0) as n,
+         1 + (1000000000 * (coalesce(c.n, 0) + 5)) // (coalesce(t.n_all, 0) + 5 * l.v) as p,
+         1 + (1000000000 * (k.n_lang + 5)) // (l.n_all + 5 * l.v) as q
+  from sources s join kept k using (lang) join langs l using (lang)
+  left join counts c using (lang, source, term) left join totals t using (lang, source)
+), pairs as (
+  select a.lang, a.source, b.source as item, cast(coalesce(sum(abs(x.p - y.p)), 0) as bigint) as value
+  from sources a join sources b on a.lang = b.lang and a.source <> b.source
+  left join shares x on x.lang = a.lang and x.source = a.source
+  left join shares y on y.lang = b.lang and y.source = b.source and y.term = x.term
+  group by a.lang, a.source, b.source
+), terms as (
+  select lang, source, term as item, cast(p - q as bigint) as value from shares where n > 0 and p > q
+), ranked as (
+  select lang, source, 'pair' as part, item, value,
+         cast(row_number() over (partition by lang, source order by value desc, item) as integer) as rank
+  from pairs
+  union all
+  select lang, source, 'term' as part, item, value,
+         cast(row_number() over (partition by lang, source order by value desc, item) as integer) as rank
+  from terms
+)
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 50
+"""
+
+
 OP9_SQL = r"""
 with item_words as (
   select cast(item_id as varchar) as item_id, regexp_extract_all(
@@ -160,8 +211,9 @@ def queries() -> dict[str, Query]:
         "op8_suffix_tree": op8_suffix_tree,
         "op9_decontaminate": op9_decontaminate,
         "op10_near_dup": op10_near_dup,
+        "op13_source_divergence": op13_source_divergence,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_topk": OP6_SQL, "op9_decontaminate": OP9_SQL}
+    return {"op6_topk": OP6_SQL, "op9_decontaminate": OP9_SQL, "op13_source_divergence": OP13_SQL}
