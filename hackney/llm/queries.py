@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hackney.llm import (
+    alignment,
     decontaminate,
     divergence,
     html_templates,
     near_dup,
     packing,
+    prefix_bpe,
     quality,
     suffix_tree,
     token_counts,
@@ -95,6 +97,20 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = prefix_bpe.decode(prefix_bpe.encode(table(spark, sf_dir, "documents")))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = alignment.link_counts(table(spark, sf_dir, "documents"))
+    return counts.withColumnRenamed("digest", "groups_sha256")
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -211,6 +227,8 @@ def queries() -> dict[str, Query]:
         "op8_suffix_tree": op8_suffix_tree,
         "op9_decontaminate": op9_decontaminate,
         "op10_near_dup": op10_near_dup,
+        "op11_prefix_bpe": op11_prefix_bpe,
+        "op12_alignment": op12_alignment,
         "op13_source_divergence": op13_source_divergence,
     }
 
