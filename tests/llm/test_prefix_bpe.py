@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import random
+
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from hackney.llm import prefix_bpe
+from tests.llm.conftest import CLASHING, rows
+
+ALPHABET = "ab 'sltvred\n\t  é字1,!\x1c\x85"
+
+
+@pytest.fixture(scope="module")
+def words():
+    return prefix_bpe.vocabulary(
+        public_tokenizers.path(prefix_bpe.RANKS), public_tokenizers.PATTERN
+    )
+
+
+@pytest.fixture(scope="module")
+def library(words):
+    return tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=words.ranks, special_tokens={}
+    )
+
+
+def drawn(draw, longest):
+    return "".join(draw.choice(ALPHABET) for _ in range(draw.randrange(longest)))
+
+
+def test_every_character_as_the_library(words, library):
+    for code in (c for c in range(0x110000) if not 0xD800 <= c < 0xE000):
+        char = chr(code)
+        text = f"a{char}b 1{char}1 {char}{char}\n"
+        assert words.encode(text).tolist() == library.encode_ordinary(text), hex(code)
+
+
+def test_given_texts_as_the_library(spark, words, library):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.doc_id: r.text for r in table.collect()}
+    found = prefix_bpe.decode(prefix_bpe.encode(table)).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        assert r.ids == library.encode_ordinary(texts[r.doc_id])
+        assert bytes(r.decoded).decode() == texts[r.doc_id]
+
+
+def test_one_last_token_fits_each_prefix(words):
+    """The stored token is the last one of the prefix's own merges."""
+    for text in (b"understanding", "Straßenbahn字字".encode(), b"aaaaaaaaaaa"):
+        last = words.extend(prefix_bpe.array("i"), text)
+        for end in range(1, len(text) + 1):
+            assert words.tokens[last[end - 1]] == words.merged(text[:end])[-1]
+
+
+def test_windows(words, library, monkeypatch):
+    monkeypatch.setattr(prefix_bpe, "WINDOW", 50)
+    draw = random.Random(1)
+    for text in (drawn(draw, 5000), "a" * 500 + " " * 500 + "x\n" * 300, "'" * 120 + "ll" * 90):
+        assert words.encode(text).tolist() == library.encode_ordinary(text)
+
+
+def test_edits(words, library):
+    draw = random.Random(2)
+    for _ in range(500):
+        encoded = prefix_bpe.Encoded(words, drawn(draw, 40))
+        for _ in range(5):
+            start = draw.randrange(len(encoded.text) + 1)
+            end = min(len(encoded.text), start + draw.randrange(6))
+            encoded.replace(start, end, drawn(draw, 6))
+            assert encoded.ids() == library.encode_ordinary(encoded.text)
+        encoded.append(drawn(draw, 9))
+        assert encoded.ids() == library.encode_ordinary(encoded.text)
+    with pytest.raises(IndexError):
+        encoded.replace(1, 0, "")
+
+
+def test_edits_work_out_little(words):
+    encoded = prefix_bpe.Encoded(words, "some words in a row and again, " * 2000)
+    assert encoded.replace(30_000, 30_004, "other") < 40
+    assert encoded.append("more") < 10
+
+
+def test_odd_rows(spark, make_docs, library):
+    long = "x" * 30_000 + " y" * 30_000
+    docs = make_docs((1, None), (None, ""), (2, "a b"), (2, "a b"), (3, "<|endoftext|>\0"), (4, long))
+    wide = docs.withColumns({c: F.lit("x") for c in [*CLASHING, "ids", "decoded"]})
+    encoded = prefix_bpe.encode(wide)
+    want = [
+        (i, library.encode_ordinary(t or ""))
+        for i, t in [(1, None), (None, ""), (2, "a b"), (2, "a b"), (3, "<|endoftext|>\0"), (4, long)]
+    ]
+    assert rows(encoded) == sorted(want, key=lambda r: [(v is not None, v) for v in r])
+    assert {bytes(r.decoded) for r in prefix_bpe.decode(encoded.where("doc_id = 4")).collect()} == {long.encode()}
+    assert rows(prefix_bpe.decode(prefix_bpe.encode(wide.limit(0)))) == []
+    given = spark.createDataFrame([(None,), ([],), ([0, 1],)], "ids array<int>")
+    assert [bytes(r.decoded) for r in prefix_bpe.decode(given).collect()][:2] == [b"", b""]
+
+
+def test_decode_in_slices(spark, library, monkeypatch):
+    monkeypatch.setattr(prefix_bpe, "DECODED", 3)
+    given = spark.createDataFrame([([*range(n)],) for n in (0, 2, 5, 1, 4)], "ids array<int>").coalesce(1)
+    for r in prefix_bpe.decode(given).collect():
+        assert bytes(r.decoded) == library.decode_bytes(r.ids)
