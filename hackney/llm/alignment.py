@@ -148,11 +148,11 @@ def sides(ranks_path: str, model_path: str) -> Sides:
     return Sides(ranks_path, model_path)
 
 
-def parts_of(text: str) -> Iterator[str]:
+def parts_of(text: str, size: int = PART) -> Iterator[str]:
     """The text without the single spaces at which it is cut."""
     lo = 0
-    while len(text) - lo > PART:
-        cut = _CUT.search(text, lo + PART)
+    while len(text) - lo > size:
+        cut = _CUT.search(text, lo + size)
         if cut is None:
             break
         yield text[lo : cut.start()]
@@ -308,8 +308,9 @@ class _Block:
         " held array<int>, positions binary, times binary"
     )
 
-    def __init__(self, two: Sides, number: int):
+    def __init__(self, two: Sides, number: int, part: int, together: int):
         self.two, self.number = two, number
+        self.part_size, self.together = part, together
         self.doc_ids: list[int | None] = []
         self.digests, self.wrong = [], []
         self.numbers: list[list[int]] = []
@@ -325,11 +326,11 @@ class _Block:
         self.wrong.append(False)
         self.numbers.append([0, 0, 0, 0])
         self.size += len(text)
-        for part in parts_of(text) if text else ():
+        for part in parts_of(text, self.part_size) if text else ():
             self.parts.append(part)
             self.part_docs.append(doc)
             self.waiting += len(part)
-            if self.waiting >= TOGETHER:
+            if self.waiting >= self.together:
                 self.work()
 
     def work(self) -> None:
@@ -438,6 +439,9 @@ def link_counts(
     text_col: str = "text",
     ranks_path: str | None = None,
     model_path: str | None = None,
+    part_chars: int = PART,
+    together_chars: int = TOGETHER,
+    block_chars: int = BLOCK,
 ) -> DataFrame:
     """Per document its tokens, groups and links, weighed by how many documents hold a link's pair of ids.
 
@@ -449,14 +453,14 @@ def link_counts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         two = sides(*paths)
-        block = _Block(two, number)
+        block = _Block(two, number, part_chars, together_chars)
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 block.add(doc_id.as_py(), text.as_py() or "")
-                if block.size >= BLOCK or len(block.doc_ids) >= 1 << 16:
+                if block.size >= block_chars or len(block.doc_ids) >= 1 << 16:
                     yield block.row()
                     number += 1
-                    block = _Block(two, number)
+                    block = _Block(two, number, part_chars, together_chars)
         if block.doc_ids:
             yield block.row()
 

@@ -61,10 +61,10 @@ def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(n[order], first) if len(first) else n[:0]
 
 
-def _document_terms(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+def _document_terms(data: np.ndarray, bounds: np.ndarray, block: int) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """Row, term and occurrences of each distinct term of each row; the terms as a sorted dictionary."""
     rows, counts, words = [], [], []
-    for row, part, cuts in blocks(LOWER[data], bounds, BLOCK):
+    for row, part, cuts in blocks(LOWER[data], bounds, block):
         starts, ends, local = word_spans(part, cuts, OUTSIDE)
         offsets = np.zeros(len(starts) + 1, np.int32)
         np.cumsum(ends - starts, out=offsets[1:])
@@ -113,9 +113,11 @@ def _first_of_prefix(row: np.ndarray, rank: np.ndarray, terms: pa.Array) -> np.n
     return shared
 
 
-def _term_rows(data: np.ndarray, bounds: np.ndarray, langs: pa.Array, sources: pa.Array) -> pa.RecordBatch:
+def _term_rows(
+    data: np.ndarray, bounds: np.ndarray, langs: pa.Array, sources: pa.Array, block: int
+) -> pa.RecordBatch:
     """One row per language and term of a run of documents, as `ROWS` has them."""
-    keys, terms, n = _document_terms(data, bounds)
+    keys, terms, n = _document_terms(data, bounds, block)
     size = max(len(terms), 1)
     row, rank = keys // size, keys % size
     shared = _first_of_prefix(row, rank, terms)
@@ -144,18 +146,20 @@ def _term_rows(data: np.ndarray, bounds: np.ndarray, langs: pa.Array, sources: p
     )
 
 
-def _read_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read_terms(
+    batches: Iterator[pa.RecordBatch], block: int, summed: int
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, bounds = utf8_rows(batch.column("text"))
         lo = 0
         while lo < batch.num_rows:
-            hi = int(np.searchsorted(bounds, bounds[lo] + SUMMED, "right")) - 1
+            hi = int(np.searchsorted(bounds, bounds[lo] + summed, "right")) - 1
             hi = min(max(hi, lo + 1), batch.num_rows)
             part = data[bounds[lo] : bounds[hi]]
             langs, sources = (
                 batch.column(c).slice(lo, hi - lo).dictionary_encode() for c in ("lang", "source")
             )
-            yield _term_rows(part, bounds[lo : hi + 1] - bounds[lo], langs, sources)
+            yield _term_rows(part, bounds[lo : hi + 1] - bounds[lo], langs, sources, block)
             lo = hi
 
 
@@ -196,11 +200,14 @@ def term_counts(
     lang_col: str = "lang",
     source_col: str = "source",
     min_docs: int = 30,
+    block: int = BLOCK,
+    summed: int = SUMMED,
 ) -> DataFrame:
     """Occurrences `n` of the kept terms per `lang`, `source` and `term`, as a stored table."""
     with stages_dropped(docs.sparkSession) as keep:
         chosen = _documents(docs, text_col, lang_col, source_col)
-        rows = stage(chosen.mapInArrow(_read_terms, ROWS), "terms")
+        found = chosen.mapInArrow(lambda batches: _read_terms(batches, block, summed), ROWS)
+        rows = stage(found, "terms")
         kept = frequent_terms(rows, min_docs)
         counted = (
             rows.select("lang", "term", "sources")
@@ -219,7 +226,7 @@ def _share(count: str | int) -> Column:
     )
 
 
-def _block_distances(table: pa.Table) -> pa.Table:
+def _block_distances(table: pa.Table, tile: int) -> pa.Table:
     """Differences of each two sources of a tile pair, summed over the terms of a block.
 
     Rows without a term give a source's number, its share of terms it lacks, and the block's terms.
@@ -237,7 +244,7 @@ def _block_distances(table: pa.Table) -> pa.Table:
     index = terms.indices.filter(pa.array(held)).to_numpy()
     dense[np.searchsorted(members, numbers[held]), index] = shares[held]
     ones, others, sums = [], [], []
-    tiles = members // TILE
+    tiles = members // tile
     mine, theirs = np.flatnonzero(tiles == high), np.flatnonzero(tiles == low)
     for i in mine:
         to = theirs[theirs < i]
@@ -249,7 +256,9 @@ def _block_distances(table: pa.Table) -> pa.Table:
     return pa.table([langs, *map(pa.array, columns)], names=["lang", "one", "other", "value"])
 
 
-def distances(counts: DataFrame, groups: DataFrame) -> DataFrame:
+def distances(
+    counts: DataFrame, groups: DataFrame, tile: int = TILE, terms: int = TERMS
+) -> DataFrame:
     """`lang`, `source`, `item` and `value` for each two sources of a language, both ways.
 
     `groups` has each `lang` and `source` with its kept occurrences `n_all` and the language's kept
@@ -257,9 +266,9 @@ def distances(counts: DataFrame, groups: DataFrame) -> DataFrame:
     """
     in_lang = Window.partitionBy("lang")
     numbered = groups.withColumn("number", F.row_number().over(in_lang.orderBy("source")) - 1).withColumn(
-        "n_tiles", F.ceil(F.count("*").over(in_lang) / TILE).cast("int")
+        "n_tiles", F.ceil(F.count("*").over(in_lang) / tile).cast("int")
     )
-    numbered = stage(numbered.withColumn("n_blocks", F.ceil((F.col("v") + 1) / TERMS).cast("int")), "numbers")
+    numbered = stage(numbered.withColumn("n_blocks", F.ceil((F.col("v") + 1) / terms).cast("int")), "numbers")
     block = F.pmod(F.xxhash64("term"), F.col("n_blocks")).cast("int").alias("block")
     held = counts.join(numbered, ["lang", "source"]).select(
         "lang", "number", "n_tiles", block, "term", _share("n").alias("share"),
@@ -277,10 +286,9 @@ def distances(counts: DataFrame, groups: DataFrame) -> DataFrame:
         "lang", "number", "n_tiles", "block", F.lit(None).cast("string").alias("term"),
         _share(0).alias("share"), F.coalesce("n_terms", F.lit(0).cast("long")).alias("n_terms"),
     )
-    tile = F.expr(f"number div {TILE}").cast("int")
     tiled = (
         held.unionByName(members)
-        .withColumn("tile", tile)
+        .withColumn("tile", F.expr(f"number div {tile}").cast("int"))
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("n_tiles") - 1)))
         .select(
             "lang", "block", F.greatest("tile", "with").alias("high"), F.least("tile", "with").alias("low"),
@@ -289,7 +297,9 @@ def distances(counts: DataFrame, groups: DataFrame) -> DataFrame:
     )
     summed = (
         tiled.groupBy("lang", "block", "high", "low")
-        .applyInArrow(_block_distances, "lang string, one bigint, other bigint, value bigint")
+        .applyInArrow(
+            lambda table: _block_distances(table, tile), "lang string, one bigint, other bigint, value bigint"
+        )
         .groupBy("lang", "one", "other")
         .agg(F.sum("value").alias("value"))
     )

@@ -284,7 +284,11 @@ def encode(
 
 
 def decode(
-    encoded: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded", ranks_path: str | None = None
+    encoded: DataFrame,
+    ids_col: str = "ids",
+    bytes_col: str = "decoded",
+    ranks_path: str | None = None,
+    together: int = DECODED,
 ) -> DataFrame:
     """`encoded` with the bytes of its ids added."""
     path = ranks_path or public_tokenizers.path(RANKS)
@@ -299,7 +303,7 @@ def decode(
             column = column.cast(pa.list_(pa.int32())).fill_null([]) if column.null_count else column
             ends = column.offsets.to_numpy()
             while lo < batch.num_rows:
-                hi = int(np.searchsorted(ends, ends[lo] + DECODED, "right")) - 1
+                hi = int(np.searchsorted(ends, ends[lo] + together, "right")) - 1
                 hi = min(max(hi, lo + 1), batch.num_rows)
                 flat = column.values.slice(ends[lo], ends[hi] - ends[lo])
                 joined = tokens.take(flat)

@@ -88,14 +88,12 @@ def expected(found):
     return sorted(out, key=lambda r: [(v is not None, v) for v in r])
 
 
-@pytest.mark.parametrize("part, together, block", [(1 << 20, 1 << 19, 8 << 20), (40, 200, 5000)])
-def test_counts_against_brute_force(spark, libraries, monkeypatch, part, together, block):
+@pytest.mark.parametrize("sizes", [{}, {"part_chars": 40, "together_chars": 200, "block_chars": 5000}])
+def test_counts_against_brute_force(spark, libraries, sizes):
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     documents = [tuple(r) for r in table.collect()] + ODD
     docs = spark.createDataFrame(documents, "doc_id long, text string").coalesce(2)
-    for name, value in (("PART", part), ("TOGETHER", together), ("BLOCK", block)):
-        monkeypatch.setattr(alignment, name, value)
-    assert rows(alignment.link_counts(docs)) == expected(brute(documents, libraries))
+    assert rows(alignment.link_counts(docs, **sizes)) == expected(brute(documents, libraries))
 
 
 def test_align_against_brute_force(spark, libraries):

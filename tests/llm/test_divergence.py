@@ -62,15 +62,33 @@ def made(seed, n, sources, alphabet="abcé字"):
 SCHEMA = "text string, lang string, source string"
 
 
-@pytest.mark.parametrize("block, summed, tile, terms", [(8 << 20, 32 << 20, 64, 4096), (64, 300, 3, 7)])
-def test_against_brute_force(spark, monkeypatch, block, summed, tile, terms):
-    for name, value in (("BLOCK", block), ("SUMMED", summed), ("TILE", tile), ("TERMS", terms)):
-        monkeypatch.setattr(divergence, name, value)
-    documents = made(1, 400, 12)
-    # Terms beyond a block, one term's prefix being another, and documents of no term.
-    documents += [("y" * 100 + " " + "y" * 101 + " y", "en", "s1")] * 6 + [("123", "xx", "a"), ("", "xx", "b")]
-    docs = spark.createDataFrame(documents, SCHEMA).repartition(3)
-    assert rows(divergence.audit(docs, min_docs=6, top=5)) == brute(documents, 6, 5)
+def hard(seed):
+    """Terms beyond a block, one term's prefix being another, and documents of no term."""
+    long = "y" * 100 + " " + "y" * 101 + " y"
+    return made(seed, 400, 12) + [(long, "en", "s1")] * 6 + [("123", "xx", "a"), ("", "xx", "b")]
+
+
+def test_against_brute_force(spark):
+    docs = spark.createDataFrame(hard(1), SCHEMA).repartition(3)
+    assert rows(divergence.audit(docs, min_docs=6, top=5)) == brute(hard(1), 6, 5)
+
+
+@pytest.mark.parametrize("block, summed", [(64, 300), (1, 1)])
+def test_small_blocks_of_text(spark, block, summed):
+    docs = spark.createDataFrame(hard(2), SCHEMA).repartition(3)
+    one = divergence.term_counts(docs, min_docs=6)
+    other = divergence.term_counts(docs, min_docs=6, block=block, summed=summed)
+    assert rows(one) == rows(other)
+
+
+def test_small_tiles(spark):
+    docs = spark.createDataFrame(hard(3), SCHEMA)
+    counts = divergence.term_counts(docs, min_docs=6)
+    groups = docs.select("lang", "source").distinct()
+    groups = groups.join(counts.groupBy("lang", "source").agg(F.sum("n").alias("n_all")), ["lang", "source"], "left")
+    groups = groups.join(counts.groupBy("lang").agg(F.count_distinct("term").alias("v")), "lang", "left").fillna(0)
+    one = rows(divergence.distances(counts, groups))
+    assert one == rows(divergence.distances(counts, groups, tile=3, terms=7)) and len(one) > 200
 
 
 def test_threshold_counts_documents_not_occurrences(spark):

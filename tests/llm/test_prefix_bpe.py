@@ -100,8 +100,7 @@ def test_odd_rows(spark, make_docs, library):
     assert [bytes(r.decoded) for r in prefix_bpe.decode(given).collect()][:2] == [b"", b""]
 
 
-def test_decode_in_slices(spark, library, monkeypatch):
-    monkeypatch.setattr(prefix_bpe, "DECODED", 3)
+def test_decode_in_slices(spark, library):
     given = spark.createDataFrame([([*range(n)],) for n in (0, 2, 5, 1, 4)], "ids array<int>").coalesce(1)
-    for r in prefix_bpe.decode(given).collect():
+    for r in prefix_bpe.decode(given, together=3).collect():
         assert bytes(r.decoded) == library.decode_bytes(r.ids)
