@@ -6,12 +6,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hackney.sources import commits
 from hackney.sources.layout import Layout
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
-    """Trips as they lie in the file; the schema may differ from month to month."""
-    return spark.read.parquet(path)
+    """Trips as they lie in the file or folder; the schema may differ from month to month."""
+    return commits.read(spark, path)
 
 
 def read_zone_text(spark: SparkSession, path: str) -> DataFrame:
@@ -31,13 +32,12 @@ def normalise_zones(zones: DataFrame) -> DataFrame:
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
     """The landed zone lookup."""
-    return spark.read.parquet(path)
+    return commits.read(spark, path)
 
 
 def read_prepared(spark: SparkSession, lake: Layout, year: int, month: int) -> DataFrame:
     """One prepared month, with `year`, `month` and `pickup_date` recovered from the path."""
-    reader = spark.read.option("basePath", lake.prepared_root)
-    return reader.parquet(lake.prepared(year, month))
+    return commits.read(spark, lake.prepared(year, month), lake.prepared_root)
 
 
 def read_table(spark: SparkSession, table: str = "taxi.trips_prepared") -> DataFrame:

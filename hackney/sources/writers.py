@@ -1,31 +1,21 @@
-"""Sinks. Each overwrites its target, so a repeated run leaves the same data.
-
-Rows are counted while they are written: the observation is the last step before the sink, where
-Spark counts each finished task once even when executors are lost, and no second scan is needed.
-"""
+"""Sinks. Each replaces its target as a whole, so a repeated run leaves the same data and a failed one
+leaves the earlier data; see `commits`. Rows are counted while they are written."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-
-def _write_counted(df: DataFrame, save: Callable[[DataFrameWriter], None]) -> int:
-    written = Observation()
-    save(df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite"))
-    return written.get["rows"]
+from hackney.sources import commits
 
 
 def land_trips(trips: DataFrame, path: str) -> int:
     """Copy a month of trips unchanged."""
-    return _write_counted(trips, lambda writer: writer.parquet(path))
+    return commits.overwrite(trips, path).rows
 
 
 def land_zones(zones: DataFrame, path: str) -> int:
     """Write the zone lookup, a small dimension, as one file."""
-    return _write_counted(zones.coalesce(1), lambda writer: writer.parquet(path))
+    return commits.overwrite(zones.coalesce(1), path).rows
 
 
 def write_prepared(prepared: DataFrame, path: str) -> int:
@@ -35,7 +25,7 @@ def write_prepared(prepared: DataFrame, path: str) -> int:
     larger than the advisory partition size over several.
     """
     by_date = prepared.hint("rebalance", "pickup_date")
-    return _write_counted(by_date, lambda writer: writer.partitionBy("pickup_date").parquet(path))
+    return commits.overwrite(by_date, path, ["pickup_date"]).rows
 
 
 def create_schema(spark: SparkSession, name: str, location: str) -> None:
@@ -46,14 +36,8 @@ def create_schema(spark: SparkSession, name: str, location: str) -> None:
 
 
 def publish_table(prepared: DataFrame, table: str, path: str) -> int:
-    """Create or replace `table`, whose files lie in `path`.
+    """Make `prepared` the content of `table`, whose versions lie in `path`.
 
     Input that is read by date directory is written without a shuffle.
     """
-    return _write_counted(
-        prepared,
-        lambda writer: writer.format("parquet")
-        .partitionBy("pickup_date")
-        .option("path", path)
-        .saveAsTable(table),
-    )
+    return commits.publish(prepared, table, path, ["pickup_date"])
