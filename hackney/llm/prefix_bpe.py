@@ -13,7 +13,7 @@ the positions added, and an edit is re-encoded from the piece it touches up to t
 after it that was a border before (`Encoded`).
 
 Texts are split by the vocabulary's pattern first, and pieces are encoded separately; encodings of pieces
-seen before are kept in a table of bounded size. The pattern looks only forward and `AHEAD` characters
+seen before, and of words between single spaces, are kept in tables of bounded size. The pattern looks only forward and `AHEAD` characters
 past a piece at most, so long texts are split in windows. A piece that is a token itself gets that
 token, as in the library that these files are made for.
 
@@ -26,11 +26,11 @@ give no rows. Other columns are not read.
 from __future__ import annotations
 
 import base64
+import re
 from array import array
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -43,7 +43,10 @@ from hackney.llm.common import pick
 RANKS = "byte_bpe_multi_50k.tiktoken"
 WINDOW = 1 << 20  # characters that are split at once
 AHEAD = 3  # characters that may be looked at past the end of a piece
-MAX_PIECES, MAX_PAIRS = 400_000, 500_000  # kept in a worker; some 150 MB
+MAX_PIECES, MAX_WORDS, MAX_PAIRS = 200_000, 400_000, 500_000  # kept in a worker; some 200 MB
+#: A piece begins with a space before what is no white space, whatever lies around; Python's white space
+#: holds all that Unicode's does.
+_WORD = re.compile(r" (?=\S)")
 BATCH = 16 << 20  # characters of text whose ids leave the task together
 DECODED = 4 << 20  # ids that are decoded at once
 
@@ -53,18 +56,18 @@ def pattern_of(text: str) -> regex.Pattern:
     return regex.compile(text.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
-class Pieces(dict):
-    """Ids of pieces by their text; those of a new piece are worked out."""
+class _Kept(dict):
+    """Ids by text, as bytes of 32-bit integers; those of a new text are worked out."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+    def __init__(self, work_out: Callable[[str], bytes], limit: int):
+        self.work_out, self.limit = work_out, limit
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) >= MAX_PIECES:
+    def __missing__(self, text: str) -> bytes:
+        ids = self.work_out(text)
+        if len(self) >= self.limit:
             self.clear()
-        ids = tuple(self.vocabulary.encode_piece(piece.encode()))
-        if len(ids) < 64:
-            self[piece] = ids
+        if len(ids) < 256:
+            self[text] = ids
         return ids
 
 
@@ -81,7 +84,8 @@ class Vocabulary:
         self.ends = {token[k:] for token in self.ranks for k in range(len(token))}
         self.pattern = pattern_of(pattern)
         self.compatible: dict[int, bool] = {}
-        self.pieces = Pieces(self)
+        self.pieces = _Kept(self.piece_ids, MAX_PIECES)
+        self.words = _Kept(self.word_ids, MAX_WORDS)
 
     def merged(self, text: bytes) -> list[bytes]:
         """The merges of a short text, one by one: the least rank first, then the leftmost."""
@@ -114,7 +118,7 @@ class Vocabulary:
 
         `last[i]` belongs to the prefix of i + 1 bytes.
         """
-        ranks, ends, fits = self.ranks, self.ends, self.fits
+        ranks, ends, compatible, size = self.ranks, self.ends, self.compatible, len(self.tokens)
         for end in range(len(last) + 1, len(text) + 1):
             start = end - 1
             while start >= 0:
@@ -123,8 +127,11 @@ class Vocabulary:
                     start = -1
                     break
                 token = ranks.get(candidate)
-                if token is not None and fits(last[start - 1] if start else -1, token):
-                    break
+                if token is not None:
+                    before = last[start - 1] if start else -1
+                    known = compatible.get((before + 1) * size + token)
+                    if self.fits(before, token) if known is None else known:
+                        break
                 start -= 1
             if start < 0:
                 raise ValueError(f"no token ends {text[max(0, end - 32):end]!r}")
@@ -141,9 +148,15 @@ class Vocabulary:
         ids.reverse()
         return ids
 
-    def encode_piece(self, piece: bytes) -> list[int]:
-        token = self.ranks.get(piece)
-        return [token] if token is not None else self.read_back(self.extend(array("i"), piece))
+    def piece_ids(self, piece: str) -> bytes:
+        raw = piece.encode()
+        token = self.ranks.get(raw)
+        ids = [token] if token is not None else self.read_back(self.extend(array("i"), raw))
+        return array("i", ids).tobytes()
+
+    def word_ids(self, word: str) -> bytes:
+        """A word after a space, which is the first character of its first piece."""
+        return b"".join([self.pieces[p] for p in self.pattern.findall(" " + word)])
 
     def split(self, text: str) -> Iterator[list[str]]:
         """The pieces of a text, a window at a time."""
@@ -164,11 +177,27 @@ class Vocabulary:
                 lo = len(text)
             yield found
 
-    def encode(self, text: str) -> array:
-        ids = array("i")
-        for pieces in self.split(text):
-            ids.extend(chain.from_iterable(map(self.pieces.__getitem__, pieces)))
-        return ids
+    def encode(self, text: str) -> bytes:
+        """Ids as 32-bit integers."""
+        ids = []
+        lo = 0
+        while lo < len(text):
+            cut = _WORD.search(text, lo + WINDOW) if len(text) - lo > WINDOW else None
+            hi = cut.start() if cut else len(text)
+            first, *words = _WORD.split(text[lo:hi])
+            if len(first) > 1000:
+                ids += [self.pieces[p] for part in self.split(first) for p in part]
+            elif first:
+                ids += map(self.pieces.__getitem__, self.pattern.findall(first))
+            long = [k for k, word in enumerate(words) if len(word) > 1000] if hi - lo > 1000 else []
+            done = 0
+            for k in long:
+                ids += map(self.words.__getitem__, words[done:k])
+                ids += [self.pieces[p] for part in self.split(" " + words[k]) for p in part]
+                done = k + 1
+            ids += map(self.words.__getitem__, words[done:])
+            lo = hi
+        return b"".join(ids)
 
     def decode(self, ids) -> bytes:
         return b"".join([self.tokens[i] for i in ids])
@@ -258,9 +287,9 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path, pattern)
 
-        def rows(names: list, ids: list[array]) -> pa.RecordBatch:
-            offsets = np.cumsum([0, *map(len, ids)])
-            flat = np.concatenate([np.frombuffer(i, np.int32) for i in ids])
+        def rows(names: list, ids: list[bytes]) -> pa.RecordBatch:
+            offsets = np.cumsum([0, *map(len, ids)]) // 4
+            flat = np.frombuffer(b"".join(ids), np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
             return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), lists], ["doc_id", "ids"])
 

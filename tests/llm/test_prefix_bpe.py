@@ -27,6 +27,10 @@ def library(words):
     )
 
 
+def ids_of(words, text):
+    return prefix_bpe.array("i", words.encode(text)).tolist()
+
+
 def drawn(draw, longest):
     return "".join(draw.choice(ALPHABET) for _ in range(draw.randrange(longest)))
 
@@ -35,7 +39,7 @@ def test_every_character_as_the_library(words, library):
     for code in (c for c in range(0x110000) if not 0xD800 <= c < 0xE000):
         char = chr(code)
         text = f"a{char}b 1{char}1 {char}{char}\n"
-        assert words.encode(text).tolist() == library.encode_ordinary(text), hex(code)
+        assert ids_of(words, text) == library.encode_ordinary(text), hex(code)
 
 
 def test_given_texts_as_the_library(spark, words, library):
@@ -59,8 +63,9 @@ def test_one_last_token_fits_each_prefix(words):
 def test_windows(words, library, monkeypatch):
     monkeypatch.setattr(prefix_bpe, "WINDOW", 50)
     draw = random.Random(1)
-    for text in (drawn(draw, 5000), "a" * 500 + " " * 500 + "x\n" * 300, "'" * 120 + "ll" * 90):
-        assert words.encode(text).tolist() == library.encode_ordinary(text)
+    for text in (*(drawn(draw, 5000) for _ in range(20)), "a" * 500 + " " * 500 + "x\n" * 300, "'" * 120 + "ll" * 90,
+                 ("b" * 1200 + " ") * 3 + "  " + "c1" * 900 + " \x1c d  \x85 e " * 40):
+        assert ids_of(words, text) == library.encode_ordinary(text)
 
 
 def test_edits(words, library):
