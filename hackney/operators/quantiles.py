@@ -1,11 +1,10 @@
-"""Exact interpolated quantiles of tables of any size, without shuffling their rows.
+"""Exact interpolated quantiles of tables of any size, by radix selection.
 
-One way serves every size. A pass of sketches proposes a bracket of values around each wanted rank, and
-a counting pass proves that the rank lies in it, or keeps the bracket that was known before. A rank that
-falls on an end of its bracket is then known. The other brackets are narrowed until at most
-`RANKED_ROWS` rows lie between their ends: by sketches of what lies between or, where those made no
-progress, by halving the doubles between the ends, which ends after 64 halvings at the latest. The few
-values within the brackets are grouped and ranked.
+Every value is read as a 64-bit integer key of the same order: whole numbers as they are, doubles by their
+bits. A pass counts values by the next digit of their keys, only among those that agree with a wanted
+rank's key so far, and takes over the digit that the rank falls on. After the passes of `DIGITS` the keys
+of all wanted ranks of all columns are known, whatever the data: nothing is sampled or guessed, and what
+is shuffled is at most a count per digit, task and wanted key. Values themselves are never shuffled.
 
 A quantile is `lower + (upper - lower) * weight` of the values at the two neighbouring ranks. Equal
 neighbours, and a weight of 0, give the lower value itself. An infinite neighbour wins over a finite one;
@@ -17,290 +16,223 @@ from __future__ import annotations
 
 import math
 import struct
+from bisect import bisect_right
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
-from operator import or_
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hackney.functions.columns import present, rows_of
 from hackney.schema import METRIC_COLUMNS
 
-RANKED_ROWS = 1_000_000
-SKETCH_ACCURACY = 10_000
+#: Bits of each pass. The counts of the first, at most 8,192 a column, tell how many values there are.
+DIGITS = (13, 17, 17, 17)
 PROBABILITIES = (0.50, 0.90, 0.95, 0.99)
-#: How far from the wanted share the sketch is asked; the first that covers its error is taken.
-MARGINS = (4, 40, 400, 4_000)  # in units of 1 / SKETCH_ACCURACY
 
-Bounds = tuple[float, float]
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_BITS = 64
+_MANTISSA = 2.0**52
+_INFINITE, _NAN = 0x7FF << 52, 0x7FF8 << 48
 
 
 @dataclass(frozen=True)
-class _Bracket:
-    """Known bounds of one wanted rank among the sorted numbers of a column."""
+class _Wanted:
+    """A rank of a column that is looked for."""
 
     column: str
     probability: float
-    rank: int
-    weight: float  # share of the value at rank + 1 in the result
-    below: int  # values < low
-    through_low: int  # values <= low
-    before_high: int  # values < high
-    low: float
-    high: float
-    stuck: bool = False  # the last proposal did not narrow the bracket
-    apart: Bounds | None = None  # the neighbours, where a proposed end fell between them
+    upper: bool  # the value at the rank after
+    rank: int  # among the values whose key begins with `prefix`
+    prefix: int  # the bits known, as a signed integer
 
-    @property
-    def last_rank(self) -> int:
-        return self.rank + (self.weight > 0)
 
-    @property
-    def between(self) -> int:
-        return self.before_high - self.through_low
+def double_key(value: float) -> int:
+    """The double's place among all doubles in their order; both zeros have that of zero."""
+    bits = struct.unpack("<q", struct.pack("<d", abs(value)))[0]
+    return -bits if value < 0 else bits
 
-    @property
-    def known(self) -> Bounds | None:
-        """The neighbours, if both ranks fall on the same end of the bracket or were found apart."""
-        if self.last_rank < self.through_low:
-            return self.low, self.low
-        if self.rank >= self.before_high:
-            return self.high, self.high
-        return self.apart
 
-    def strictly_inside(self, value: Column) -> Column:
-        return (value > self.low) & (value < self.high)
+def key_double(key: int) -> float:
+    value = struct.unpack("<d", struct.pack("<q", abs(key)))[0]
+    return -value if key < 0 else value
 
-    def inside(self, value: Column) -> Column:
-        return (value >= self.low) & (value <= self.high)
 
+def with_double_keys(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The named double columns replaced by their keys, in arithmetic that is exact.
 
-def _position(value: float) -> int:
-    """The double's place among all doubles in their order."""
-    bits = struct.unpack("<q", struct.pack("<d", value))[0]
-    return bits if bits >= 0 else -(bits & 0x7FFF_FFFF_FFFF_FFFF)
-
+    A number is m * 2**e with m in [1, 2), or in [0, 1) for the least e. The logarithm may be off by one
+    near a power of two, which shows in m. Each step is a projection, so that no step is computed twice.
+    """
+    others = [c for c in df.columns if c not in names]
 
-def _at(position: int) -> float:
-    bits = abs(position)
-    value = struct.unpack("<d", struct.pack("<q", bits))[0]
-    return -value if position < 0 else value
+    def step(columns: Iterable[Column]) -> list[Column]:
+        return [*(F.col(f"`{c}`") for c in others), *columns]
 
+    def ordinary(x: Column) -> Column:
+        return ~F.isnan(x) & (F.abs(x) < math.inf)
 
-def _middle(low: float, high: float) -> float:
-    return _at((_position(low) + _position(high)) // 2)
+    # Columns of one name cannot clash: numbers stand for names until the last step.
+    numbered = [(f"{i} ", F.col(f"`{name}`")) for i, name in enumerate(names)]
+    exponents = df.select(*step(
+        c for i, x in numbered for c in (
+            x.alias(i + "x"),
+            F.when(ordinary(x) & (x != 0), F.greatest(F.lit(-1022), F.floor(F.log2(F.abs(x))).cast("int")))
+            .otherwise(F.lit(-1022)).alias(i + "e"),
+        )
+    ))
+    scaled = exponents.select(*step(
+        c for i, _ in numbered for c in (
+            F.col(i + "x"), F.col(i + "e"),
+            F.when(ordinary(F.col(i + "x")), F.abs(i + "x") * F.pow(F.lit(2.0), -F.col(i + "e"))).alias(i + "m"),
+        )
+    ))
+
+    def key(i: str, name: str) -> Column:
+        x, e, m = F.col(i + "x"), F.col(i + "e"), F.col(i + "m")
+        place = (e + 1022).cast("long") * F.lit(1 << 52)
+        rise, whole = F.lit(1 << 52), lambda part: (part * _MANTISSA).cast("long")
+        size = (
+            F.when(m >= 2, place + rise + whole(m / 2))
+            .when((m < 1) & (e > -1022), place - rise + whole(m * 2))
+            .otherwise(place + whole(m))
+        )
+        signed = F.when(x < 0, -size).otherwise(size)
+        endless = F.when(x > 0, F.lit(_INFINITE)).otherwise(F.lit(-_INFINITE))
+        known = F.when(F.isnan(x), F.lit(_NAN)).when(F.abs(x) == math.inf, endless).otherwise(signed)
+        return F.when(x.isNotNull(), known).alias(name)
 
+    return scaled.select(*step(key(i, name) for (i, _), name in zip(numbered, names, strict=True)))
 
-def _first_sketch(
-    values: DataFrame, probabilities: Sequence[float]
-) -> tuple[list[_Bracket], list[Bounds], list[tuple[_Bracket, float | None, float | None]]]:
-    """Count every column and sketch it around the wanted probabilities, in one pass.
 
-    Returns the brackets to search, a proposal for each, and the neighbours that are NaN or null.
-    """
-    shares = [
-        min(max(p + side * m / SKETCH_ACCURACY, 0.0), 1.0)
-        for p in probabilities
-        for m in MARGINS
-        for side in (-1, 1)
-    ]
-    aggregates = []
-    for i, name in enumerate(values.columns):
-        number = F.when(~F.isnan(name), F.col(name))
-        aggregates += [
-            F.count(name).alias(f"{i} all"),
-            F.count(number).alias(f"{i} numbers"),
-            F.min(number).alias(f"{i} least"),
-            F.max(number).alias(f"{i} most"),
-            F.percentile_approx(number, shares, SKETCH_ACCURACY).alias(f"{i} sketch"),
-        ]
-    seen = values.agg(*aggregates).first()
-
-    search, proposals, results = [], [], []
-    for i, name in enumerate(values.columns):
-        count, numbers = seen[f"{i} all"], seen[f"{i} numbers"]
-        for k, probability in enumerate(probabilities):
-            position = max(count - 1, 0) * probability
-            rank = math.floor(position)
-            ends = (seen[f"{i} least"], seen[f"{i} most"])
-            bracket = _Bracket(name, probability, rank, position - rank, 0, 0, numbers, *ends)
-            if bracket.last_rank >= numbers:
-                # NaN sorts last; without any value the rank is beyond the end as well.
-                beyond = math.nan if count else None
-                results.append((bracket, beyond, beyond))
-                continue
-            error = 2 / SKETCH_ACCURACY + 2 / numbers
-            m = next((j for j, m in enumerate(MARGINS) if m / SKETCH_ACCURACY >= error), None)
-            at = 2 * (len(MARGINS) * k + (m or 0))
-            search.append(bracket)
-            proposals.append(ends if m is None else tuple(seen[f"{i} sketch"][at : at + 2]))
-    return search, proposals, results
-
-
-def _next_proposals(values: DataFrame, brackets: Sequence[_Bracket]) -> list[Bounds]:
-    """Narrower bounds for each bracket: sketches of what lies between, or one half of the doubles."""
-    margin = 2 / SKETCH_ACCURACY
-    wanted = defaultdict(list)
-    proposals: list[Bounds] = [(b.low, b.high) for b in brackets]
-    for i, bracket in enumerate(brackets):
-        if bracket.stuck:
-            proposals[i] = (bracket.low, _middle(bracket.low, bracket.high))
-            continue
-        start = (bracket.rank - bracket.through_low) / bracket.between - margin
-        end = (bracket.last_rank + 1 - bracket.through_low) / bracket.between + margin
-        wanted[(bracket.column, bracket.low, bracket.high)].append((i, start, end))
-    if not wanted:
-        return proposals
-    sketches = [
-        F.percentile_approx(
-            F.when(brackets[members[0][0]].strictly_inside(F.col(column)), F.col(column)),
-            [min(max(share, 0.0), 1.0) for _, start, end in members for share in (start, end)],
-            SKETCH_ACCURACY,
-        )
-        for (column, _, _), members in wanted.items()
-    ]
-    seen = values.agg(*[s.alias(str(i)) for i, s in enumerate(sketches)]).first()
-    for found, members in zip(seen, wanted.values(), strict=True):
-        for k, (i, start, end) in enumerate(members):
-            proposals[i] = (
-                found[2 * k] if start > 0 else brackets[i].low,
-                found[2 * k + 1] if end < 1 else brackets[i].high,
-            )
-    return proposals
-
-
-def _confirm(
-    values: DataFrame, brackets: Sequence[_Bracket], proposals: Sequence[Bounds]
-) -> list[_Bracket]:
-    """Count exactly around every proposal and keep that part of the bracket in which the rank lies."""
-
-    def total(condition: Column) -> Column:
-        return F.sum(F.when(condition, 1).otherwise(0))
-
-    # Zero has one sign here: Spark may take the literals 0.0 and -0.0 of one aggregate for the same.
-    proposals = [(low + 0.0, high + 0.0) for low, high in proposals]
-    aggregates = []
-    for bracket, (low, high) in zip(brackets, proposals, strict=True):
-        number = F.when(~F.isnan(bracket.column), F.col(bracket.column))
-        aggregates += [
-            total(number < low),
-            total(number <= low),
-            total(number < high),
-            total(number <= high),
-            F.max(F.when(number < high, number)),
-            F.min(F.when(number > high, number)),
-        ]
-    counts = values.agg(*[a.alias(str(i)) for i, a in enumerate(aggregates)]).first()
-    confirmed = []
-    for i, (old, (low, high)) in enumerate(zip(brackets, proposals, strict=True)):
-        below, through_low, before_high, through_high, before, after = counts[6 * i : 6 * i + 6]
-        new = old
-        if below <= old.rank and old.last_rank < through_high:
-            new = replace(old, low=low, high=high, below=below, through_low=through_low,
-                          before_high=max(before_high, through_low))
-        elif before_high <= old.rank:  # the values lie at the proposed end and above
-            new = replace(old, low=high, below=before_high, through_low=through_high,
-                          before_high=max(old.before_high, through_high))
-        elif old.rank < through_high <= old.last_rank:  # the proposed end lies between the two
-            new = replace(old, apart=(before, after))
-        confirmed.append(replace(new, stuck=2 * new.between > old.between))
-    return confirmed
-
-
-def _rank_inside(values: DataFrame, brackets: Sequence[_Bracket]) -> DataFrame:
-    """Group the values within each bracket and read off the neighbours of the wanted ranks."""
-    searched = sorted({b.column for b in brackets})
-    # Only rows with a value in some bracket are turned into one row per column.
-    some = reduce(or_, [b.inside(F.col(b.column)) for b in brackets])
-    column_name, value = F.col("column_name"), F.col("value")
-    single = values.select(*searched).where(some).unpivot([], searched, "column_name", "value")
-
-    def inside(b: _Bracket) -> Column:
-        return b.inside(value) & (column_name == b.column)
-
-    entries = [
-        F.when(
-            inside(b),
-            F.struct(
-                column_name,
-                F.lit(b.probability).alias("probability"),
-                F.lit(b.rank - b.below).cast("long").alias("skip"),
-                F.lit(b.weight).alias("weight"),
-                value,
-            ),
-        )
-        for b in brackets
-    ]
-    counted = (
-        single.where(reduce(or_, [inside(b) for b in brackets]))
-        .select(F.inline(F.array_compact(F.array(*entries))))
-        .groupBy("column_name", "probability", "skip", "weight", "value")
+def _between_keys(values: DataFrame, name: str, double: bool, wanted: Sequence[_Wanted], known: int) -> Column:
+    """Null where the value's key begins with none of the prefixes looked for in its column."""
+    parts = []
+    for prefix in {w.prefix for w in wanted}:
+        low = prefix << (_BITS - known)
+        high = low + (1 << (_BITS - known)) - 1
+        ends = (low, high)
+        if double:
+            ends = key_double(max(low, -_INFINITE)), key_double(min(high, _NAN))
+        # Zero has one sign here, and a range that ends on NaN is open: NaN is the greatest value.
+        parts.append(F.col(f"`{name}`").between(*[F.lit(e + 0) for e in ends]))
+    return F.when(reduce(Column.__or__, parts), F.col(f"`{name}`"))
+
+
+def _digits(values: DataFrame, doubles: set[str], wanted: Sequence[_Wanted], known: int, bits: int) -> DataFrame:
+    """How many values have each next digit: `column_name, prefix, digit, n`."""
+    if known:
+        names = [n for n in values.columns if any(w.column == n for w in wanted)]
+        of = {n: [w for w in wanted if w.column == n] for n in names}
+        values = values.select(*[_between_keys(values, n, n in doubles, of[n], known).alias(n) for n in names])
+    names = values.columns
+    keys = with_double_keys(values, [n for n in names if n in doubles])
+    keys = keys.select(*[F.col(f"`{n}`").cast("long").alias(n) for n in names])
+    shift = _BITS - known - bits
+    # Numbers shifted by 64 bits are not 0 to Java.
+    prefix = F.shiftright("key", _BITS - known) if known else F.lit(0).cast("long")
+    digit = F.shiftright("key", shift)
+    digit = digit.bitwiseAND((1 << bits) - 1) if known else digit
+    return (
+        keys.unpivot([], [F.col(f"`{n}`") for n in names], "column_name", "key")
+        .where(F.col("key").isNotNull())
+        .groupBy("column_name", prefix.alias("prefix"), digit.alias("digit"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ascending = Window.partitionBy("column_name", "probability").orderBy("value")
-    through = F.col("through")
-    return (
+
+
+def _chosen(counted: DataFrame, wanted: Sequence[_Wanted], bits: int) -> list[_Wanted]:
+    """The ranks looked for, with the digit that each falls on."""
+    ascending = Window.partitionBy("column_name", "prefix").orderBy("digit")
+    places = [
+        (w.column, w.prefix, F.struct(F.lit(i).alias("i"), F.lit(w.rank).cast("long").alias("rank")))
+        for i, w in enumerate(wanted)
+    ]
+    looked_for = F.coalesce(*[
+        F.when((F.col("column_name") == column) & (F.col("prefix") == prefix),
+               F.array(*[s for c, p, s in places if (c, p) == (column, prefix)]))
+        for column, prefix in dict.fromkeys((c, p) for c, p, _ in places)
+    ])
+    found = (
         counted.withColumn("through", F.sum("n").over(ascending))
-        .groupBy("column_name", "probability", "weight")
-        .agg(
-            F.min(F.when(through > F.col("skip"), value)).alias("lower"),
-            F.min(F.when(through > F.col("skip") + 1, value)).alias("upper"),
-        )
-        .select("column_name", "probability", "lower", "upper", "weight")
+        .select("digit", "n", "through", F.inline(looked_for))
+        .where((F.col("rank") < F.col("through")) & (F.col("rank") >= F.col("through") - F.col("n")))
     )
+    result = list(wanted)
+    for digit, n, through, i, rank in found.collect():
+        old = wanted[i]
+        result[i] = replace(old, rank=rank - (through - n), prefix=(old.prefix << bits) + digit)
+    return result
 
 
-def _literal_results(
-    values: DataFrame, results: Sequence[tuple[_Bracket, float | None, float | None]]
-) -> DataFrame:
-    rows = [
+def _literals(spark, rows: Sequence[tuple], kind: str) -> DataFrame:
+    structs = [
         F.struct(
-            F.lit(b.column).alias("column_name"),
-            F.lit(b.probability).alias("probability"),
-            F.lit(lower).cast("double").alias("lower"),
-            F.lit(upper).cast("double").alias("upper"),
-            F.lit(b.weight).alias("weight"),
+            F.lit(column).alias("column_name"),
+            F.lit(probability).alias("probability"),
+            F.lit(lower).cast(kind).alias("lower"),
+            F.lit(upper).cast(kind).alias("upper"),
+            F.lit(weight).alias("weight"),
         )
-        for b, lower, upper in results
+        for column, probability, lower, upper, weight in rows
     ]
-    return rows_of(values.sparkSession.range(1), rows)
+    return rows_of(spark.range(1), structs)
 
 
 def exact_neighbours(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float] = PROBABILITIES,
-    ranked_rows: int = RANKED_ROWS,
+    digits: Sequence[int] = DIGITS,
 ) -> DataFrame:
     """`column_name, probability, lower, upper, weight`: the values that a quantile lies between.
 
-    `df` is read several times: pass a stored table, or a staged one if it is dear to compute.
+    These are whole numbers if all columns are. `df` is read once per digit: pass a stored table, or
+    a staged one if it is dear to compute.
     """
-    values = df.select(*[F.col(name).cast("double").alias(name) for name in columns])
+    spark = df.sparkSession
+    kinds = {name: df.schema[name].dataType for name in columns}
+    doubles = {name for name, kind in kinds.items() if not isinstance(kind, _WHOLE)}
+    values = df.select(
+        *[F.col(f"`{n}`").cast("double" if n in doubles else "long").alias(n) for n in columns]
+    )
+    kind = "double" if doubles or not columns else "long"
     if not columns:
-        return values.sparkSession.createDataFrame(
-            [], "column_name string, probability double, lower double, upper double, weight double"
+        return spark.createDataFrame(
+            [], f"column_name string, probability double, lower {kind}, upper {kind}, weight double"
         )
-    wide, proposals, results = _first_sketch(values, probabilities)
-    narrow: list[_Bracket] = []
-    while wide:
-        confirmed = _confirm(values, wide, proposals)
-        results += [(b, *b.known) for b in confirmed if b.known is not None]
-        unknown = [b for b in confirmed if b.known is None]
-        narrow += [b for b in unknown if b.between <= max(ranked_rows, 1)]
-        wide = [b for b in unknown if b.between > max(ranked_rows, 1)]
-        if wide:
-            proposals = _next_proposals(values, wide)
-
-    parts = []
-    if narrow:
-        parts.append(_rank_inside(values, narrow))
-    if results:
-        parts.append(_literal_results(values, results))
-    return reduce(DataFrame.unionByName, parts)
+    by_digit = defaultdict(list)
+    for r in _digits(values, doubles, [], 0, digits[0]).collect():
+        by_digit[r.column_name].append((r.digit, r.n))
+    rows, wanted = [], []
+    for name in columns:
+        seen = sorted(by_digit[name])
+        through = [*accumulate(n for _, n in seen)]
+        for probability in probabilities:
+            position = max(through[-1] - 1 if through else 0, 0) * probability
+            rank = math.floor(position)
+            rows.append((name, probability, position - rank))
+            for upper in (False, True)[: (position > rank) + 1] if seen else ():
+                k = bisect_right(through, rank + upper)
+                inside = rank + upper - (through[k] - seen[k][1])
+                wanted.append(_Wanted(name, probability, upper, inside, seen[k][0]))
+    known = digits[0]
+    for bits in digits[1:] if wanted else ():
+        wanted = _chosen(_digits(values, doubles, wanted, known, bits), wanted, bits)
+        known += bits
+    at = {
+        (w.column, w.probability, w.upper): key_double(w.prefix) if w.column in doubles else w.prefix
+        for w in wanted
+    }
+    found = []
+    for name, probability, weight in rows:
+        lower = at.get((name, probability, False))
+        found.append((name, probability, lower, at.get((name, probability, True), lower), weight))
+    return _literals(spark, found, kind)
 
 
 def interpolated(lower: Column, upper: Column, weight: Column) -> Column:
@@ -318,11 +250,11 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float] = PROBABILITIES,
-    ranked_rows: int = RANKED_ROWS,
+    digits: Sequence[int] = DIGITS,
 ) -> DataFrame:
     """`column_name, probability, value`: linear interpolation between neighbours, nulls ignored."""
-    found = exact_neighbours(df, columns, probabilities, ranked_rows)
-    value = interpolated(F.col("lower"), F.col("upper"), F.col("weight"))
+    found = exact_neighbours(df, columns, probabilities, digits)
+    value = interpolated(*[F.col(c).cast("double") for c in ("lower", "upper")], F.col("weight"))
     return found.select("column_name", "probability", value.alias("value"))
 
 

@@ -27,6 +27,7 @@ from registry import fixture
 from tests.conftest import SMALL, at
 
 PROBABILITIES = [0.0, 0.1, 0.25, 0.5, 0.9, 0.95, 0.99, 1.0]
+DIGITS = [q.DIGITS, (5, 29, 30)]
 
 
 def found_quantiles(df, columns, **options):
@@ -34,11 +35,8 @@ def found_quantiles(df, columns, **options):
     return {(r["column_name"], r["probability"]): r["value"] for r in rows}
 
 
-@pytest.mark.parametrize("accuracy", [20, 10_000])
-@pytest.mark.parametrize("limit", [0, 500])
-def test_bracketed_quantiles_are_exact(spark, monkeypatch, accuracy, limit):
-    """Coarse sketches force several rounds; the result must not depend on them."""
-    monkeypatch.setattr(q, "SKETCH_ACCURACY", accuracy)
+@pytest.mark.parametrize("digits", DIGITS)
+def test_quantiles_are_exact(spark, digits):
     df = spark.range(20_000).select(
         (F.rand(1) * 1000).alias("spread"),
         F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.round(F.rand(2) * 50, 1)).alias("hot"),
@@ -48,21 +46,21 @@ def test_bracketed_quantiles_are_exact(spark, monkeypatch, accuracy, limit):
     )
     df = stage(df, "values")
     stored = df.toPandas()
-    found = found_quantiles(df, df.columns, ranked_rows=limit)
+    found = found_quantiles(df, df.columns, digits=digits)
     for name in df.columns:
         values = stored[name].dropna().to_numpy()
         for p in PROBABILITIES:
             assert found[(name, p)] == pytest.approx(np.quantile(values, p), rel=1e-12)
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
-def test_quantiles_of_nan_null_and_nothing(spark, limit):
+@pytest.mark.parametrize("digits", DIGITS)
+def test_quantiles_of_nan_null_and_nothing(spark, digits):
     empty = spark.createDataFrame([], "v double")
-    assert set(found_quantiles(empty, ["v"], ranked_rows=limit).values()) == {None}
+    assert set(found_quantiles(empty, ["v"], digits=digits).values()) == {None}
     assert exact_quantiles(empty, []).count() == 0
     rows = [(float(i), None, math.nan if i > 6 else float(i)) for i in range(10)]
     df = spark.createDataFrame(rows, "full double, absent double, some_nan double")
-    found = found_quantiles(df, df.columns, ranked_rows=limit)
+    found = found_quantiles(df, df.columns, digits=digits)
     assert found[("full", 0.5)] == 4.5
     assert found[("absent", 0.5)] is None
     assert found[("some_nan", 0.5)] == 4.5
@@ -78,10 +76,10 @@ def test_quantiles_of_nan_null_and_nothing(spark, limit):
         st.floats(allow_nan=False, allow_infinity=False, width=32), min_size=1, max_size=40
     )
 )
-def test_any_limit_agrees_with_numpy(spark, values):
+def test_any_digits_agree_with_numpy(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    for limit in [0, 1_000]:
-        found = found_quantiles(df, ["v"], ranked_rows=limit)
+    for digits in DIGITS:
+        found = found_quantiles(df, ["v"], digits=digits)
         for p in PROBABILITIES:
             expected = np.quantile(values, p)
             assert found[("v", p)] == pytest.approx(expected, rel=1e-9, abs=1e-30)
@@ -97,11 +95,11 @@ def test_metric_percentiles_have_one_list_per_metric(spark):
         assert rows[0][f"{name}_q"] == pytest.approx(expected)
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
-def test_quantiles_beside_infinity(spark, limit):
+@pytest.mark.parametrize("digits", DIGITS)
+def test_quantiles_beside_infinity(spark, digits):
     inf = math.inf
     df = spark.createDataFrame([(v, abs(v)) for v in (-inf, inf, 1.0, 2.0)], "both double, one double")
-    found = exact_quantiles(df, ["both", "one"], [0.0, 0.25, 0.5, 0.75, 1.0], ranked_rows=limit)
+    found = exact_quantiles(df, ["both", "one"], [0.0, 0.25, 0.5, 0.75, 1.0], digits=digits)
     by_column = {}
     for r in sorted(found.collect()):
         by_column.setdefault(r["column_name"], []).append(r["value"])
@@ -111,35 +109,60 @@ def test_quantiles_beside_infinity(spark, limit):
     assert math.isnan(two.first()["value"])
 
 
-@pytest.mark.parametrize("limit", [0, 3, 1_000_000])
-def test_quantiles_of_large_integers(spark, limit):
+@pytest.mark.parametrize("digits", DIGITS)
+def test_quantiles_of_large_integers(spark, digits):
     values = [1_700_000_000_000_000 + 7 * k for k in range(50)]
     df = spark.createDataFrame([(v,) for v in values], "v long")
-    found = found_quantiles(df, ["v"], ranked_rows=limit)
+    found = found_quantiles(df, ["v"], digits=digits)
     for p in PROBABILITIES:
         assert found[("v", p)] == np.quantile(np.array(values, float), p)
 
 
-def test_brackets_narrow_without_help_of_sketches(spark, monkeypatch):
-    """Halving the doubles alone reaches every rank, also across zero and magnitudes."""
-    first = q._first_sketch
-
-    def blind(values, probabilities):
-        brackets, _, results = first(values, probabilities)
-        return brackets, [(b.low, q._middle(b.low, b.high)) for b in brackets], results
-
-    def halves(values, brackets):
-        return [(b.low, q._middle(b.low, b.high)) for b in brackets]
-
-    monkeypatch.setattr(q, "_first_sketch", blind)
-    monkeypatch.setattr(q, "_next_proposals", halves)
+def test_quantiles_across_zero_and_magnitudes(spark):
     values = [(-1.0) ** k * 10.0 ** (k % 37 - 18) * (k + 1) for k in range(400)] + [3.5] * 50
     df = stage(spark.createDataFrame([(v,) for v in values], "v double"), "values")
-    found = found_quantiles(df, ["v"], ranked_rows=5)
+    found = found_quantiles(df, ["v"])
     for p in PROBABILITIES:
         assert found[("v", p)] == pytest.approx(np.quantile(np.array(values), p), rel=1e-12)
 
 
+def test_keys_of_doubles_are_their_bits_in_order(spark):
+    draw = np.random.default_rng(1)
+    values = draw.integers(0, 2**64, 20_000, np.uint64).view(np.float64).tolist()
+    values += [0.0, -0.0, math.inf, -math.inf, 5e-324, -5e-324, 2.0**-1022, math.nextafter(2.0**-1022, 0)]
+    values += [s * v for k in range(-1074, 1024) for v in (2.0**k, math.nextafter(2.0**k, 0)) for s in (1, -1)]
+    df = spark.createDataFrame([(v, v) for v in values], "value double, key double")
+    for r in q.with_double_keys(df, ["key"]).collect():
+        assert r.key == (q._NAN if math.isnan(r.value) else q.double_key(r.value)), r
+        assert math.isnan(r.value) or q.key_double(r.key) == r.value
+
+
+def test_whole_numbers_beyond_doubles(spark):
+    values = [2**62 + k for k in range(101)] + [-(2**62) - k for k in range(99)]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    r = q.exact_neighbours(df, ["v"], [0.9]).first()
+    assert (r["lower"], r["upper"]) == (sorted(values)[179], sorted(values)[180])
+
+
+def test_every_pass_scans_once_whatever_the_data(spark, monkeypatch):
+    passes = []
+    real = q._digits
+    monkeypatch.setattr(q, "_digits", lambda *a: passes.append(a[-1]) or real(*a))
+    for column in (F.lit(1.5), F.rand(1), F.pow(F.lit(10.0), F.rand(2) * 300)):
+        passes.clear()
+        q.exact_quantiles(stage(spark.range(5000).select(column.alias("a"), (-column).alias("b")), "v"), ["a", "b"])
+        assert tuple(passes) == q.DIGITS
+
+
+def test_only_counts_are_shuffled(spark):
+    df = stage(spark.range(1000).select(F.rand(1).alias("a"), F.rand(2).alias("b")), "v")
+    wanted = [q._Wanted("a", 0.5, False, 3, q.double_key(0.5) >> 51)]
+    plan = q._digits(df, {"a", "b"}, wanted, 13, 17)._jdf.queryExecution().executedPlan().toString()
+    exchange = next(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+    assert "partial_count" in plan.split(exchange)[1] and "Python" not in plan
+    assert "ReadSchema: struct<a:double>" in plan
+
+
 @pytest.mark.parametrize("bins", [1, 7, 80, 100])
 def test_histogram_matches_numpy(spark, bins):
     trips = fixture.trips(spark, SMALL)
