@@ -105,34 +105,46 @@ def min_dates(
     return least.select(*[F.to_date(f"min_{name}").alias(f"min_{name}") for name in names])
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """How many rows repeat an earlier one in all columns; missing values compare equal.
+def _key_hash(key: Sequence[str]) -> Column:
+    # Hashing skips nulls, so which parts are missing is hashed as well.
+    return F.xxhash64(*[part for name in key for part in (F.col(f"`{name}`"), F.col(f"`{name}`").isNull())])
+
+
+def _hash_counts(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows per key hash that repeats, and under null those of all hashes that do not."""
+    counted = df.select(_key_hash(key).alias("key_hash")).groupBy("key_hash").agg(F.count("*").alias("n"))
+    repeated = F.when(F.col("n") > 1, F.col("key_hash")).alias("key_hash")
+    return counted.groupBy(repeated).agg(F.sum("n").alias("n"))
+
+
+def _key_counts(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """`rows_total` and `distinct_trip_keys`: rows, and distinct keys; missing parts compare equal.
 
-    Only a hash per row is shuffled at first. Rows whose hash is unique cannot be duplicates, so
-    the whole rows of just the others are compared. The list of repeated hashes is written out to
-    give the planner its true size: Spark broadcasts it when small and joins by shuffle if not.
+    At first only a hash per row is shuffled, and equal ones are counted before that. A hash that occurs
+    once proves its key to be the only one of its kind; the keys of the other rows alone are compared in
+    full, so a collision never counts as a repeat. The list of repeated hashes is written out to give the
+    planner its true size: Spark broadcasts it when small and joins by shuffle if not.
     """
-    row_hash = F.xxhash64(*[F.col(name) for name in df.columns])
-    hashed = df.withColumn("row_hash", row_hash)
-    repeated = stage(
-        hashed.groupBy("row_hash").count().where(F.col("count") > 1).select("row_hash"),
-        "repeated-hashes",
+    counts = stage(_hash_counts(df, key), "hash-counts")
+    repeated = counts.where(F.col("key_hash").isNotNull()).select("key_hash")
+    keys = df.select(*[F.col(f"`{name}`").alias(f"k{i}") for i, name in enumerate(key)], _key_hash(key).alias("key_hash"))
+    compared = (
+        keys.join(repeated, "key_hash", "left_semi")
+        .groupBy(*[f"k{i}" for i in range(len(key))])
+        .agg(F.count("*").alias("n"))
     )
-    copies = (
-        hashed.join(repeated, "row_hash", "left_semi")
-        .groupBy(*df.columns)
-        .agg((F.count(F.lit(1)) - 1).alias("repeats"))
+    zero = F.lit(0).cast("long")
+    parts = counts.select(F.col("n").alias("rows"), zero.alias("repeats")).unionAll(
+        compared.select(zero, F.col("n") - 1)
     )
-    total = F.coalesce(F.sum("repeats"), F.lit(0).cast("long"))
-    return copies.agg(total.alias("duplicate_rows"))
+    rows, repeats = (F.coalesce(F.sum(name), zero) for name in ("rows", "repeats"))
+    return parts.agg(rows.alias("rows_total"), (rows - repeats).alias("distinct_trip_keys"))
 
 
-def _key_counts(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    # A struct is never null itself, so keys with missing parts are counted too.
-    return df.agg(
-        F.count(F.lit(1)).alias("rows_total"),
-        F.count_distinct(F.struct(*key)).alias("distinct_trip_keys"),
-    )
+def duplicate_rows(df: DataFrame) -> DataFrame:
+    """How many rows repeat an earlier one in all columns; missing values compare equal."""
+    repeats = F.col("rows_total") - F.col("distinct_trip_keys")
+    return _key_counts(df, df.columns).select(repeats.alias("duplicate_rows"))
 
 
 def raw_key_duplicates(trips: DataFrame) -> DataFrame:

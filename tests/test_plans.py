@@ -106,3 +106,12 @@ def test_zones_are_named_after_trips_are_counted(stored):
         joins = [i for i, line in enumerate(lines) if "HashJoin" in line]
         first = max(i for i, line in enumerate(lines) if "partial_count" in line)
         assert joins and first > max(joins)  # the plan prints children below
+
+
+def test_keys_are_shuffled_as_hashes(stored):
+    """The first exchange carries a hash and its count; neither key columns nor rows."""
+    trips = stored[0]
+    lines = plan_of(quality._hash_counts(trips, trips.columns)).splitlines()
+    first = next(i for i, line in reversed([*enumerate(lines)]) if "Exchange hashpartitioning" in line)
+    partial = lines[first + 1]
+    assert "keys=[key_hash" in partial and "functions=[partial_count" in partial

@@ -41,6 +41,23 @@ def test_a_third_of_all_rows_are_copies(spark):
     assert quality.duplicate_rows(ids).first()[0] == 9_999
 
 
+def test_forced_collisions_are_told_apart(spark, monkeypatch):
+    """With a hash of three values every hash repeats, and each key is compared in full."""
+    rows = [(i % 40, None if i % 7 == 0 else i % 5, f"v{i}") for i in range(400)] + [(None, None, "v0")]
+    df = spark.createDataFrame(rows, "a int, b int, c string")
+    monkeypatch.setattr(quality, "_key_hash", lambda key: F.pmod(F.xxhash64(*key), F.lit(3)))
+    found = quality._key_counts(df, ["a", "b"]).first()
+    assert tuple(found) == (401, len({r[:2] for r in rows}))
+    assert quality.duplicate_rows(df).first()[0] == 0
+
+
+def test_missing_parts_differ_by_place(spark):
+    df = spark.createDataFrame([(1, None), (None, 1), (1, None), (None, None)], "a int, b int")
+    hashes = df.select(quality._key_hash(["a", "b"]).alias("h")).distinct().count()
+    assert hashes == 3
+    assert tuple(quality._key_counts(df, ["a", "b"]).first()) == (4, 3)
+
+
 def test_duplicates_match_pandas(spark):
     trips = fixture.trips(spark, SMALL, repeated=True)
     frame = trips.toPandas()
