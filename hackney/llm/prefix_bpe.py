@@ -5,8 +5,8 @@ first token encodes itself and each two neighbours are the encoding of their own
 the merge that would cross a border is the same with or without what lies further off. Encodings of
 prefixes are therefore unique, and the last token of each prefix of a text says all: a token that ends
 at position i is the last one of that prefix if it is compatible with the last one of the prefix before
-it. Exactly one candidate is, so a position is filled by trying the vocabulary's tokens that end there,
-and the encoding is read off backwards.
+it. Exactly one candidate is, so a position is filled by trying the vocabulary's tokens that end there, as
+an automaton names them, and the encoding is read off backwards.
 
 Nothing that is stored for a prefix depends on what follows. So text can be appended exactly, by filling
 the positions added, and an edit is re-encoded from the piece it touches up to the first piece border
@@ -32,6 +32,7 @@ from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -81,7 +82,14 @@ class Vocabulary:
         self.tokens: list[bytes | None] = [None] * size
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
-        self.ends = {token[k:] for token in self.ranks for k in range(len(token))}
+        # Finds all tokens that end at a position, the longest first; bytes stand as characters.
+        self.endings = ahocorasick.Automaton()
+        for token, rank in self.ranks.items():
+            self.endings.add_word(token.decode("latin-1"), (rank, len(token)))
+        self.endings.make_automaton()
+        self.longest = max(map(len, self.ranks))
+        self.sizes = [len(token or b"") for token in self.tokens]
+        self.packed = [array("i", [rank]).tobytes() for rank in range(size)]
         self.pattern = pattern_of(pattern)
         self.compatible: dict[int, bool] = {}
         self.pieces = _Kept(self.piece_ids, MAX_PIECES)
@@ -104,7 +112,7 @@ class Vocabulary:
 
     def fits(self, before: int, token: int) -> bool:
         """Whether `token` may follow `before`, or begin a piece where that is -1."""
-        key = (before + 1) * len(self.tokens) + token
+        key = before * len(self.tokens) + token
         known = self.compatible.get(key)
         if known is None:
             if len(self.compatible) >= MAX_PAIRS:
@@ -113,49 +121,51 @@ class Vocabulary:
             known = self.compatible[key] = self.merged(b"".join(row)) == row
         return known
 
-    def extend(self, last: array, text: bytes) -> array:
+    def extend(self, last: list[int], text: bytes) -> list[int]:
         """Add to `last`, the last tokens of the prefixes of a part of `text`, those of its other prefixes.
 
         `last[i]` belongs to the prefix of i + 1 bytes.
         """
-        ranks, ends, compatible, size = self.ranks, self.ends, self.compatible, len(self.tokens)
-        for end in range(len(last) + 1, len(text) + 1):
-            start = end - 1
-            while start >= 0:
-                candidate = text[start:end]
-                if candidate not in ends:
-                    start = -1
-                    break
-                token = ranks.get(candidate)
-                if token is not None:
-                    before = last[start - 1] if start else -1
-                    known = compatible.get((before + 1) * size + token)
-                    if self.fits(before, token) if known is None else known:
-                        break
-                start -= 1
-            if start < 0:
-                raise ValueError(f"no token ends {text[max(0, end - 32):end]!r}")
-            last.append(token)
+        known, size = self.compatible.get, len(self.tokens)
+        done = len(last)
+        # Tokens that end at the first position to fill begin this far before it at most.
+        begin = max(0, done + 1 - self.longest)
+        for at, (token, length) in self.endings.iter(text[begin:].decode("latin-1")):
+            end = begin + at
+            if end == done and length <= end + 1:
+                before = last[end - length] if length <= end else -1
+                fits = known(before * size + token)
+                if fits or fits is None and self.fits(before, token):
+                    last.append(token)
+                    done += 1
+        if done < len(text):
+            raise ValueError(f"no token ends {text[max(0, done - 31):done + 1]!r}")
         return last
 
-    def read_back(self, last: array) -> list[int]:
+    def read_back(self, last: list[int]) -> list[int]:
         """The encoding of the longest prefix."""
         ids = []
         end = len(last)
         while end:
             ids.append(last[end - 1])
-            end -= len(self.tokens[ids[-1]])
+            end -= self.sizes[ids[-1]]
         ids.reverse()
         return ids
 
     def piece_ids(self, piece: str) -> bytes:
         raw = piece.encode()
         token = self.ranks.get(raw)
-        ids = [token] if token is not None else self.read_back(self.extend(array("i"), raw))
-        return array("i", ids).tobytes()
+        if token is not None:
+            return self.packed[token]
+        return b"".join([self.packed[t] for t in self.read_back(self.extend([], raw))])
 
     def word_ids(self, word: str) -> bytes:
         """A word after a space, which is the first character of its first piece."""
+        stem = word.rstrip(",.")
+        if stem.isascii() and stem.isalpha():  # the commonest of what the pattern splits, known beforehand
+            if stem == word:
+                return self.piece_ids(" " + word)
+            return self.words[stem] + self.pieces[word[len(stem) :]]
         return b"".join([self.pieces[p] for p in self.pattern.findall(" " + word)])
 
     def split(self, text: str) -> Iterator[list[str]]:
@@ -215,7 +225,7 @@ class Encoded:
         self.vocabulary = vocabulary
         self.text = ""
         self.starts: list[int] = []
-        self.last: list[array] = []  # per piece, the last tokens of its prefixes
+        self.last: list[list[int]] = []  # per piece, the last tokens of its prefixes
         self.replace(0, 0, text)
 
     def ids(self) -> list[int]:
@@ -255,7 +265,7 @@ class Encoded:
                 break
             found = self.vocabulary.pattern.match(self.text, position)
             piece = found.group().encode()
-            known = array("i")
+            known: list[int] = []
             same = bisect_left(self.starts, position)
             if same < len(self.starts) and self.starts[same] == position <= start:
                 # The old piece at this place: what it shares with the new one is known.

@@ -55,7 +55,7 @@ def test_given_texts_as_the_library(spark, words, library):
 def test_one_last_token_fits_each_prefix(words):
     """The stored token is the last one of the prefix's own merges."""
     for text in (b"understanding", "Straßenbahn字字".encode(), b"aaaaaaaaaaa"):
-        last = words.extend(prefix_bpe.array("i"), text)
+        last = words.extend([], text)
         for end in range(1, len(text) + 1):
             assert words.tokens[last[end - 1]] == words.merged(text[:end])[-1]
 
