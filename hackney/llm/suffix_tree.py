@@ -14,8 +14,11 @@ contexts are states as well. Distributions are smoothed with the shorter context
 different next symbols (Witten and Bell), down to single symbols and a uniform floor.
 
 Scoring. Each position descends from the root by the preceding symbols to its longest state. A token's
-chance by the tree, the product over its symbols, is smoothed once more by an even mixture with its
-chance by the token counts, so that words too rare for states of their own keep what the counts know.
+chance by the tree is the product over its symbols, down to its separator, so all spellings share one
+mass. It is mixed evenly with the token's share of the training tokens, so that words too rare for states
+of their own keep what the counts know; a word never seen has only the tree's half, and the longer it is
+the less. The chances of all texts thus add up to at most 1, where the base model, which grants a chance
+to each word never seen whatever their number, adds up to more.
 
 The tree is all that is broadcast. It has at most `depth / least_share` states by the candidates' shares,
 whatever the size of the corpus, with at most 256 numbers each. Counts of words, which grow with the
@@ -26,8 +29,8 @@ The base score is that of an add-one unigram model of tokens. Words are told apa
 
 Defined results: a null text counts as empty and has the end as its only token. A row with a null id is
 scored but not learned from and not held out. Repeated ids are carried along, one row each. With nothing
-to learn from, all symbols are equally likely and the base score is 0. An empty table gives no rows.
-Other columns are not read.
+to learn from, every symbol has a chance of 1 in 256, no token counts are mixed in, and the base score
+is 0. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -308,9 +311,11 @@ def build_tree(counts: DataFrame, depth: int = DEPTH) -> SuffixTree:
 
 SCORED = (
     "doc_id long, held_out boolean, n_tokens long, n_common long, common_base double, "
-    "common_score double, rare array<long>, chances array<double>"
+    "common_score double, rare array<long>, tree_logs array<double>"
 )
-MIXED = 0.5
+
+
+ESCAPE = 0.5  # the tree's part of a token's chance
 
 
 def token_logs(model: SuffixTree, stream: np.ndarray, counted: np.ndarray) -> np.ndarray:
@@ -320,8 +325,11 @@ def token_logs(model: SuffixTree, stream: np.ndarray, counted: np.ndarray) -> np
     return np.add.reduceat(each, np.append(0, last[:-1] + 1)) if len(last) else np.zeros(0)
 
 
-def _score_rows(rows: DataFrame, tree, common, floor: float) -> DataFrame:
-    """Sums over common words, and the tree's chances of all other tokens with their hashes."""
+def _score_rows(
+    rows: DataFrame, tree, common, tokens: int, escape: float, floor: float
+) -> DataFrame:
+    """Sums over common words, and log10 of the tree's chances of all other tokens with their hashes."""
+    train_tokens = tokens
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -330,25 +338,25 @@ def _score_rows(rows: DataFrame, tree, common, floor: float) -> DataFrame:
 
     def scored(batch: pa.RecordBatch) -> pa.RecordBatch:
         n = len(batch)
-        hashes, logs = common.value
+        hashes, counts = common.value
         model = tree.value
         base, score = np.zeros(n), np.zeros(n)
         tokens, known = np.zeros(n, np.int64), np.zeros(n, np.int64)
         rare = [(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.int64))]
         for stream, _, counted, words, rows in symbol_streams(batch.column("text"), model.depth):
-            chances = 10.0 ** token_logs(model, stream, counted)
+            logs = token_logs(model, stream, counted)
             tokens += np.bincount(rows, minlength=n)
             if len(hashes):
                 at = np.minimum(np.searchsorted(hashes, words), len(hashes) - 1)
                 hit = hashes[at] == words
-                own, unigram = rows[hit], logs[at[hit]] - floor
+                own, count = rows[hit], counts[at[hit]]
                 known += np.bincount(own, minlength=n)
-                base += np.bincount(own, unigram, n)
-                mixed = MIXED * chances[hit] + (1 - MIXED) * 10.0**unigram
+                base += np.bincount(own, np.log10(count + 1.0) - floor, n)
+                mixed = escape * 10.0 ** logs[hit] + (1 - escape) * count / train_tokens
                 score += np.bincount(own, np.log10(mixed), n)
-                words, chances, rows = words[~hit], chances[~hit], rows[~hit]
-            rare.append((words, chances, rows))
-        words, chances, rows = map(np.concatenate, zip(*rare, strict=True))
+                words, logs, rows = words[~hit], logs[~hit], rows[~hit]
+            rare.append((words, logs, rows))
+        words, logs, rows = map(np.concatenate, zip(*rare, strict=True))
         offsets = pa.array(np.searchsorted(rows, np.arange(n + 1)), pa.int32())
         return pa.RecordBatch.from_arrays(
             [
@@ -359,7 +367,7 @@ def _score_rows(rows: DataFrame, tree, common, floor: float) -> DataFrame:
                 pa.array(base),
                 pa.array(score),
                 pa.ListArray.from_arrays(offsets, pa.array(words.view(np.int64))),
-                pa.ListArray.from_arrays(offsets, pa.array(chances)),
+                pa.ListArray.from_arrays(offsets, pa.array(logs)),
             ],
             names=[field.split()[0] for field in SCORED.split(", ")],
         )
@@ -393,30 +401,32 @@ def score_documents(
     words = counts.where(F.col("kind") == WORDS).select("key", "n")
     size = words.agg(F.sum("n").alias("tokens"), F.count("n").alias("different")).first()
     tokens, different = size["tokens"] or 0, size["different"]
+    escape = ESCAPE if tokens else 1.0
     # At most 1 / common_share words.
     often = words.where(F.col("n") >= max(1.0, common_share * tokens)).toArrow()
     hashes = often.column("key").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
-    logs = np.log10(often.column("n").to_numpy()[order] + 1.0)
+    common = hashes[order], often.column("n").to_numpy()[order]
     tree = build_tree(
         tree_counts(counts.where(F.col("kind") == GRAMS).select("key", "n"), least_share), depth
     )
     context = spark.sparkContext
     floor = float(np.log10(tokens + different + 1))
-    scored = _score_rows(
-        rows, context.broadcast(tree), context.broadcast((hashes[order], logs)), floor
-    )
+    scored = _score_rows(rows, context.broadcast(tree), context.broadcast(common), tokens, escape, floor)
     scored = stage(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
     count = F.coalesce("n", F.lit(0)) + 1.0
-    unigram = count / float(tokens + different + 1)
+    # A long word's chance is below all doubles, its logarithm is not.
+    log = F.col("tree_logs")
+    share = (1 - escape) * F.col("n") / float(max(tokens, 1))
+    seen = F.log10(escape * F.pow(F.lit(10.0), log) + share)
     rare = (
-        scored.select("row", F.explode(F.arrays_zip("rare", "chances")).alias("word"))
-        .select("row", F.col("word.rare").alias("key"), "word.chances")
+        scored.select("row", F.explode(F.arrays_zip("rare", "tree_logs")).alias("word"))
+        .select("row", F.col("word.rare").alias("key"), "word.tree_logs")
         .join(words, "key", "left")
         .groupBy("row")
         .agg(
             F.sum(F.log10(count)).alias("rare_base"),
-            F.sum(F.log10(MIXED * F.col("chances") + (1 - MIXED) * unigram)).alias("rare_score"),
+            F.sum(F.when(F.col("n").isNull(), log + float(np.log10(escape))).otherwise(seen)).alias("rare_score"),
             F.count("n").alias("rare_known"),
             F.count("key").alias("rare_tokens"),
         )

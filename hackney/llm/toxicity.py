@@ -8,9 +8,11 @@ not. The machine's score is
 
 so a pair, such as an insult beside the name of a group, can count for more than its two weights. It is
 trained by gradient descent with per-parameter rates in NumPy on the driver, over a sample of labelled
-rows that `max_rows` bounds. Only terms whose occurrence differs between the classes by a likelihood
-ratio test take part, at most `max_terms` of them; equal texts count once. Executors send term hashes
-and get the terms' parameters: both are bounded by parameters, whatever the size of the data.
+rows that `max_rows` bounds. Terms take part whose occurrence differs between the classes by a likelihood
+ratio test, alone or together with another term: the second test compares a pair with the better of its
+two terms, so terms that tell nothing by themselves are found by the company they make. Equal texts count
+once. Executors send term hashes and get the terms' parameters: both are bounded by the sample, whatever
+the size of the data.
 
 Defined results: a text without such terms, an empty or a null one scores by the bias alone. Without
 examples, every score is 0.5; with examples of one class, the bias follows that class. Null and
@@ -105,6 +107,43 @@ def likelihood_ratio(with_toxic, with_clean, toxic: int, clean: int) -> np.ndarr
     )
 
 
+def telling_pairs(
+    rows: np.ndarray, terms: np.ndarray, labels: np.ndarray, ratio: np.ndarray, least_gain: float
+) -> np.ndarray:
+    """Terms that together with another one mark label 1 by `least_gain` better than either alone.
+
+    `rows` and `terms` are the distinct pairs of example and term; `ratio` has the test of each term. All
+    pairs are counted by products of incidence matrices, of terms frequent enough for the test.
+    """
+    toxic = labels == 1
+    n_toxic, n_clean = int(toxic.sum()), int((~toxic).sum())
+    counts = np.arange(1, n_toxic + 1)
+    enough = np.flatnonzero(likelihood_ratio(counts, 0 * counts, n_toxic, n_clean) >= least_gain)
+    if not len(enough):
+        return np.zeros(0, np.int64)
+    least = counts[enough[0]]
+    often = np.flatnonzero(np.bincount(terms, labels[rows], len(ratio)) >= least)
+    number = np.full(len(ratio), -1)
+    number[often] = np.arange(len(often))
+    use = number[terms] >= 0
+    present = np.zeros((len(labels), len(often)), np.float32)
+    present[rows[use], number[terms[use]]] = 1
+    in_toxic, in_clean = present[toxic], present[~toxic]
+    found = np.zeros(len(often), bool)
+    for lo in range(0, len(often), 512):
+        both = in_toxic[:, lo : lo + 512].T @ in_toxic[:, lo:]
+        one, other = np.nonzero(both >= least)
+        one, other = one[other > one], other[other > one]
+        in_both = both[one, other].astype(float)
+        not_toxic = (in_clean[:, lo : lo + 512].T @ in_clean[:, lo:])[one, other].astype(float)
+        alone = np.maximum(ratio[often[lo + one]], ratio[often[lo + other]])
+        gain = likelihood_ratio(in_both, not_toxic, n_toxic, n_clean) - alone
+        good = (gain >= least_gain) & (in_both * n_clean > not_toxic * n_toxic)
+        found[lo + one[good]] = True
+        found[lo + other[good]] = True
+    return often[found]
+
+
 def train(
     examples: list[tuple[np.ndarray, int]],
     prior: float | None = None,
@@ -113,7 +152,7 @@ def train(
     rate: float = 0.3,
     decay: float = 1e-4,
     least_ratio: float = 14.0,
-    max_terms: int = 1 << 15,
+    least_gain: float = 30.0,
     batch: int = 32,
     seed: int = 7,
 ) -> FactorizationMachine:
@@ -133,8 +172,8 @@ def train(
     with_toxic = np.bincount(index, labels[rows], len(terms))
     with_clean = np.bincount(index, minlength=len(terms)) - with_toxic
     ratio = likelihood_ratio(with_toxic, with_clean, toxic, clean)
-    good = np.flatnonzero(ratio >= least_ratio)
-    good = np.sort(good[np.argsort(-ratio[good], kind="stable")][:max_terms])
+    pairs = telling_pairs(rows, index, labels, ratio, least_gain)
+    good = np.union1d(np.flatnonzero(ratio >= least_ratio), pairs)
     number = np.full(len(terms), -1)
     number[good] = np.arange(len(good))
     kept = number[index]

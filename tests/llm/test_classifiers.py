@@ -153,3 +153,64 @@ def test_pairs_of_terms_beat_weights():
         400,
     )
     assert ((scores >= 0.5) == [label for _, label in examples]).mean() > 0.97
+
+
+def pair_texts(seed, n=2000):
+    """Toxic by an insult beside a group, each as frequent elsewhere, or by one strong word."""
+    draw = np.random.default_rng(seed)
+    words = np.array([f"w{k}" for k in range(500)])
+    for _ in range(n):
+        text = [*draw.choice(words, draw.integers(20, 60))]
+        kind = draw.choice(["pair", "strong", "insult", "group", "none"], p=[0.06, 0.1, 0.08, 0.08, 0.68])
+        text += {"pair": ["insult", "group"], "strong": ["vile"], "none": []}.get(kind, [kind])
+        yield " ".join(draw.permutation(text)), int(kind in ("pair", "strong")), kind
+
+
+def test_pairs_without_margins_of_their_own_are_found():
+    """With the settings of the query: neither term of the pair tells the classes apart."""
+
+    def examples(texts):
+        return [(h, y) for h, (_, y, _) in zip(toxicity.document_terms(pa.array([t for t, *_ in texts])), texts)]
+
+    learned, asked = list(pair_texts(1)), list(pair_texts(2))
+    model = toxicity.train(examples(learned))
+    scores = toxicity.score_column(pa.array([t for t, *_ in asked]), model)
+    kinds = np.array([k for *_, k in asked])
+    assert (scores[kinds == "pair"] >= 0.5).mean() > 0.99 and (scores[kinds == "strong"] >= 0.5).mean() > 0.99
+    assert (scores[(kinds != "pair") & (kinds != "strong")] < 0.5).mean() > 0.99
+
+
+def test_pair_terms_by_brute_force():
+    draw = np.random.default_rng(4)
+    present = draw.random((300, 12)) < 0.4
+    labels = (present[:, 2] & present[:, 5] | (draw.random(300) < 0.05)).astype(float)
+    rows, terms = np.nonzero(present)
+    toxic, clean = int(labels.sum()), int(300 - labels.sum())
+
+    def ratio(has):
+        return float(toxicity.likelihood_ratio(np.array([labels[has].sum()]), np.array([(1 - labels)[has].sum()]), toxic, clean)[0])
+
+    alone = np.array([ratio(present[:, k]) for k in range(12)])
+    want = set()
+    for a in range(12):
+        for b in range(a):
+            both = present[:, a] & present[:, b]
+            more = labels[both].sum() * clean > (1 - labels)[both].sum() * toxic
+            if more and ratio(both) >= max(alone[a], alone[b]) + 10:
+                want |= {a, b}
+    found = toxicity.telling_pairs(rows, terms, labels, alone, 10.0)
+    assert want >= {2, 5} and set(found.tolist()) == want
+
+
+def test_scores_by_the_machines_formula():
+    """Weights and all products of two vectors, one by one."""
+    texts = [t for t, *_ in pair_texts(3, 30)] + ["", None, "vile " * 500, "insult group insult"]
+    model = toxicity.train(
+        [(h, y) for h, (_, y, _) in zip(toxicity.document_terms(pa.array([t for t, *_ in pair_texts(1)])), pair_texts(1))]
+    )
+    scores = toxicity.score_column(pa.array(texts), model)
+    for text, score in zip(toxicity.document_terms(pa.array(texts)), scores):
+        at = [k for k, term in enumerate(model.terms) if term in set(text.tolist())]
+        raw = model.bias + sum(model.weights[k] for k in at)
+        raw += sum(model.vectors[i] @ model.vectors[j] for n, i in enumerate(at) for j in at[:n])
+        assert score == pytest.approx(1 / (1 + np.exp(-raw)), rel=1e-9)

@@ -58,8 +58,21 @@ def test_documents(spark, common_share):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = suffix_tree.score_documents(docs, common_share=common_share).collect()
     check_base(found, [(r.doc_id, r.text) for r in docs.collect()])
+    # The base grants its chance to each word never seen, so its chances add up to more than 1; against
+    # the same with that chance spread over spellings the tree gains much.
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    known = Counter(t for i, text in texts.items() if not held(i) for t in tokens(text))
+    spread = sum(
+        len(t.encode()) * math.log10(256) for i, text in texts.items() if held(i) for t in tokens(text) if not known[t]
+    )
     out = [r for r in found if r.held_out]
-    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+    assert sum(r.score for r in out) > sum(r.base_score for r in out) - 0.7 * spread
+
+
+def test_held_out_texts_gain_over_the_base_with_more_to_learn_from(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    out = suffix_tree.score_documents(docs).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert out[0] > out[1]
 
 
 def plain_counts(texts, depth):
@@ -159,3 +172,53 @@ def test_odd_rows(spark, make_docs):
     assert rows(suffix_tree.score_documents(wide.limit(0))) == []
     alone = suffix_tree.score_documents(make_docs((None, "a b"), (None, None))).collect()
     assert [(r.train_tokens, r.base_score) for r in alone] == [(0, 0.0), (0, 0.0)]
+
+
+LEARNED = [(k, t) for k, t in enumerate(["the cat sat on the mat", "a cat", "the dog and the cat ran", ""] * 30)]
+
+
+@pytest.mark.parametrize("common_share", [1e-6, 2.0])
+def test_scores_by_definition(spark, make_docs, common_share):
+    """Half the tree's chance of each token and half its share of the training tokens."""
+    asked = ["the cat", "the unseen cat", "", "zebra " * 3, "mat " + "long" * 400]
+    docs = make_docs(*LEARNED, *[(None, t) for t in asked])
+    found = suffix_tree.score_documents(docs, common_share=common_share).collect()
+    training = [t for k, t in LEARNED if not held(k)]
+    seen = Counter(t for text in training for t in tokens(text))
+    total = sum(seen.values())
+    frame = spark.createDataFrame([(t,) for t in training], "text string")
+    grams = suffix_tree.corpus_counts(frame).where(F.col("kind") == suffix_tree.GRAMS)
+    tree = suffix_tree.build_tree(suffix_tree.tree_counts(grams.select("key", "n"), 1e-5))
+    want = []
+    for text in asked:
+        (block,) = suffix_tree.symbol_streams(pa.array([text]), tree.depth)
+        logs = suffix_tree.token_logs(tree, block[0], block[2])
+        want.append(sum(
+            math.log10(0.5 * 10**log + 0.5 * seen[token] / total) if seen[token] else log + math.log10(0.5)
+            for token, log in zip(tokens(text), logs.tolist(), strict=True)
+        ))
+    got = sorted(r.score for r in found if r.doc_id is None)
+    assert got == pytest.approx(sorted(want), rel=1e-6)
+
+
+def test_chances_of_texts_add_up_to_less_than_one(make_docs):
+    letters = "abcdehmnorstu"
+    texts = ["", *letters, *(a + b for a in letters for b in letters), "the cat", "a cat", "the", "cat", "é", "ÿ"]
+    texts += [t for _, t in LEARNED[:3]]
+    found = suffix_tree.score_documents(make_docs(*LEARNED, *[(None, t) for t in dict.fromkeys(texts)])).collect()
+    mass = sum(10**r.score for r in found if r.doc_id is None)
+    assert 0.1 < mass < 1
+
+
+def test_unseen_words_cost_by_their_length(make_docs):
+    words = ["q" * n for n in (1, 5, 50, 500, 5000)]
+    docs = make_docs(*LEARNED, *[(None, w) for w in words])
+    found = suffix_tree.score_documents(docs).collect()
+    scores = sorted((r.score for r in found if r.doc_id is None), reverse=True)
+    assert len(set(scores)) == 5
+    assert -20_000 < scores[-1] < -5_000 < scores[-2] < -500 < scores[-3] < -50
+
+
+def test_untrained_symbols_are_equally_likely(make_docs):
+    found = suffix_tree.score_documents(make_docs((None, "a b c"), (None, None))).collect()
+    assert sorted(r.score for r in found) == pytest.approx([-7 * math.log10(256), -math.log10(256)])
