@@ -44,7 +44,7 @@ from hackney.llm.common import pick
 RANKS = "byte_bpe_multi_50k.tiktoken"
 WINDOW = 1 << 20  # characters that are split at once
 AHEAD = 3  # characters that may be looked at past the end of a piece
-MAX_PIECES, MAX_WORDS, MAX_PAIRS = 200_000, 400_000, 500_000  # kept in a worker; some 200 MB
+MAX_PIECES, MAX_WORDS, MAX_PAIRS = 200_000, 700_000, 500_000  # kept in a worker; some 250 MB
 #: A piece begins with a space before what is no white space, whatever lies around; Python's white space
 #: holds all that Unicode's does.
 _WORD = re.compile(r" (?=\S)")
@@ -199,9 +199,9 @@ class Vocabulary:
                 ids += [self.pieces[p] for part in self.split(first) for p in part]
             elif first:
                 ids += map(self.pieces.__getitem__, self.pattern.findall(first))
-            long = [k for k, word in enumerate(words) if len(word) > 1000] if hi - lo > 1000 else []
             done = 0
-            for k in long:
+            longest = max(map(len, words), default=0)
+            for k in (k for k, word in enumerate(words) if len(word) > 1000) if longest > 1000 else ():
                 ids += map(self.words.__getitem__, words[done:k])
                 ids += [self.pieces[p] for part in self.split(" " + words[k]) for p in part]
                 done = k + 1
