@@ -15,15 +15,16 @@ A slot is boilerplate if the elements around it say so: navigation, header, foot
 and the like by name, or menus, sidebars, notices, adverts and comments by their class, id or role. Texts
 that belong to the template's valid classes are not main text. An `article` or `main` element is a hint on
 slots: within it, a template's text goes only if its path holds nothing but template texts on all pages
-of the group, since a path that also holds own texts is a slot, and a paragraph may well recur in it. If
+of the group, since a path that also holds own texts is a slot, and a paragraph may well recur in it; a
+heading stays if the text it heads does. Names count within it only if all their parts are of that kind. If
 slots of such elements hold text, that is the main text; otherwise it is that of all other slots.
 
-Pages are dealt into groups of about `group_pages` pages of one host, so that a host of any size is many
-tasks' work; only host names with their counts are broadcast, for hosts of at least one in
-`1 / heavy_share` pages, of which there are at most `1 / heavy_share`. Pages of other hosts form one
-group, at most `heavy_share` of all pages. Pages are dealt and ordered by a hash of their id, URL and
-text, so that the groups do not depend on partitions. Equal pages of a group count as one when classes
-are formed.
+Each host's pages are dealt into groups of about `group_pages` by a hash of their id, URL and text, so that
+the groups depend neither on partitions nor on other hosts. A host of any size is thus many tasks' work:
+those with at least one in `1 / heavy_share` pages, of which there are at most `1 / heavy_share`, are
+spread over tasks by groups, with their numbers of groups broadcast; the pages of others, at most
+`heavy_share` of all, meet in one task, which counts and then groups them likewise. Equal pages of a group
+count as one when classes are formed.
 
 Defined results: a null page is an empty one, and an empty page has the text ''. Broken mark-up is read
 as it comes: elements end with their parent, an unclosed comment or script ends the page. Pages without
@@ -41,7 +42,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hackney.llm.common import pick
@@ -55,7 +56,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>|[^<]+|<",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _NAME_PARTS = re.compile(r"[^a-z0-9]+")
 
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math"}
@@ -91,7 +92,14 @@ BOILERPLATE_NAMES = {
     "social", "related", "recommended", "comment", "comments", "discussion", "replies", "disqus",
     "widget", "widgets", "toolbar", "pagination", "pager", "skip",
 }
+#: Parts of names that say nothing of the content.
+PLAIN_NAMES = {
+    "area", "bar", "block", "box", "button", "buttons", "container", "content", "form", "group", "inner", "item",
+    "items", "link", "links", "list", "outer", "panel", "post", "posts", "section", "slot", "thread", "title", "top",
+    "bottom", "left", "right", "unit", "wrap", "wrapper",
+}
 LANDMARKS = {"article", "main"}
+_HEADING = re.compile(r"/h[1-6](?:\.[^/]*)?$")
 
 
 @dataclass
@@ -117,17 +125,28 @@ def _says_boilerplate(tag: str, attributes: str, in_landmark: bool) -> tuple[boo
     names = []
     found = False
     for name, value in _ATTRIBUTE.findall(attributes):
+        name = name.lower()
+        if name not in ("class", "id", "role"):
+            continue
         value = value.strip("\"'").lower()
         names.append(value)
-        if name.lower() == "role":
+        if name == "role":
             found = found or value in BOILERPLATE_ROLES
         elif tag not in ("html", "body"):
-            found = found or not BOILERPLATE_NAMES.isdisjoint(_NAME_PARTS.split(value))
+            found = found or any(_named(word, in_landmark) for word in value.split())
     if not in_landmark and any("header" in _NAME_PARTS.split(n) for n in names):
         found = found or tag not in ("html", "body", "article", "main", "h1")
     return found, ".".join([tag, *names])
 
 
+def _named(word: str, in_landmark: bool) -> bool:
+    """Whether a class or id names boilerplate; within a landmark all of its parts have to agree."""
+    parts = {part for part in _NAME_PARTS.split(word) if part}
+    if not in_landmark:
+        return not BOILERPLATE_NAMES.isdisjoint(parts)
+    return not BOILERPLATE_NAMES.isdisjoint(parts) and parts <= BOILERPLATE_NAMES | PLAIN_NAMES
+
+
 def read_page(text: str) -> Page:
     page = Page()
     stack = [Element("", "", False, False)]
@@ -289,6 +308,16 @@ def main_text(page: Page, template: Template) -> str:
         for t, fixed in zip(page.texts, held, strict=True)
         if not fixed or (t[1] in slots and ("text", t[2], t[4].strip()) in template.loose)
     ]
+    # A heading goes with what it heads: the article's own text, or more of the template.
+    after = False
+    for t, fixed in zip(reversed(page.texts), reversed(held)):
+        if not t[4].strip() or not t[3]:
+            continue
+        if not _HEADING.search(t[2]):
+            after = not fixed
+        elif fixed and after:
+            own.append(t)
+    own.sort(key=lambda t: t[0])
     landmarks = any(inside and text.strip() for _, _, _, inside, text in own)
     blocks: dict[int, list[str]] = {}
     for _, block, _, inside, text in own:
@@ -331,17 +360,22 @@ def extract(
     dealt = rows.withColumn("dealt", F.xxhash64("page_id", "url", "html")).join(
         F.broadcast(heavy), "host", "left"
     )
-    part = F.pmod(F.xxhash64("dealt"), F.coalesce("groups", F.lit(1).cast("long")))
+    place = F.xxhash64("dealt")
+    part = F.pmod(place, F.coalesce("groups", F.lit(1).cast("long")))
+    in_part = Window.partitionBy("host", "part")
+    groups = F.ceil(F.count("*").over(in_part) / group_pages)
 
     def run(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Copies of one page may make a group large; what is left at the end is no less than the others.
         held, size = [], 0
         for batch in group:
             for lo in range(0, batch.num_rows, group_pages):
                 held.append(batch.slice(lo, group_pages))
                 size += held[-1].num_rows
-                if size >= 2 * group_pages:
-                    yield extracted(held)
-                    held, size = [], 0
+                if size >= 4 * group_pages:
+                    yield extracted(held[: len(held) // 2])
+                    held = held[len(held) // 2 :]
+                    size = sum(b.num_rows for b in held)
         if size:
             yield extracted(held)
 
@@ -358,9 +392,11 @@ def extract(
         )
 
     return (
-        dealt.select("host", part.alias("part"), "dealt", "page_id", "url", "html")
+        dealt.select("host", part.alias("part"), "groups", "dealt", "page_id", "url", "html")
         .repartition("host", "part")
-        .sortWithinPartitions("host", "part", "dealt")
-        .groupBy("host", "part")
+        .withColumn("group", F.when(F.col("groups").isNull(), F.pmod(place, groups)))
+        .drop("groups")
+        .sortWithinPartitions("host", "part", "group", "dealt")
+        .groupBy("host", "part", "group")
         .applyInArrow(run, "page_id long, url string, text string")
     )

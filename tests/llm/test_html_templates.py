@@ -158,3 +158,50 @@ def test_odd_rows(spark):
     assert (5, "http://h/5", "\n".join(["para & graph"] * 20_000)) in found
     assert {(k, "http://hot/", f"text {k}") for k in range(100, 400)} <= set(found)
     assert rows(html_templates.extract(wide.limit(0))) == []
+
+
+def test_attributes_are_read_by_their_whole_names():
+    page = '<article><p data-id="share">Body text.</p><p title=\'class="menu"\'>Other</p><p data-role="alert" ID=x>More</p></article>'
+    assert html_templates.extract_group([page]) == ["Body text.\nOther\nMore"]
+
+
+@pytest.mark.parametrize("name", ['class="side-effects"', 'id="related-work"', 'class="share-price history"'])
+def test_sections_of_an_article_keep_their_text(name):
+    page = f"<article><p>First.</p><section {name}><p>Second.</p></section></article>"
+    assert html_templates.extract_group([page]) == ["First.\nSecond."]
+
+
+@pytest.mark.parametrize("name", ["comments", "related-posts", "share-buttons", "ad ad-slot", "newsletter-box"])
+def test_boilerplate_within_an_article_goes(name):
+    page = f'<article><p>First.</p><div class="{name}"><p>Second.</p></div></article>'
+    assert html_templates.extract_group([page]) == ["First."]
+
+
+def test_headings_go_with_what_they_head():
+    pages = [
+        f"<article><h1>Title {k}</h1><h2>Summary</h2><p>About {k}.</p><h3>More</h3><h4>Here</h4><p>Text {k}.</p>"
+        f"<h5>Follow us</h5><p class=f>On all days.</p></article>"
+        for k in range(6)
+    ]
+    texts = html_templates.extract_group(pages)
+    assert texts == [f"Title {k}\nSummary\nAbout {k}.\nMore\nHere\nText {k}." for k in range(6)]
+
+
+@pytest.mark.parametrize("n", [65, 129, 200, 321])
+def test_no_page_is_left_alone(spark, n):
+    """Every page meets others of its host, so the notice that all share goes on each."""
+    rows = [(k, f"http://h.org/{k}", f"<div><p>Text {k} here.</p></div><div><i>All rights kept</i></div>") for k in range(n)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for share in (1e-5, 2.0):
+        found = html_templates.extract(pages, heavy_share=share).collect()
+        assert {r.text for r in found} == {f"Text {k} here." for k in range(n)}
+
+
+def test_groups_do_not_depend_on_other_hosts(spark):
+    """A host that is heavy among few pages and light among many has the same groups."""
+    rows = [(k, f"http://h.org/{k}", f"<div><p>{k}</p><p>Notice {k % 3}</p></div>") for k in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    heavy, light = (
+        {r.page_id: r.text for r in html_templates.extract(pages, heavy_share=s).collect()} for s in (1e-5, 2.0)
+    )
+    assert heavy == light
