@@ -197,18 +197,18 @@ from doc_words left join words_hit using (r) left join items_hit using (r)
 
 OP6_SQL = """
 with vectors as (
-  select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as vec
+  select row_number() over () as n, vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as vec
   from embeddings
   where embedding is not null and len(embedding) > 0
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
-  select q.vec_id as query_id, r.vec_id as vec_id,
+  select q.n as n, q.vec_id as query_id, r.vec_id as vec_id,
          cast(list_sum(list_transform(list_zip(q.vec, r.vec), lambda p: p[1] * p[2])) as bigint) as score
   from vectors q join vectors r on q.vec_id <> r.vec_id
   where q.vec_id % 20 = 0
 ), ranked as (
   select query_id, vec_id, score,
-         cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank
+         cast(row_number() over (partition by n order by score desc, vec_id) as integer) as rank
   from scored
 )
 select query_id, rank, vec_id, score from ranked where rank <= 20

@@ -2,27 +2,32 @@
 
 Components become integers, floor(scale * x). A block of rows is indexed by impact: a posting is a row
 and dimension with a value, and a segment holds all postings whose magnitude has the same number of
-bits. Segments are processed in descending impact for a block of queries, each adding to the
-accumulated scores. What the unprocessed segments can still add or take is bounded by the product of
-the query's norm and the norm of the row's unprocessed postings. Once the k-th best lower bound of a
-query excludes all but a few rows, by that proof and nothing else, processing stops, and the possible
-members are scored again in exact integers.
-
-Rows are dealt into blocks of about `block_rows` at random, and every block of queries meets every
-block of rows in one task of its own; each gives k rows per query, of which the best k remain. So no
-task sees more than a block of either side, whatever the tables hold.
-
-Defined results: a vector that is null, empty, or holds null or non-finite components, or magnitudes
-of 2**24 and more (whose scores might leave a long), takes no part, nor does a null id. Vectors of
-another length than the query's are no candidates of it. Each row is a candidate of its own, so a
-repeated id may be listed twice; rows that share the query's id are its own and no candidates. A
-repeated query id is asked once, with its least vector. Ties go to the smaller id. Empty tables give no
-rows. Other columns are not read.
+bits, by the rows and dimensions that have any. Segments are processed in descending impact for a block
+of queries, each adding to the accumulated scores. What the unprocessed segments can still add or take is
+bounded by the product of the query's norm and the norm of the row's unprocessed postings. Once the k-th
+best lower bound of a query excludes all but a few rows, by that proof and nothing else, processing
+stops, and the possible members are scored again in exact integers.
+
+Rows are dealt into blocks of about `block_rows` at random. A block is indexed once, in one task, which
+then reads all queries, a block of them at a time; each gives k rows per query, of which the best k
+remain. So no task holds more than a block of either side, whatever the tables hold, and only the
+queries are sent more than once.
+
+Rows and queries whose products could leave 64 bits do not take part in the index; they are scored one by
+one in integers of any size.
+
+Defined results: a vector that is null, empty, or holds null or non-finite components takes no part, nor
+does a null id. Vectors of another length than the query's are no candidates of it. Each row is a query
+or candidate of its own, so a repeated id may be listed twice and is asked as often as it occurs; rows
+that share the query's id are its own and no candidates. Ties go to the smaller id. Scores beyond a long
+are given as its ends, and tie there with each other. Empty tables give no rows. Other columns are not
+read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,65 +37,120 @@ from pyspark.sql import functions as F
 from hackney.llm.common import pick
 from hackney.session import stage
 
-LIMIT = 1 << 24
 FEW = 0.02  # share of a block's rows up to which scoring the possible members again is cheaper
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
 def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
-    """`vec_id` and the integer components as `vec`; rows that take no part are left out."""
+    """`vec_id` and the integer components as `vec`, which doubles hold without rounding; rows that take
+    no part are left out."""
     rows = pick(df, vec_id=id_col, raw=vector_col).select(
-        F.col("vec_id").cast("long"), F.transform("raw", lambda x: x.cast("double")).alias("raw")
+        F.col("vec_id").cast("long"), F.transform("raw", lambda x: x.cast("double") * scale).alias("raw")
     )
 
-    def fits(x):
-        return x.isNotNull() & ~F.isnan(x) & (F.abs(F.floor(x * scale)) < LIMIT)
+    def finite(x):
+        return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
 
-    return rows.where(
-        F.col("vec_id").isNotNull() & (F.size("raw") > 0) & F.forall("raw", fits)
-    ).select(
-        "vec_id", F.transform("raw", lambda x: F.floor(x * scale).cast("int")).alias("vec")
-    )
+    # Doubles of 2**53 and more are integers; `floor` gives a long.
+    def floor(x):
+        return F.when(F.abs(x) < float(1 << 53), F.floor(x).cast("double")).otherwise(x)
 
-
-def best_of_block(
-    queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int
-) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query its number, and the ids and exact scores of its k best rows."""
-    rows64, queries64 = rows.astype(np.int64), queries.astype(np.int64)
-    norms = np.sqrt((queries64.astype(float) ** 2).sum(1))
-    most = (np.abs(queries64).max(initial=0) * np.abs(rows64).max(initial=0)) * rows.shape[1]
-    real = np.float32 if most < 1 << 22 else np.float64
-    left_out = _own_rows(own, ids)
-    bits = np.frexp(np.abs(rows64).astype(float))[1]  # the impact: bits of the magnitude
-    levels = [b for b in range(int(bits.max(initial=0)), 0, -1) if (bits == b).any()]
-    scores = np.zeros((len(queries), len(rows)), real)
-    scores[left_out] = -np.inf
-    asked = queries.astype(real)
-    k_here = min(k, len(rows))
-    for n, level in enumerate(levels):
-        segment = np.where(bits == level, rows64, 0).astype(real)
-        scores += asked @ segment.T
-        rest = np.sqrt((np.where(bits < level, rows64, 0).astype(float) ** 2).sum(1))
-        spread = norms[:, None]
-        if n + 1 < len(levels):  # the margins cover the rounding of the sums
-            slack = (spread * rest[None, :] * (1 + 1e-6) + 1 + most * 1e-12).astype(real)
-        else:
-            slack = np.full((1, 1), most * 1e-12 if most >= 1 << 50 else 0, real)
-        lower = scores - slack
-        threshold = np.partition(lower, len(rows) - k_here, axis=1)[:, len(rows) - k_here]
-        possible = scores + slack >= threshold[:, None]
-        if n + 1 == len(levels) or possible.sum() <= max(
-            FEW * possible.size, 2 * k_here * len(queries)
-        ):
-            break
-    else:
+    return rows.where(
+        F.col("vec_id").isNotNull() & (F.size("raw") > 0) & F.forall("raw", finite)
+    ).select("vec_id", F.transform("raw", floor).alias("vec"))
+
+
+@dataclass(frozen=True)
+class Segment:
+    """Postings of one impact: values by the rows and dimensions that have any, else 0."""
+
+    rows: np.ndarray
+    dimensions: np.ndarray
+    values: np.ndarray
+    rest: np.ndarray  # norm of each row's postings of less impact
+
+
+class ImpactIndex:
+    """A block of rows by impact."""
+
+    def __init__(self, rows: np.ndarray, ids: np.ndarray):
+        self.limit = 1 << ((62 - int(rows.shape[1]).bit_length()) // 2)
+        most = np.abs(rows).max(axis=1)
+        self.large, self.large_ids = rows[most >= self.limit], ids[most >= self.limit]
+        self.ids = ids[most < self.limit]
+        self.rows = rows[most < self.limit].astype(np.int64)
+        self.most = int(np.abs(self.rows).max(initial=0))
+        bits = np.frexp(np.abs(self.rows).astype(float))[1]  # the impact: bits of the magnitude
+        self.segments = []
+        for level in range(int(bits.max(initial=0)), 0, -1):
+            here = bits == level
+            if here.any():
+                some, dims = np.flatnonzero(here.any(axis=1)), np.flatnonzero(here.any(axis=0))
+                values = np.where(here, self.rows, 0)[np.ix_(some, dims)].astype(float)
+                rest = np.sqrt((np.where(bits < level, self.rows, 0).astype(float) ** 2).sum(1))
+                self.segments.append(Segment(some, dims, values, rest))
+
+    def best(self, queries: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, list]]:
+        """For each query its number, and the ids and exact scores of its k best rows."""
+        large = np.abs(queries).max(axis=1, initial=0) >= self.limit
+        found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {q: [] for q in range(len(queries))}
+        usual = np.flatnonzero(~large)
+        if len(usual) and len(self.rows):
+            for n, ids, scores in self._indexed(queries[usual].astype(np.int64), own[usual], k):
+                found[int(usual[n])].append((ids, scores))
+        for q in range(len(queries)):
+            for rows, ids in ((self.large, self.large_ids), (self.rows, self.ids) if large[q] else (None, None)):
+                if rows is not None and len(rows):
+                    other = ids != own[q]
+                    found[q].append((ids[other], _any_size(rows[other], queries[q])))
+            if found[q]:
+                ids = np.concatenate([i for i, _ in found[q]])
+                scores = np.concatenate([s.astype(object) if len(found[q]) > 1 else s for _, s in found[q]])
+                order = sorted(range(len(ids)), key=lambda n: (-scores[n], ids[n]))[:k]
+                yield q, ids[order], scores[order]
+
+    def _indexed(
+        self, queries: np.ndarray, own: np.ndarray, k: int
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        norms = np.sqrt((queries.astype(float) ** 2).sum(1))
+        most = float(np.abs(queries).max(initial=0)) * self.most * self.rows.shape[1]
+        real = np.float32 if most < 1 << 22 else np.float64
+        left_out = _own_rows(own, self.ids)
+        scores = np.zeros((len(queries), len(self.rows)), real)
+        scores[left_out] = -np.inf
+        asked = queries.astype(real)
+        k_here = min(k, len(self.rows))
         possible = np.ones(scores.shape, bool)
-    possible[left_out] = False
-    for q in range(len(queries)):
-        members = np.flatnonzero(possible[q])
-        exact = rows64[members] @ queries64[q]
-        order = np.lexsort((ids[members], -exact))[:k]
-        yield q, ids[members][order], exact[order]
+        for n, segment in enumerate(self.segments):
+            part = asked[:, segment.dimensions] @ segment.values.astype(real).T
+            if len(segment.rows) == len(self.rows):
+                scores += part
+            else:
+                scores[:, segment.rows] += part
+            last = n + 1 == len(self.segments)
+            if not last:  # the margins cover the rounding of the sums
+                slack = norms[:, None] * segment.rest[None, :] * (1 + 1e-6) + 1 + most * 1e-12
+                slack = slack.astype(real)
+            else:
+                slack = np.full((1, 1), most * 1e-12 if most >= 1 << 50 else 0, real)
+            lower = scores - slack
+            threshold = np.partition(lower, len(self.rows) - k_here, axis=1)[:, len(self.rows) - k_here]
+            possible = scores + slack >= threshold[:, None]
+            if last or possible.sum() <= max(FEW * possible.size, 2 * k_here * len(queries)):
+                break
+        possible[left_out] = False
+        for q in range(len(queries)):
+            members = np.flatnonzero(possible[q])
+            exact = self.rows[members] @ queries[q]
+            order = np.lexsort((self.ids[members], -exact))[:k]
+            yield q, self.ids[members][order], exact[order]
+
+
+def _any_size(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products of integers that may leave 64 bits, cut to a long's range."""
+    asked = [int(x) for x in query.tolist()]
+    exact = [sum(int(x) * y for x, y in zip(row, asked, strict=True)) for row in rows.tolist()]
+    return np.array([min(max(s, LEAST), MOST) for s in exact], object)
 
 
 def _own_rows(own: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,13 +164,12 @@ def _own_rows(own: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return query, order[np.repeat(lo, counts) + inner]
 
 
-def _blocked(rows: DataFrame, count: int, size: int, name: str) -> tuple[DataFrame, int]:
-    """Rows gathered into about `count / size` blocks, with the block's number as `name`."""
+def _blocked(rows: DataFrame, count: int, size: int) -> DataFrame:
+    """Rows, numbered, gathered at random into about `count / size` blocks of `block` and `vectors`."""
     n = max(1, -(-count // size))
-    dealt = rows.withColumn(
-        name, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")
-    )
-    return dealt.groupBy(name).agg(F.collect_list(F.struct("vec_id", "vec")).alias(f"{name}s")), n
+    numbered = rows.withColumn("number", F.monotonically_increasing_id())
+    dealt = numbered.withColumn("block", F.pmod(F.xxhash64("number"), F.lit(n)).cast("int"))
+    return dealt.groupBy("block").agg(F.collect_list(F.struct("vec_id", "number", "vec")).alias("vectors"))
 
 
 def top_k(
@@ -125,40 +184,47 @@ def top_k(
 ) -> DataFrame:
     """`query_id, rank, vec_id, score` for the queries: rows whose id is divisible by `every`."""
     rows = stage(integer_vectors(vectors, id_col, vector_col, scale), "vectors")
-    queries = (
-        rows.where(F.col("vec_id") % every == 0)
-        .groupBy("vec_id")
-        .agg(F.min("vec").alias("vec"))
-    )
     counts = rows.agg(
-        F.count("vec_id").alias("rows"),
-        F.sum((F.col("vec_id") % every == 0).cast("long")).alias("queries"),
+        F.count("vec_id").alias("rows"), F.count_if(F.col("vec_id") % every == 0).alias("queries")
     ).first()
-    row_blocks, _ = _blocked(rows, counts["rows"], block_rows, "row")
-    query_blocks, n = _blocked(queries, counts["queries"] or 0, query_rows, "query")
-    # A stated set of queries against all rows, block by block.
-    pairs = row_blocks.withColumn("query", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    met = pairs.repartition("query", "row").join(query_blocks, "query").select("rows", "querys")
+    n_blocks = max(1, -(-counts["rows"] // block_rows))
+    queries = rows.where(F.col("vec_id") % every == 0)
+    # A stated set of queries against all rows: each block of rows gets every block of queries.
+    row_blocks = _blocked(rows, counts["rows"], block_rows).select(
+        F.col("block").alias("row"), F.lit(-1).alias("query"), "vectors"
+    )
+    asked = _blocked(queries, counts["queries"], query_rows).select(
+        F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("row"), F.col("block").alias("query"), "vectors"
+    )
+    met = row_blocks.unionByName(asked).repartition(n_blocks, "row").sortWithinPartitions("row", "query")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, indexes = None, {}
         for batch in batches:
-            for i in range(len(batch)):
-                some, asked = _arrays(batch.column(0)[i]), _arrays(batch.column(1)[i])
-                for width in asked.keys() & some.keys():
-                    own, queries = asked[width]
-                    ids, rows = some[width]
-                    out = [(own[q], *r) for q, *r in best_of_block(queries, own, rows, ids, k)]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.repeat([o for o, _, _ in out], [len(v) for _, v, _ in out])),
-                            pa.array(np.concatenate([v for _, v, _ in out])),
-                            pa.array(np.concatenate([s for _, _, s in out])),
-                        ],
-                        names=["query_id", "vec_id", "score"],
-                    )
-
-    found = met.mapInArrow(search, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+            for row, query, list_of in zip(*batch.columns, strict=True):
+                if query.as_py() < 0:
+                    block = row.as_py()
+                    indexes = {w: ImpactIndex(v, ids) for w, (ids, _, v) in _arrays(list_of).items()}
+                elif row.as_py() == block:
+                    yield from answers(indexes, list_of)
+
+    def answers(indexes: dict[int, ImpactIndex], asked: pa.ListScalar) -> Iterator[pa.RecordBatch]:
+        for width, (own, numbers, queries) in _arrays(asked).items():
+            if width in indexes:
+                out = [(numbers[q], own[q], ids, scores) for q, ids, scores in indexes[width].best(queries, own, k)]
+                sizes = [len(ids) for _, _, ids, _ in out]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.repeat([n for n, *_ in out], sizes), pa.int64()),
+                        pa.array(np.repeat([o for _, o, *_ in out], sizes), pa.int64()),
+                        pa.array([int(i) for *_, ids, _ in out for i in ids], pa.int64()),
+                        pa.array([int(v) for *_, scores in out for v in scores], pa.int64()),
+                    ],
+                    names=["number", "query_id", "vec_id", "score"],
+                )
+
+    found = met.mapInArrow(search, "number long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("number").orderBy(F.col("score").desc(), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
@@ -166,15 +232,16 @@ def top_k(
     )
 
 
-def _arrays(block: pa.ListScalar) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Ids and vectors of a block, by the vectors' length."""
+def _arrays(block: pa.ListScalar) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids, numbers and vectors of a block, by the vectors' length."""
     structs = block.values
     ids = structs.field("vec_id").to_numpy(zero_copy_only=False)
+    numbers = structs.field("number").to_numpy(zero_copy_only=False)
     lists = structs.field("vec")
     widths = np.diff(lists.offsets.to_numpy())
     flat = lists.flatten().to_numpy(zero_copy_only=False)
     begins = np.cumsum(widths) - widths
     return {
-        int(w): (ids[widths == w], flat[begins[widths == w][:, None] + np.arange(w)])
+        int(w): (ids[widths == w], numbers[widths == w], flat[begins[widths == w][:, None] + np.arange(w)])
         for w in np.unique(widths)
     }
