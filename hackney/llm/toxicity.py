@@ -126,21 +126,27 @@ def telling_pairs(
     number = np.full(len(ratio), -1)
     number[often] = np.arange(len(often))
     use = number[terms] >= 0
-    present = np.zeros((len(labels), len(often)), np.float32)
-    present[rows[use], number[terms[use]]] = 1
-    in_toxic, in_clean = present[toxic], present[~toxic]
+    place = np.cumsum(toxic) - 1, np.cumsum(~toxic) - 1
+    presence = []  # of terms in examples, of either class; a byte each
+    for mine, size, at in ((toxic, n_toxic, place[0]), (~toxic, n_clean, place[1])):
+        here = use & mine[rows]
+        presence.append(np.zeros((size, len(often)), np.uint8))
+        presence[-1][at[rows[here]], number[terms[here]]] = 1
     found = np.zeros(len(often), bool)
-    for lo in range(0, len(often), 512):
-        both = in_toxic[:, lo : lo + 512].T @ in_toxic[:, lo:]
-        one, other = np.nonzero(both >= least)
-        one, other = one[other > one], other[other > one]
-        in_both = both[one, other].astype(float)
-        not_toxic = (in_clean[:, lo : lo + 512].T @ in_clean[:, lo:])[one, other].astype(float)
-        alone = np.maximum(ratio[often[lo + one]], ratio[often[lo + other]])
-        gain = likelihood_ratio(in_both, not_toxic, n_toxic, n_clean) - alone
-        good = (gain >= least_gain) & (in_both * n_clean > not_toxic * n_toxic)
-        found[lo + one[good]] = True
-        found[lo + other[good]] = True
+    tile = 1024
+    for a in range(0, len(often), tile):
+        for b in range(a, len(often), tile):
+            in_both, not_toxic = (
+                p[:, a : a + tile].astype(np.float32).T @ p[:, b : b + tile].astype(np.float32) for p in presence
+            )
+            one, other = np.nonzero(in_both >= least)
+            one, other = one[a + one < b + other], other[a + one < b + other]
+            both, clean = in_both[one, other].astype(float), not_toxic[one, other].astype(float)
+            one, other = often[a + one], often[b + other]
+            gain = likelihood_ratio(both, clean, n_toxic, n_clean) - np.maximum(ratio[one], ratio[other])
+            good = (gain >= least_gain) & (both * n_clean > clean * n_toxic)
+            found[number[one[good]]] = True
+            found[number[other[good]]] = True
     return often[found]
 
 
@@ -152,7 +158,7 @@ def train(
     rate: float = 0.3,
     decay: float = 1e-4,
     least_ratio: float = 14.0,
-    least_gain: float = 30.0,
+    least_gain: float = 40.0,
     batch: int = 32,
     seed: int = 7,
 ) -> FactorizationMachine:
