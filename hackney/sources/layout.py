@@ -44,6 +44,10 @@ class Layout:
     def landing(self, year: int, month: int) -> str:
         return self._month("landing", year, month)
 
+    @property
+    def landing_root(self) -> str:
+        return f"{self.root}/landing/taxi/"
+
     @property
     def landing_zones(self) -> str:
         return f"{self.root}/landing/reference/taxi_zones/"

@@ -44,6 +44,12 @@ _ZONES = """
     FROM nation JOIN region ON n_regionkey = r_regionkey
 """
 
+_DRIFTING_MONTHS = """
+    SELECT 2024 AS year, VendorID AS month, passenger_count, RatecodeID, count(*) AS trips,
+           round(sum(tip_amount), 6) AS tips, count(CASE WHEN VendorID = 1 THEN mta_tax END) AS taxed
+    FROM trips GROUP BY VendorID, passenger_count, RatecodeID
+"""
+
 _KEPT = """
     SELECT * FROM trips
     WHERE tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime IS NOT NULL
@@ -378,6 +384,7 @@ def _plain_sql() -> dict[str, str]:
         "publish_table": _with(_BY_DATE),
         "run_month": _with(_BY_DATE),
         "landed_zones": _with("SELECT * FROM zones"),
+        "scan_drifting_months": _with(_DRIFTING_MONTHS),
         "row_count": _with(
             """SELECT count(*) AS row_count,
                CAST(max(len(json_keys(to_json(p)))) AS INTEGER) AS column_count FROM prepared p"""

@@ -24,7 +24,7 @@ from hackney.schema import (
     RAW_KEY,
 )
 from hackney.session import scratch_path, stage
-from hackney.sources import readers, writers
+from hackney.sources import drift, readers, writers
 from hackney.sources.layout import Layout
 from registry import fixture
 
@@ -103,6 +103,24 @@ def run_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_date(readers.read_table(spark))
 
 
+def scan_drifting_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landed months whose codes are integers in one and doubles in the other, read as one table."""
+    lake = scratch_lake(spark)
+    trips = fixture.trips(spark, sf_dir, ["VendorID", "passenger_count", "RatecodeID", "tip_amount", "mta_tax"])
+    whole = trips.where("VendorID = 1").withColumns(
+        {"passenger_count": F.col("passenger_count").cast("int"), "RatecodeID": F.col("RatecodeID").cast("long")}
+    )
+    other = trips.where("VendorID = 2").drop("mta_tax").withColumnRenamed("tip_amount", "Tip_Amount")
+    for month, part in ((1, whole), (2, other)):
+        writers.land_trips(part, lake.landing(YEAR, month))
+    both = drift.read_landed(spark, lake, [(YEAR, 1), (YEAR, 2)])
+    return rounded(
+        both.groupBy("year", "month", "passenger_count", "RatecodeID").agg(
+            F.count(F.lit(1)).alias("trips"), F.sum("tip_amount").alias("tips"), F.count("mta_tax").alias("taxed")
+        )
+    )
+
+
 def landed_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = scratch_lake(spark)
     fixture.zones(spark, sf_dir).write.option("header", True).csv(lake.zones_file)
@@ -434,6 +452,7 @@ def queries() -> dict[str, Query]:
         "publish_table": publish_table,
         "run_month": run_month,
         "landed_zones": landed_zones,
+        "scan_drifting_months": scan_drifting_months,
         "row_count": row_count,
         "column_inventory": column_inventory,
         "clean_trips": clean_trips,
