@@ -18,20 +18,19 @@ import math
 import struct
 from bisect import bisect_right
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hackney.functions.columns import present, rows_of
 from hackney.schema import METRIC_COLUMNS
 
-#: Bits of each pass. The counts of the first, at most 8,192 a column, tell how many values there are.
-DIGITS = (13, 17, 17, 17)
+#: Bits of each pass: at most 8,192 counts for each wanted key come to the driver.
+DIGITS = (13, 13, 13, 13, 12)
 PROBABILITIES = (0.50, 0.90, 0.95, 0.99)
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -44,7 +43,7 @@ _INFINITE, _NAN = 0x7FF << 52, 0x7FF8 << 48
 class _Wanted:
     """A rank of a column that is looked for."""
 
-    column: str
+    column: int
     probability: float
     upper: bool  # the value at the rank after
     rank: int  # among the values whose key begins with `prefix`
@@ -62,111 +61,88 @@ def key_double(key: int) -> float:
     return -value if key < 0 else value
 
 
-def with_double_keys(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The named double columns replaced by their keys, in arithmetic that is exact.
+def with_double_key(df: DataFrame, value: str, key: str) -> DataFrame:
+    """`df` with the keys of a double column as a further one, by arithmetic that is exact.
 
     A number is m * 2**e with m in [1, 2), or in [0, 1) for the least e. The logarithm may be off by one
-    near a power of two, which shows in m. Each step is a projection, so that no step is computed twice.
+    near a power of two, which shows in m. Each step is a projection, so that none is computed twice.
     """
-    others = [c for c in df.columns if c not in names]
-
-    def step(columns: Iterable[Column]) -> list[Column]:
-        return [*(F.col(f"`{c}`") for c in others), *columns]
-
-    def ordinary(x: Column) -> Column:
-        return ~F.isnan(x) & (F.abs(x) < math.inf)
-
-    # Columns of one name cannot clash: numbers stand for names until the last step.
-    numbered = [(f"{i} ", F.col(f"`{name}`")) for i, name in enumerate(names)]
-    exponents = df.select(*step(
-        c for i, x in numbered for c in (
-            x.alias(i + "x"),
-            F.when(ordinary(x) & (x != 0), F.greatest(F.lit(-1022), F.floor(F.log2(F.abs(x))).cast("int")))
-            .otherwise(F.lit(-1022)).alias(i + "e"),
-        )
-    ))
-    scaled = exponents.select(*step(
-        c for i, _ in numbered for c in (
-            F.col(i + "x"), F.col(i + "e"),
-            F.when(ordinary(F.col(i + "x")), F.abs(i + "x") * F.pow(F.lit(2.0), -F.col(i + "e"))).alias(i + "m"),
-        )
-    ))
-
-    def key(i: str, name: str) -> Column:
-        x, e, m = F.col(i + "x"), F.col(i + "e"), F.col(i + "m")
-        place = (e + 1022).cast("long") * F.lit(1 << 52)
-        rise, whole = F.lit(1 << 52), lambda part: (part * _MANTISSA).cast("long")
-        size = (
-            F.when(m >= 2, place + rise + whole(m / 2))
-            .when((m < 1) & (e > -1022), place - rise + whole(m * 2))
-            .otherwise(place + whole(m))
-        )
-        signed = F.when(x < 0, -size).otherwise(size)
-        endless = F.when(x > 0, F.lit(_INFINITE)).otherwise(F.lit(-_INFINITE))
-        known = F.when(F.isnan(x), F.lit(_NAN)).when(F.abs(x) == math.inf, endless).otherwise(signed)
-        return F.when(x.isNotNull(), known).alias(name)
-
-    return scaled.select(*step(key(i, name) for (i, _), name in zip(numbered, names, strict=True)))
+    x, e, m = F.col(value), F.col("exponent"), F.col("mantissa")
+    ordinary = ~F.isnan(x) & (F.abs(x) < math.inf)
+    floor = F.greatest(F.lit(-1022), F.floor(F.log2(F.abs(x))).cast("int"))
+    steps = df.withColumn("exponent", F.when(ordinary & (x != 0), floor).otherwise(F.lit(-1022)))
+    steps = steps.withColumn("mantissa", F.when(ordinary, F.abs(x) * F.pow(F.lit(2.0), -e)))
+    rise = F.lit(1 << 52)
+    place = (e + 1022).cast("long") * rise
+
+    def whole(part: Column) -> Column:
+        return (part * _MANTISSA).cast("long")
+
+    size = (
+        F.when(m >= 2, place + rise + whole(m / 2))
+        .when((m < 1) & (e > -1022), place - rise + whole(m * 2))
+        .otherwise(place + whole(m))
+    )
+    steps = steps.withColumn("size", size)
+    endless = F.when(x > 0, F.lit(_INFINITE)).otherwise(F.lit(-_INFINITE))
+    known = (
+        F.when(x.isNull(), F.lit(None))
+        .when(F.isnan(x), F.lit(_NAN))
+        .when(F.abs(x) == math.inf, endless)
+        .otherwise(F.when(x < 0, -F.col("size")).otherwise(F.col("size")))
+    )
+    return steps.withColumn(key, known).drop("exponent", "mantissa", "size")
 
 
-def _between_keys(values: DataFrame, name: str, double: bool, wanted: Sequence[_Wanted], known: int) -> Column:
-    """Null where the value's key begins with none of the prefixes looked for in its column."""
-    parts = []
-    for prefix in {w.prefix for w in wanted}:
+def _wanted_rows(spark: SparkSession, wanted: Sequence[_Wanted], known: int, kind: str) -> DataFrame:
+    """Prefixes looked for, with the least and greatest value that may have them."""
+    rows = []
+    for column, prefix in dict.fromkeys((w.column, w.prefix) for w in wanted):
         low = prefix << (_BITS - known)
         high = low + (1 << (_BITS - known)) - 1
-        ends = (low, high)
-        if double:
-            ends = key_double(max(low, -_INFINITE)), key_double(min(high, _NAN))
-        # Zero has one sign here, and a range that ends on NaN is open: NaN is the greatest value.
-        parts.append(F.col(f"`{name}`").between(*[F.lit(e + 0) for e in ends]))
-    return F.when(reduce(Column.__or__, parts), F.col(f"`{name}`"))
-
-
-def _digits(values: DataFrame, doubles: set[str], wanted: Sequence[_Wanted], known: int, bits: int) -> DataFrame:
-    """How many values have each next digit: `column_name, prefix, digit, n`."""
-    if known:
-        names = [n for n in values.columns if any(w.column == n for w in wanted)]
-        of = {n: [w for w in wanted if w.column == n] for n in names}
-        values = values.select(*[_between_keys(values, n, n in doubles, of[n], known).alias(n) for n in names])
-    names = values.columns
-    keys = with_double_keys(values, [n for n in names if n in doubles])
-    keys = keys.select(*[F.col(f"`{n}`").cast("long").alias(n) for n in names])
-    shift = _BITS - known - bits
-    # Numbers shifted by 64 bits are not 0 to Java.
-    prefix = F.shiftright("key", _BITS - known) if known else F.lit(0).cast("long")
-    digit = F.shiftright("key", shift)
-    digit = digit.bitwiseAND((1 << bits) - 1) if known else digit
-    return (
-        keys.unpivot([], [F.col(f"`{n}`") for n in names], "column_name", "key")
-        .where(F.col("key").isNotNull())
-        .groupBy("column_name", prefix.alias("prefix"), digit.alias("digit"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
-def _chosen(counted: DataFrame, wanted: Sequence[_Wanted], bits: int) -> list[_Wanted]:
-    """The ranks looked for, with the digit that each falls on."""
-    ascending = Window.partitionBy("column_name", "prefix").orderBy("digit")
-    places = [
-        (w.column, w.prefix, F.struct(F.lit(i).alias("i"), F.lit(w.rank).cast("long").alias("rank")))
-        for i, w in enumerate(wanted)
-    ]
-    looked_for = F.coalesce(*[
-        F.when((F.col("column_name") == column) & (F.col("prefix") == prefix),
-               F.array(*[s for c, p, s in places if (c, p) == (column, prefix)]))
-        for column, prefix in dict.fromkeys((c, p) for c, p, _ in places)
-    ])
-    found = (
-        counted.withColumn("through", F.sum("n").over(ascending))
-        .select("digit", "n", "through", F.inline(looked_for))
-        .where((F.col("rank") < F.col("through")) & (F.col("rank") >= F.col("through") - F.col("n")))
-    )
-    result = list(wanted)
-    for digit, n, through, i, rank in found.collect():
-        old = wanted[i]
-        result[i] = replace(old, rank=rank - (through - n), prefix=(old.prefix << bits) + digit)
-    return result
+        if kind == "double":
+            # A range that ends on NaN is open: NaN is the greatest value.
+            low, high = key_double(max(low, -_INFINITE)), key_double(min(high, _NAN))
+        rows.append(f"({column}, {prefix}L, CAST('{low!r}' AS {kind}), CAST('{high!r}' AS {kind}))")
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t(position, prefix, low, high)")
+
+
+def _digits(values: DataFrame, kind: str, looked_for: DataFrame | None, known: int, bits: int) -> DataFrame:
+    """How many values have each next digit: `position, prefix, digit, n`, by the columns' positions."""
+    columns = [F.col(f"`{n}`").alias(str(i)) for i, n in enumerate(values.columns)]
+    single = values.select(*columns).unpivot([], [str(i) for i in range(len(columns))], "position", "value")
+    single = single.where(F.col("value").isNotNull()).withColumn("position", F.col("position").cast("int"))
+    if looked_for is not None:
+        # At most two rows for each column and probability.
+        single = single.join(F.broadcast(looked_for), "position")
+        single = single.where(F.col("value").between(F.col("low"), F.col("high")))
+    if kind == "double":
+        single = with_double_key(single, "value", "key")
+    else:
+        single = single.withColumn("key", F.col("value"))
+    digit = F.shiftright("key", _BITS - known - bits)
+    if looked_for is None:
+        keys = ["position", F.lit(0).cast("long").alias("prefix"), digit.alias("digit")]
+    else:
+        single = single.where(F.shiftright("key", _BITS - known) == F.col("prefix"))
+        keys = ["position", "prefix", digit.bitwiseAND((1 << bits) - 1).alias("digit")]
+    return single.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _counts(counted: DataFrame) -> dict[tuple[int, int], list[tuple[int, int]]]:
+    """Per position and prefix its digits in order, with their counts: at most 2**13 of them."""
+    found = defaultdict(list)
+    for position, prefix, digit, n in sorted(zip(*(c.to_pylist() for c in counted.toArrow().columns), strict=True)):
+        found[position, prefix].append((digit, n))
+    return found
+
+
+def _falls_on(counts: Sequence[tuple[int, int]], rank: int) -> tuple[int, int]:
+    """The digit that a rank falls on, and the rank among the values with that digit."""
+    through = [*accumulate(n for _, n in counts)]
+    k = bisect_right(through, rank)
+    digit, n = counts[k]
+    return digit, rank - (through[k] - n)
 
 
 def _literals(spark, rows: Sequence[tuple], kind: str) -> DataFrame:
@@ -195,43 +171,40 @@ def exact_neighbours(
     a staged one if it is dear to compute.
     """
     spark = df.sparkSession
-    kinds = {name: df.schema[name].dataType for name in columns}
-    doubles = {name for name, kind in kinds.items() if not isinstance(kind, _WHOLE)}
-    values = df.select(
-        *[F.col(f"`{n}`").cast("double" if n in doubles else "long").alias(n) for n in columns]
-    )
-    kind = "double" if doubles or not columns else "long"
+    whole = all(isinstance(df.schema[name].dataType, _WHOLE) for name in columns)
+    kind = "long" if whole and columns else "double"
+    values = df.select(*[F.col(f"`{n}`").cast(kind).alias(n) for n in columns])
     if not columns:
         return spark.createDataFrame(
             [], f"column_name string, probability double, lower {kind}, upper {kind}, weight double"
         )
-    by_digit = defaultdict(list)
-    for r in _digits(values, doubles, [], 0, digits[0]).collect():
-        by_digit[r.column_name].append((r.digit, r.n))
+    first = _counts(_digits(values, kind, None, 0, digits[0]))
     rows, wanted = [], []
-    for name in columns:
-        seen = sorted(by_digit[name])
-        through = [*accumulate(n for _, n in seen)]
+    for place, name in enumerate(columns):
+        seen = first.get((place, 0), [])
+        count = sum(n for _, n in seen)
         for probability in probabilities:
-            position = max(through[-1] - 1 if through else 0, 0) * probability
+            position = max(count - 1, 0) * probability
             rank = math.floor(position)
-            rows.append((name, probability, position - rank))
+            rows.append((place, name, probability, position - rank))
             for upper in (False, True)[: (position > rank) + 1] if seen else ():
-                k = bisect_right(through, rank + upper)
-                inside = rank + upper - (through[k] - seen[k][1])
-                wanted.append(_Wanted(name, probability, upper, inside, seen[k][0]))
+                digit, inside = _falls_on(seen, rank + upper)
+                wanted.append(_Wanted(place, probability, upper, inside, digit))
     known = digits[0]
     for bits in digits[1:] if wanted else ():
-        wanted = _chosen(_digits(values, doubles, wanted, known, bits), wanted, bits)
+        counts = _counts(_digits(values, kind, _wanted_rows(spark, wanted, known, kind), known, bits))
+        for k, w in enumerate(wanted):
+            digit, inside = _falls_on(counts[w.column, w.prefix], w.rank)
+            wanted[k] = replace(w, rank=inside, prefix=(w.prefix << bits) + digit)
         known += bits
     at = {
-        (w.column, w.probability, w.upper): key_double(w.prefix) if w.column in doubles else w.prefix
+        (w.column, w.probability, w.upper): key_double(w.prefix) if kind == "double" else w.prefix
         for w in wanted
     }
     found = []
-    for name, probability, weight in rows:
-        lower = at.get((name, probability, False))
-        found.append((name, probability, lower, at.get((name, probability, True), lower), weight))
+    for place, name, probability, weight in rows:
+        lower = at.get((place, probability, False))
+        found.append((name, probability, lower, at.get((place, probability, True), lower), weight))
     return _literals(spark, found, kind)
 
 
