@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
@@ -45,12 +46,17 @@ def get_session(app_name: str, env: Mapping[str, str] = os.environ) -> SparkSess
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir` of the session.
 
-    Where that is unset, a folder beside the warehouse, which executors write to as well.
+    Where that is unset, a folder beside the warehouse, which executors write to as well; on a cluster
+    that must not be a folder of one machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-scratch"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    master = spark.conf.get("spark.master", None) or "local"
+    if re.match(r"file:|/", warehouse) and not re.match(r"local(\[|$)", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return warehouse + "-scratch"
 
 
 @lru_cache(maxsize=8)

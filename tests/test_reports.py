@@ -92,6 +92,12 @@ def test_without_a_checkpoint_folder_the_warehouse_decides(master):
             get = staticmethod(lambda key, *default: settings.get(key, *default))
 
     assert shared_dir(Session) == "s3a://bucket/warehouse-scratch"
+    settings["spark.sql.warehouse.dir"] = "file:/home/me/warehouse"
+    if master and "local" not in master:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(Session)
+    else:
+        assert shared_dir(Session) == "file:/home/me/warehouse-scratch"
     settings["spark.checkpoint.dir"] = "hdfs:///shared/"
     assert shared_dir(Session) == "hdfs:///shared"
 
