@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hackney.functions.columns import NUMERIC_TYPES, ensure_timestamps, of_type, present
+from hackney.functions.times import fractional_minutes_between
 from hackney.operators import demand, describe, distributions, histograms, quality, quantiles
 from hackney.operators import rollup as rollups
 from hackney.operators import sampling, zones as zone_operators
@@ -41,12 +42,22 @@ def raw_profile(trips: DataFrame, zones: DataFrame) -> Report:
     def has(*names: str) -> bool:
         return len(present(trips, names)) == len(names)
 
+    # Durations are described with the columns: one pass of statistics and one for each digit serve all.
+    duration = "trip_duration_min"
+    shared = has(PICKUP, DROPOFF) and duration not in trips.columns
+    of_duration = F.col("column_name") == duration
+    if shared:
+        minutes = fractional_minutes_between(F.col(PICKUP), F.col(DROPOFF))
+        described = stage(describe.describe_numeric(trips.withColumn(duration, minutes)), "described")
+    else:
+        described = describe.describe_numeric(trips)
+
     report = {
         "row_count": quality.row_count(trips, facts),
         "column_inventory": quality.column_inventory(trips, facts),
         "missing_summary": quality.missing_summary(trips, facts),
         "min_dates": quality.min_dates(trips, facts=facts),
-        "describe_numeric": describe.describe_numeric(trips),
+        "describe_numeric": described.where(~of_duration) if shared else described,
         "describe_timestamps": describe.describe_timestamps(trips),
         "describe_categorical": describe.describe_categorical(trips),
         "duplicate_rows": quality.duplicate_rows(trips),
@@ -59,7 +70,9 @@ def raw_profile(trips: DataFrame, zones: DataFrame) -> Report:
         report["problem_fares"] = quality.problem_fares(trips)
     if present(trips, RAW_KEY):
         report["raw_key_duplicates"] = quality.raw_key_duplicates(trips)
-    if has(PICKUP, DROPOFF):
+    if shared:
+        report["describe_duration"] = described.where(of_duration)
+    elif has(PICKUP, DROPOFF):
         report["describe_duration"] = describe.describe_duration(trips)
     if amounts := present(trips, ["total_amount", "tip_amount"]):
         report["histograms"] = histograms.histogram(trips, amounts, bins=100)

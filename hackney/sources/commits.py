@@ -77,7 +77,11 @@ class _Folder:
         """Files of data in it, as any reader would list them."""
         if not self.files.exists(self._path(self.path)):
             return set()
-        found = self.spark.read.schema(schema).parquet(self.path).inputFiles()
+        return self.names_of(self.spark.read.schema(schema).parquet(self.path))
+
+    def names_of(self, there: DataFrame) -> set[str]:
+        """The files that a reader of this folder found."""
+        found = there.inputFiles()
         return {urlsplit(unquote(f)).path.removeprefix(self.place).lstrip("/") for f in found}
 
     def read(self, name: str) -> str:
@@ -99,14 +103,14 @@ class _Folder:
 
     def move(self, staged: str, names: Sequence[str]) -> None:
         """Bring files from a folder within this one to the same places here."""
-        for parent in {n.rpartition("/")[0] for n in names} - {""}:
-            self.files.mkdirs(self.at(parent))
+        parents = {n.rpartition("/")[0] for n in names} - {""}
 
         def moved(name: str) -> None:
             if not self.files.rename(self.at(f"{staged}/{name}"), self.at(name)):
                 raise OSError(f"{staged}/{name} in {self.path} could not be moved")
 
         with ThreadPoolExecutor(16) as several:
+            list(several.map(lambda parent: self.files.mkdirs(self.at(parent)), parents))
             list(several.map(moved, names))
 
     def remove(self, names: Sequence[str]) -> None:
@@ -167,7 +171,9 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Man
     except FileExistsError:
         folder.remove([*new.files, staging])
         raise
-    folder.remove_files(folder.data_files(df.schema) - files, files)
+    # A write that was killed left its staging folder, and maybe files that no manifest lists.
+    old = folder.data_files(df.schema) if strays else set(earlier.files if earlier else ())
+    folder.remove_files(old - files, files)
     folder.remove([n for n in folder.named("_manifest-*.json") if int(_NUMBER.search(n)[1]) < number])
     folder.remove([staging, *strays, *folder.named("_draft-*")])
     return new
@@ -181,9 +187,12 @@ def read(spark: SparkSession, path: str, base_path: str | None = None) -> DataFr
         return reader.parquet(path)
     if not found.files:
         return spark.createDataFrame([], found.schema)
-    root = path.rstrip("/")
-    reader = reader.option("basePath", base_path or root).schema(found.schema)
-    return reader.parquet(*[f"{root}/{f}" for f in found.files])
+    folder = _Folder(spark, path)
+    reader = reader.option("basePath", base_path or folder.path).schema(found.schema)
+    whole = reader.parquet(folder.path)
+    if folder.names_of(whole) == set(found.files):
+        return whole
+    return reader.parquet(*[f"{folder.path}/{f}" for f in found.files])
 
 
 def _columns(schema: T.StructType) -> list[tuple[str, str]]:
