@@ -42,7 +42,7 @@ def raw_profile(trips: DataFrame, zones: DataFrame) -> Report:
     def has(*names: str) -> bool:
         return len(present(trips, names)) == len(names)
 
-    # Durations are described with the columns: one pass of statistics and one for each digit serve all.
+    # Durations are described with the columns: one search for quartiles serves all.
     duration = "trip_duration_min"
     shared = has(PICKUP, DROPOFF) and duration not in trips.columns
     of_duration = F.col("column_name") == duration
