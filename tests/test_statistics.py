@@ -24,7 +24,7 @@ from hackney.operators.sampling import preview, sample_rows
 from hackney.schema import METRIC_COLUMNS
 from hackney.session import stage
 from registry import fixture
-from tests.conftest import SMALL, at
+from tests.conftest import SMALL, at, plan_of
 
 PROBABILITIES = [0.0, 0.1, 0.25, 0.5, 0.9, 0.95, 0.99, 1.0]
 
@@ -244,3 +244,30 @@ def test_describe_sample_describes_that_many_rows(spark):
 
 def test_preview(spark):
     assert preview(spark.range(1_000)).count() == 100
+
+
+def test_spread_values_take_no_sketch(spark, monkeypatch):
+    def unwanted(*args):
+        raise AssertionError("sketched")
+
+    monkeypatch.setattr(q.F, "percentile_approx", unwanted)
+    values = [math.sin(k) * 100 for k in range(3_000)] + [1e300, -1e300]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    found = found_quantiles(df, ["v"])
+    for p in PROBABILITIES:
+        assert found[("v", p)] == pytest.approx(np.quantile(np.array(values), p), rel=1e-12)
+
+
+def test_ranking_computes_each_value_once(spark):
+    df = spark.range(2_000).select(F.sin("id").alias("v"), F.sin(-F.col("id")).alias("w"))
+    plan = plan_of(exact_quantiles(df, ["v", "w"]))
+    assert plan.count("SIN(") == 2
+
+
+def test_quantiles_of_ties_between_other_values(spark):
+    values = [0.0] * 500 + [k / 1_000 for k in range(500)] + [1e6]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for limit in [0, 10, 1_000_000]:
+        found = found_quantiles(df, ["v"], ranked_rows=limit)
+        for p in PROBABILITIES:
+            assert found[("v", p)] == pytest.approx(np.quantile(np.array(values), p), rel=1e-12)
