@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hackney.session import few_listing_tasks, setting
+
 _NUMBER = re.compile(r"_manifest-(\d+)\.json$")
 _MARK = "versioned.by"
 
@@ -77,7 +79,8 @@ class _Folder:
         """Files of data in it, as any reader would list them."""
         if not self.files.exists(self._path(self.path)):
             return set()
-        return self.names_of(self.spark.read.schema(schema).parquet(self.path))
+        with few_listing_tasks(self.spark):
+            return self.names_of(self.spark.read.schema(schema).parquet(self.path))
 
     def names_of(self, there: DataFrame) -> set[str]:
         """The files that a reader of this folder found."""
@@ -189,7 +192,8 @@ def read(spark: SparkSession, path: str, base_path: str | None = None) -> DataFr
         return spark.createDataFrame([], found.schema)
     folder = _Folder(spark, path)
     reader = reader.option("basePath", base_path or folder.path).schema(found.schema)
-    whole = reader.parquet(folder.path)
+    with few_listing_tasks(spark):
+        whole = reader.parquet(folder.path)
     if folder.names_of(whole) == set(found.files):
         return whole
     return reader.parquet(*[f"{folder.path}/{f}" for f in found.files])
@@ -226,10 +230,7 @@ def _point(
             return
         spark.sql("DROP TABLE IDENTIFIER(:t)", args={"t": table})
     # Partitions are found in the folder, so that nothing but the location tells which version counts.
-    setting = "spark.sql.hive.manageFilesourcePartitions"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "false")
-    try:
+    with few_listing_tasks(spark), setting(spark, "spark.sql.hive.manageFilesourcePartitions", "false"):
         columns = ", ".join(f"`{name}` {kind}" for name, kind in _columns(ordered))
         partitions = ", ".join(f"`{name}`" for name in partition_by)
         spark.sql(
@@ -237,5 +238,3 @@ def _point(
             f" LOCATION :l TBLPROPERTIES ('{_MARK}' = 'location')",
             args={"t": table, "l": location},
         )
-    finally:
-        spark.conf.set(setting, before)

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hackney.session import few_listing_tasks
 from hackney.sources import commits
 from hackney.sources.layout import Layout
 
@@ -41,4 +42,5 @@ def read_prepared(spark: SparkSession, lake: Layout, year: int, month: int) -> D
 
 
 def read_table(spark: SparkSession, table: str = "taxi.trips_prepared") -> DataFrame:
-    return spark.table(table)
+    with few_listing_tasks(spark):
+        return spark.table(table)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from hackney.sources import commits
+from hackney.sources import commits, readers
 
 
 def numbered(spark, lo, hi):
@@ -172,3 +172,27 @@ def test_publish_with_other_columns_or_over_another_table(spark, table):
     wider = numbered(spark, 0, 7).withColumn("more", F.lit("x"))
     commits.publish(wider, name, path, ["part"])
     assert spark.table(name).columns == ["id", "more", "part"] and spark.table(name).count() == 7
+
+
+def test_many_directories_are_listed_by_few_tasks(spark, tmp_path):
+    """Of a folder, as written and as read, and of a table."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10000")
+    context = spark.sparkContext
+    context.setJobGroup("listing", "")
+    rows = spark.range(0, 100, 1, 2).select("id", F.col("id").alias("part"))
+    try:
+        commits.overwrite(rows, str(tmp_path / "folder"), ["part"])
+        assert ids(commits.read(spark, str(tmp_path / "folder"))) == [*range(100)]
+        commits.publish(rows, "many_directories", str(tmp_path / "table"), ["part"])
+        assert ids(readers.read_table(spark, "many_directories")) == [*range(100)]
+        assert spark.conf.get(key) == "10000"
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set(key, before)
+        spark.sql("DROP TABLE IF EXISTS many_directories")
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("listing")]
+    tasks = [tracker.getStageInfo(s).numTasks for j in jobs for s in j.stageIds]
+    assert tasks and max(tasks) <= 4 * context.defaultParallelism
