@@ -32,7 +32,7 @@ deviations below the limit, so one link at the very limit in thirty thousand is
 With 32 bands of 5 of 160 coordinates a pair at 0.8 escapes all bands with a chance of 3 in a million.
 
 Everything between steps is a table in the shared folder; the driver sees counts only. Shingles are sent
-for texts that have a candidate.
+for texts that have a candidate. Rows go to Python in batches bounded by bytes, as sets and texts are wide.
 
 Defined results: words are runs outside ASCII white space, compared as they are. A null text or a null
 id takes part in nothing: its class is its own id. Texts without words are copies of each other. A class
@@ -52,7 +52,7 @@ from pyspark.sql import types as T
 
 from hackney.llm.common import blocks, mix, pick, span_hashes, utf8_rows, word_spans
 from hackney.llm.components import components
-from hackney.session import stage, stages_dropped
+from hackney.session import small_batches, stage, stages_dropped
 
 WORDS = 5
 BANDS = 32
@@ -60,11 +60,11 @@ BAND_ROWS = 5
 HOPELESS = 0.67
 BLOCK_TEXTS = 1024  # texts of a bucket that are compared in one row
 BLOCK_BYTES_OF_SETS = 1 << 24
-ROWS = 512  # documents whose signatures are made together
+ROWS = 128  # documents whose signatures are made together
 MASK = (1 << 64) - 1
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
-GROUP = 1 << 19  # shingles whose darts are thrown together
+GROUP = 1 << 17  # shingles whose darts are thrown together
 
 
 def row_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -317,7 +317,7 @@ def classes(
     the document that names the class."""
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     whole = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    with stages_dropped(docs.sparkSession) as keep:
+    with stages_dropped(docs.sparkSession) as keep, small_batches(docs.sparkSession):
         signed = keep(stage(signatures(whole, words, bands, band_rows), "signatures"))
         texts = stage(
             signed.groupBy("text_key").agg(
@@ -565,12 +565,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     schema = T.StructType(
         [whole.schema["row"], T.StructField("doc_id", T.LongType()), T.StructField("text_key", T.BinaryType())]
     )
-    several = (
-        whole.join(repeated, "doc_id", "left_semi")
-        .select("row", "doc_id", "text")
-        .mapInArrow(key, schema)
-        .join(chosen, ["doc_id", "text_key"], "left_semi")
-        .dropDuplicates(["doc_id", "text_key"])
-    )
-    kept = plain.select("row").union(several.select("row")).union(apart.select("row"))
+    kept = plain.select("row").union(apart.select("row"))
+    if not repeated.isEmpty():
+        several = (
+            whole.join(repeated, "doc_id", "left_semi")
+            .select("row", "doc_id", "text")
+            .mapInArrow(key, schema)
+            .join(chosen, ["doc_id", "text_key"], "left_semi")
+            .dropDuplicates(["doc_id", "text_key"])
+        )
+        with small_batches(docs.sparkSession):
+            kept = kept.union(stage(several.select("row"), "several"))
     return kept.select("row.*")

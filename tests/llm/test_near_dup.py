@@ -105,6 +105,29 @@ def test_repeated_ids_with_other_texts(make_docs):
     ]
 
 
+def test_batches_are_bounded_by_bytes(spark, make_docs, monkeypatch):
+    """What goes to Python at once does not follow the width of texts and shingle sets."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, write, most = spark.conf.get(key), near_dup.stage, {}
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    wide = spark.range(0, 6_000, 1, 1).select(F.repeat(F.lit("w "), 1000).alias("text"))
+
+    def measured(df, label):
+        if label not in most:
+            most[label] = wide.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0]
+        return write(df, label)
+
+    monkeypatch.setattr(near_dup, "stage", measured)
+    near_dup.keep_one(make_docs(*corpus(0), (0, "another text"), (1, "one more"))).collect()
+    for label in ("signatures", "shingles", "links", "near", "several"):
+        assert most[label] < 5 << 20, label
+    assert spark.conf.get(key) == before
+
+
 @pytest.mark.parametrize("shared", [0.2, 0.5, 0.8, 0.95])
 def test_signatures_estimate_similarity(shared):
     draw = np.random.default_rng(1)
