@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ from pyspark.sql import types as T
 
 from hackney.llm.common import SPACE, blocks, mix, pick, span_hashes, utf8_rows, word_spans
 from hackney.llm.labelled import fold_labels, label_share, labelled_sample, remainder
+from hackney.session import small_batches
 
 GRAMS = (3, 4)
 _MULTIPLIERS = np.array([0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F, 0x165667B1, 0x9E3779B1], np.uint32)
@@ -84,20 +86,24 @@ def features(
 
 
 def document_counts(column: pa.Array, buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each text, its distinct features and how often they occur."""
+    """For each text, its distinct features and how often they occur; counted block by block, as a key
+    for each of its features takes many times a text's memory."""
     data, bounds = utf8_rows(column)
-    keys = []
-    for first, part, inner in blocks(data, bounds):
-        for bucket, row in features(part, inner, buckets):
-            keys.append((row + first) * buckets + bucket)
-    found, counts = np.unique(
-        np.concatenate(keys) if keys else np.zeros(0, np.int64), return_counts=True
-    )
-    cuts = np.searchsorted(found, np.arange(len(column) + 1) * buckets)
-    return [
-        (found[a:b] % buckets, counts[a:b].astype(np.float32))
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True)
-    ]
+    counted = []
+    # The blocks of a long text follow each other under its row; others hold whole rows.
+    for _, parts in groupby(blocks(data, bounds), key=lambda b: b[0]):
+        keys = []
+        for _, part, inner in parts:
+            rows = len(inner) - 1
+            for bucket, row in features(part, inner, buckets):
+                keys.append(row * buckets + bucket)
+        found, counts = np.unique(np.concatenate(keys), return_counts=True)
+        cuts = np.searchsorted(found, np.arange(rows + 1) * buckets)
+        counted += [
+            (found[a:b] % buckets, counts[a:b].astype(np.float32))
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True)
+        ]
+    return counted
 
 
 def train(
@@ -177,7 +183,8 @@ def fit(
                 names=["label", "buckets", "counts"],
             )
 
-    rows = sample.mapInArrow(count, "label int, buckets binary, counts binary").toArrow()
+    with small_batches(docs.sparkSession):
+        rows = sample.mapInArrow(count, "label int, buckets binary, counts binary").toArrow()
     examples = [
         (np.frombuffer(b, "<u4"), np.frombuffer(c, "<f4"), label)
         for label, b, c in zip(*(rows.column(i).to_pylist() for i in range(3)), strict=True)
@@ -220,11 +227,13 @@ def score(
 def rows_with_score(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
     """`row`, a struct of all columns of `docs`, and the `score` of its text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{text_col}`").alias("text"))
+    rows = docs.select(F.struct("*").alias("row"))
+    at = [name.lower() for name in docs.columns].index(text_col.lower())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = score_column(batch.column("text"), shared.value)
+            # The text is read from its row, so that it goes to Python once.
+            scores = score_column(batch.column("row").field(at), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(scores, pa.float64())], names=["row", "score"]
             )

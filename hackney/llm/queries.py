@@ -23,6 +23,7 @@ from hackney.llm import (
     url_rules,
 )
 from hackney.llm.common import table
+from hackney.session import small_batches, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,11 +56,13 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed_pieces(docs: DataFrame) -> DataFrame:
-    """Pieces with a checksum in place of their ids."""
-    return packing.pack(docs).select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
-        "doc_tokens", "sequence_id", "offset", "sequence_tokens",
-    )
+    """Pieces with a checksum in place of their ids, written once: texts go to Python in small batches."""
+    with small_batches(docs.sparkSession):
+        pieces = packing.pack(docs).select(
+            "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+            "doc_tokens", "sequence_id", "offset", "sequence_tokens",
+        )
+        return stage(pieces, "pieces")
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

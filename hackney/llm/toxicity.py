@@ -287,11 +287,13 @@ def score(
 def rows_with_score(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
     """`row`, a struct of all columns of `docs`, and the `score` of its text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{text_col}`").alias("text"))
+    rows = docs.select(F.struct("*").alias("row"))
+    at = [name.lower() for name in docs.columns].index(text_col.lower())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = score_column(batch.column("text"), shared.value)
+            # The text is read from its row, so that it goes to Python once.
+            scores = score_column(batch.column("row").field(at), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(scores, pa.float64())], names=["row", "score"]
             )

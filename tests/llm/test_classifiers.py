@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -214,3 +215,32 @@ def test_scores_by_the_machines_formula():
         raw = model.bias + sum(model.weights[k] for k in at)
         raw += sum(model.vectors[i] @ model.vectors[j] for n, i in enumerate(at) for j in at[:n])
         assert score == pytest.approx(1 / (1 + np.exp(-raw)), rel=1e-9)
+
+
+def test_counting_is_bounded():
+    """Counts take memory by the block, not by all texts of a batch, and are those of each text alone."""
+    odd = [None, "", "a", "xy z" * 400_000, "b b b", "", None]
+    found = quality.document_counts(pa.array(odd), 1 << 17)
+    assert len(found) == len(odd)
+    for text, (buckets, counts) in zip(odd, found, strict=True):
+        [(alone, times)] = quality.document_counts(pa.array([text], pa.string()), 1 << 17)
+        assert buckets.tolist() == alone.tolist() and counts.tolist() == times.tolist()
+    peaks = []
+    for n in (2_000, 8_000):
+        texts = pa.array(["lorem ipsum dolor sit amet " * 40] * n)
+        tracemalloc.start()
+        quality.document_counts(texts, 1 << 17)
+        peaks.append(tracemalloc.get_traced_memory()[1] / 1e6)
+        tracemalloc.stop()
+    assert peaks[1] < 1.8 * peaks[0]
+
+
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_texts_go_to_python_once(spark, module, monkeypatch):
+    """A row's text is read from the row, by whatever case its column is named."""
+    wide = spark.range(0, 1_000, 1, 1).select("id", F.repeat(F.lit("w "), 1000).alias("Text"))
+    model = quality.QualityModel(np.zeros(2, np.float32), 0.0)
+    monkeypatch.setattr(module, "score_column", lambda column, _: np.full(len(column), 0.25))
+    scored = module.rows_with_score(wide, model, "text")
+    assert scored._jdf.queryExecution().analyzed().children().head().output().size() == 1
+    assert scored.select("row.*").exceptAll(wide).isEmpty()

@@ -4,11 +4,12 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from hackney.llm import packing
+from hackney.llm import packing, queries
 from tests.llm.conftest import CLASHING, rows
 
 PATH = public_tokenizers.path(packing.TOKENIZER)
@@ -78,6 +79,22 @@ def test_odd_rows(spark, make_docs):
     assert rows(packing.pack(docs.limit(0))) == []
 
 
+def test_batches_are_bounded_by_bytes(spark, monkeypatch):
+    """What the query hands to Python at once does not follow the width of texts."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+
+    def sizes(batches):
+        for batch in batches:
+            row = {f.name: [b"" if f.name == "ids" else batch.nbytes] for f in packing.PIECES}
+            yield pa.RecordBatch.from_pydict(row)
+
+    wide = spark.range(0, 6_000, 1, 1).select("id", F.repeat(F.lit("w "), 1000).alias("text"))
+    monkeypatch.setattr(packing, "pack", lambda docs: docs.mapInArrow(sizes, packing.PIECES))
+    assert queries.packed_pieces(wide).agg(F.max("length")).first()[0] < 5 << 20
+    assert spark.conf.get(key) == before
+
+
 TEXTS = [
     "", " ", "  two  spaces ", "tab\tand\nline\r\n\n", "it's we'll I'M", "1234567 3.14", "naïve — ümläut",
     "日本語のテキスト", "emoji 👩‍👩‍👧 z̀", "a<|endoftext|>b", "<|endoftext|>", "\x00\x01\x7f", " nbsp em",
